@@ -11,7 +11,7 @@ from reviewflow.schemas import REVIEW, REVIEW_STRINGS, ddl
 
 def parse_json(records: DataFrame, schema: StructType) -> DataFrame:
     """JSON records to columns. A malformed record stays as a row of nulls, a malformed field as a
-    null."""
+    null. Only the fields that are used later are parsed."""
     return records.select(F.from_json("value", schema).alias("raw")).select("raw.*")
 
 
@@ -20,9 +20,12 @@ def parse_tsv(records: DataFrame, schema: StructType, quote: str = '"') -> DataF
 
     With quoting on, a lone quote at the start of a field takes in the tabs after it; `quote=""`
     reads such data field by field.
+
+    The struct is opened by a generator. A filter on a parsed column, such as the one a join adds on
+    its key, then runs on the result; below a plain projection it would parse every record again.
     """
     options = {"delimiter": "\t", "quote": quote}
-    return records.select(F.from_csv("value", ddl(schema), options).alias("csv")).select("csv.*")
+    return records.select(F.inline(F.array(F.from_csv("value", ddl(schema), options))))
 
 
 def parse_review_json(records: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Reviews, customers and records told from the star-schema tables, as input for the queries.
 
-An order stands for a review, its customer for the reviewer. All are plain projections: no shuffle.
+An order stands for a review, its customer for the reviewer. All are plain projections.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ def document_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """One review per order, all fields; `review_date` is still text."""
-    orders = read_table(spark, folder, "orders")
+    orders = widen(read_table(spark, folder, "orders"))
     product = F.col("o_orderkey") % 1000
     fields: dict[str, Column] = {
         "marketplace": F.lit("US"),

@@ -26,7 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 DATABASE = "reviewflow"
 
 # Streams over a topic read it in about this many micro-batches.
-BATCHES = 4
+BATCHES = 2
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
@@ -41,7 +41,7 @@ def new_topic(spark: SparkSession, name: str) -> topics.FileTopic:
 
 def published(spark: SparkSession, name: str, messages: DataFrame) -> topics.FileTopic:
     topic = new_topic(spark, name)
-    topic.publish(widen(messages))
+    topic.publish(messages)
     return topic
 
 
@@ -104,8 +104,7 @@ def text_lines(spark: SparkSession, folder: str) -> DataFrame:
 def tsv_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Review files with a header line: 15 STRING columns named by it."""
     path = shared_folder(spark, "reviews-tsv")
-    review_rows = widen(feeds.order_reviews(spark, folder))
-    review_rows.write.csv(path, sep="\t", header=True)
+    feeds.order_reviews(spark, folder).write.csv(path, sep="\t", header=True)
     return files.read_tsv(spark, path)
 
 
@@ -238,7 +237,7 @@ def put_rows(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def publish_keyed_csv(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation turns as keyed CSV records."""
-    turns = files.read_table(spark, folder, "conversations")
+    turns = widen(files.read_table(spark, folder, "conversations"))
     messages = records.csv_records(turns, F.col("conv_id"), F.col("role"), F.col("text"))
     topic = published(spark, "connection-test", messages)
     return topic.read(spark).select("key", "value")
@@ -260,7 +259,7 @@ def publish_users(spark: SparkSession, folder: str) -> DataFrame:
 def publish_and_drain(spark: SparkSession, folder: str) -> DataFrame:
     """Review files without their header line into a topic, then the topic drained to a table."""
     source = shared_folder(spark, "reviews-tsv")
-    widen(feeds.order_reviews(spark, folder)).write.csv(source, sep="\t", header=True)
+    feeds.order_reviews(spark, folder).write.csv(source, sep="\t", header=True)
     lines = files.read_text_after_first_line(spark, source)
     topic = new_topic(spark, "reviews")
     topic.publish(records.without_blank_lines(lines))
@@ -278,10 +277,10 @@ def publish_and_drain(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def topic_positions(spark: SparkSession, folder: str) -> DataFrame:
     """Two publications into one topic: no position is given twice."""
-    events = files.read_table(spark, folder, "events")
+    events = widen(files.read_table(spark, folder, "events"))
     messages = events.select(F.col("event_id").alias("key"), F.col("props").alias("value"))
     topic = published(spark, "events", messages.where("event_type = 'purchase'"))
-    topic.publish(widen(messages.where("event_type <> 'purchase'")))
+    topic.publish(messages.where("event_type <> 'purchase'"))
     return topics.topic_positions(topic.read(spark))
 
 

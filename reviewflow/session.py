@@ -84,15 +84,16 @@ def source_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def widen(df: DataFrame) -> DataFrame:
-    """Spread a small batch input over all cores.
+def widen(rows: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
+    """Spread a small input over all cores.
 
     A small table is often one file with one row group, which is one task. Larger inputs already
-    arrive in many splits and are returned as they are, so nothing big is shuffled.
+    arrive in many splits and are returned as they are, so nothing big is shuffled. A stream has no
+    size of its own: `sized_by` is the table it starts from.
     """
-    if df.isStreaming or source_bytes(df) > SMALL_INPUT_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    if source_bytes(rows if sized_by is None else sized_by) > SMALL_INPUT_BYTES:
+        return rows
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
 
 
 def hadoop_path(spark: SparkSession, path: str):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reviewflow.schemas import CUSTOMER
-from reviewflow.session import hadoop_path
+from reviewflow.session import hadoop_path, widen
 
 # One row per file is broadcast up to this number: some ten megabytes of paths.
 BROADCAST_FILES = 50_000
@@ -66,10 +66,13 @@ def stream_table(
     A file stream lists folders only, so a single file is picked out of its folder by name.
     """
     path = f"{folder}/{name}.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    table = spark.read.parquet(path)
+    reader = spark.readStream.schema(table.schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     fs, java_path = hadoop_path(spark, path)
     if fs.getFileStatus(java_path).isDirectory():
-        return reader.parquet(path)
-    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+        rows = reader.parquet(path)
+    else:
+        rows = reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    return widen(rows, sized_by=table)
