@@ -31,6 +31,12 @@ def create_external_table(
     return spark.table(table)
 
 
+def read_external_table(spark: SparkSession, table: str) -> DataFrame:
+    """The table with the files that lie at its location now."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def bucket_count(rows: DataFrame) -> int:
     """Buckets of some hundred megabytes, and no more of them than a shuffle has partitions."""
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -38,19 +44,25 @@ def bucket_count(rows: DataFrame) -> int:
 
 
 def put_rows(
-    table: str, rows: DataFrame, key: str, order_by: list[str], location: str
+    table: str,
+    rows: DataFrame,
+    key: str,
+    order_by: list[str],
+    location: str,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Put rows into a table with one row per key, made if need be.
 
-    A later put replaces the earlier row of its key; within `rows`, later is by `order_by`. Keys
-    not put again keep their row. The table is bucketed and sorted by the key, so a lookup of one
+    A later put replaces the earlier row of its key; within `rows`, later is by `order_by`, which
+    may use columns that are not kept. Keys not put again keep their row. The table is bucketed and sorted by the key, so a lookup of one
     key reads one bucket and a join on the key need not shuffle the table.
     """
     spark = rows.sparkSession
-    result = latest_per_key(rows, key, order_by)
+    columns = columns or rows.columns
+    result = latest_per_key(rows, key, order_by, columns)
     if spark.catalog.tableExists(table):
         kept = spark.table(table).join(rows.select(key).distinct(), key, "left_anti")
-        result = kept.select(*rows.columns).unionByName(result)
+        result = kept.select(*columns).unionByName(result)
     buckets = bucket_count(result)
     staged = f"{table}_{uuid.uuid4().hex}"
     (

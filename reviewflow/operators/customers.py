@@ -52,11 +52,13 @@ def enrich(reviews: DataFrame, customers: DataFrame) -> DataFrame:
     return slim_reviews.join(people, "customer_id").select(*ENRICHED_FIELDS)
 
 
-def latest_per_key(rows: DataFrame, key: str, order_by: list[str]) -> DataFrame:
-    """The last row of each key in the order of some columns.
+def latest_per_key(
+    rows: DataFrame, key: str, order_by: list[str], columns: list[str] | None = None
+) -> DataFrame:
+    """The last row of each key in the order of some columns, with all columns or those named.
 
     `max_by` keeps one row per key and task before the shuffle, so a key with very many rows is
     not sorted in one place.
     """
-    last = F.max_by(F.struct(*rows.columns), F.struct(*order_by)).alias("last")
+    last = F.max_by(F.struct(*(columns or rows.columns)), F.struct(*order_by)).alias("last")
     return rows.groupBy(key).agg(last).select("last.*")

@@ -12,6 +12,8 @@ from reviewflow.session import hadoop_path, widen
 # One row per file is broadcast up to this number: some ten megabytes of paths.
 BROADCAST_FILES = 50_000
 
+FILE_ORDER = ["file", "block_start", "line_id"]
+
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
     """One row per line, column `value`."""
@@ -26,12 +28,7 @@ def read_text_after_first_line(spark: SparkSession, path: str) -> DataFrame:
     over a scan that decodes no text. Both scans list the same files under the same settings and so
     cut them alike. If the header is known, `records.without_line` needs a single scan.
     """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("line_id"),
-    )
+    lines = with_file_order(spark.read.text(path))
     first_lines = (
         lines.where("block_start = 0").groupBy("file").agg(F.min("line_id").alias("line_id"))
     )
@@ -54,6 +51,19 @@ def read_customers(spark: SparkSession, path: str) -> DataFrame:
     return read_tsv(spark, path, CUSTOMER)
 
 
+def with_file_order(rows: DataFrame) -> DataFrame:
+    """Add FILE_ORDER, columns that sort the rows of a file scan as the files have them.
+
+    Row ids ascend within a block of a file, but not from block to block.
+    """
+    return rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("line_id"),
+    )
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

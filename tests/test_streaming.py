@@ -1,0 +1,151 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from helpers import tuples, values
+from pyspark.sql import functions as F
+
+from reviewflow.operators import customers as people
+from reviewflow.operators import reviews
+from reviewflow.schemas import REVIEW, REVIEW_FIELDS, STORED_REVIEW
+from reviewflow.sources import topics
+from reviewflow.streaming import sinks
+
+
+def json_review(number):
+    return json.dumps({"review_id": f"R{number}", "customer_id": number, "star_rating": 5})
+
+
+def tsv_review(number, customer):
+    fields = dict.fromkeys(REVIEW_FIELDS, "x") | {
+        "review_id": f"R{number}",
+        "customer_id": str(customer),
+    }
+    return "\t".join(fields.values())
+
+
+@pytest.fixture
+def topic(spark, tmp_path):
+    return topics.FileTopic("reviews", str(tmp_path / "topic"))
+
+
+class Ingest:
+    def __init__(self, spark, topic, folder):
+        self.spark, self.topic = spark, topic
+        self.path, self.checkpoint = str(folder / "reviews"), str(folder / "checkpoint")
+
+    def start(self, **trigger):
+        parsed = reviews.parse_review_json(topics.values(self.topic.stream(self.spark, 1)))
+        stamped = reviews.with_processing_time(parsed)
+        return sinks.append_parquet(
+            stamped, self.path, self.checkpoint, trigger or sinks.ALL_AVAILABLE
+        )
+
+    def stored(self):
+        return self.spark.read.parquet(self.path)
+
+
+def test_ingest_restarts_where_it_stopped(spark, topic, tmp_path):
+    ingest = Ingest(spark, topic, tmp_path)
+    topic.publish(values(spark, *(json_review(i) for i in range(20)), "broken").repartition(3))
+    sinks.wait(ingest.start())
+    assert ingest.stored().dtypes == [(f.name, f.dataType.simpleString()) for f in STORED_REVIEW]
+    assert ingest.stored().count() == 21
+    assert ingest.stored().where("review_id IS NULL").count() == 1
+    stamps = ingest.stored().select("current_tsp").distinct().count()
+    assert stamps == spark.read.parquet(topic.path).select(F.input_file_name()).distinct().count()
+
+    sinks.wait(ingest.start())
+    assert ingest.stored().count() == 21
+
+    topic.publish(values(spark, json_review(99)))
+    sinks.wait(ingest.start())
+    assert ingest.stored().count() == 22
+
+
+def test_processing_time_trigger(spark, topic, tmp_path):
+    ingest = Ingest(spark, topic, tmp_path)
+    topic.publish(values(spark, json_review(1)).coalesce(1))
+    query = ingest.start(**sinks.EVERY_TEN_SECONDS)
+    try:
+        query.processAllAvailable()
+        sinks.wait(query, 1)
+        assert query.isActive
+    finally:
+        query.stop()
+    assert ingest.stored().count() == 1
+
+
+def test_enrichment_equals_batch_and_can_be_replayed(spark, topic, tmp_path):
+    lookup = spark.range(0, 50, 2).select(
+        F.col("id").cast("string").alias("customer_id"),
+        F.concat(F.lit("u"), "id").alias("username"),
+        F.lit("n").alias("name"),
+    )
+    topic.publish(values(spark, *(tsv_review(i, i % 60) for i in range(300))).repartition(4))
+    path = str(tmp_path / "enriched")
+
+    def run(checkpoint):
+        parsed = reviews.parse_review_tsv(topics.values(topic.stream(spark, 1)))
+        work = sinks.batch_table(path, lambda batch: people.enrich(batch, lookup))
+        query = sinks.each_batch(
+            parsed.select(*people.ENRICH_INPUT_FIELDS), work, str(tmp_path / checkpoint)
+        )
+        sinks.wait(query)
+        return sorted(tuples(spark.read.parquet(path).drop("batch_id")))
+
+    batch = people.enrich(reviews.parse_review_tsv(topics.values(topic.read(spark))), lookup)
+    first = run("checkpoint")
+    assert first == sorted(tuples(batch))
+    assert spark.read.parquet(path).select("batch_id").distinct().count() == 4
+    assert run("checkpoint") == first
+    assert run("another checkpoint") == first
+
+
+def test_default_trigger_runs_on(spark, topic, tmp_path):
+    topic.publish(values(spark, "a"))
+    seen = []
+    query = sinks.each_batch(
+        topics.values(topic.stream(spark)),
+        lambda batch, batch_id: seen.append((batch_id, batch.count())),
+        str(tmp_path / "checkpoint"),
+        trigger=sinks.AT_ONCE,
+    )
+    try:
+        query.processAllAvailable()
+        topic.publish(values(spark, "b", "c"))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert seen[0] == (0, 1)
+    assert sum(count for _, count in seen) == 3
+
+
+def test_a_failed_batch_is_run_again(spark, topic, tmp_path):
+    topic.publish(values(spark, "a", "b"))
+    path, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    write = sinks.batch_table(path, lambda batch: batch)
+
+    def fail_after_writing(batch, batch_id):
+        write(batch, batch_id)
+        raise ValueError("lost")
+
+    stream = topics.values(topic.stream(spark))
+    with pytest.raises(Exception, match="lost"):
+        sinks.wait(sinks.each_batch(stream, fail_after_writing, checkpoint))
+    sinks.wait(sinks.each_batch(stream, write, checkpoint))
+    assert sorted(row.value for row in spark.read.parquet(path).collect()) == ["a", "b"]
+
+
+def test_newest_snapshot_is_read(spark, tmp_path):
+    path = str(tmp_path / "snapshots")
+    write = sinks.snapshot_table(path)
+    for batch_id in range(3):
+        write(values(spark, *(f"{batch_id}-{i}" for i in range(batch_id + 1))), batch_id)
+    got = sorted(tuples(sinks.read_snapshot(spark, path)))
+    assert got == [("2-0",), ("2-1",), ("2-2",)]
+
+
+def test_stored_schema_is_the_review_and_a_time():
+    assert STORED_REVIEW.names == [*REVIEW.names, "current_tsp"]
