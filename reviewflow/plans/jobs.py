@@ -11,14 +11,14 @@ from reviewflow import catalog
 from reviewflow.operators import customers as people
 from reviewflow.operators import records, reviews, words
 from reviewflow.schemas import CUSTOMER_FIELDS
-from reviewflow.session import build_session
+from reviewflow.session import build_session, size_shuffles
 from reviewflow.sources import files, topics
 from reviewflow.streaming import sinks
 
 
 def word_count(spark: SparkSession, args: argparse.Namespace) -> None:
     """Count the words of text files."""
-    lines = files.read_text(spark, args.input)
+    lines = size_shuffles(files.read_text(spark, args.input))
     counts = catalog.word_count_sql(lines) if args.sql else words.count_words(lines)
     if args.output:
         words.rank_words(counts).write.parquet(args.output)
@@ -64,7 +64,7 @@ def enrich_reviews(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def load_customers(spark: SparkSession, args: argparse.Namespace) -> None:
     """Put customer files into a keyed table, a later line replacing an earlier of its key."""
-    rows = files.with_file_order(files.read_customers(spark, args.input))
+    rows = files.with_file_order(size_shuffles(files.read_customers(spark, args.input)))
     catalog.put_rows(
         args.table, rows, "customer_id", files.FILE_ORDER, args.location, CUSTOMER_FIELDS
     )

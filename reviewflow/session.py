@@ -30,6 +30,15 @@ STATE_STORE = {
 # Inputs up to this size come from one or two scan splits; moving them over all cores is cheap.
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
+# Input per shuffle partition. Shuffles carry selected columns and partial sums, so a partition ends
+# up far smaller. The upper bound keeps the number of shuffle blocks, tasks times partitions, in hand.
+SHUFFLE_INPUT_BYTES = 4 * 1024 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 25_000
+
+# Files a stream takes up in one micro-batch unless told otherwise: about a terabyte of full-size
+# files, so that a lost batch is not the whole backlog.
+MOST_FILES_PER_BATCH = 10_000
+
 _local_root: str | None = None
 
 
@@ -96,6 +105,19 @@ def widen(rows: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
     return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
 
 
+def size_shuffles(table: DataFrame) -> DataFrame:
+    """Raise the session's shuffle partitions to the size of a table that is going to be shuffled.
+
+    They are never lowered: adaptive execution merges those that stay small.
+    """
+    name = "spark.sql.shuffle.partitions"
+    conf = table.sparkSession.conf
+    wanted = min(MOST_SHUFFLE_PARTITIONS, source_bytes(table) // SHUFFLE_INPUT_BYTES)
+    if wanted > int(conf.get(name)):
+        conf.set(name, str(wanted))
+    return table
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """The file system and path object of a location, on whatever storage it lies."""
     java_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reviewflow.schemas import CUSTOMER
-from reviewflow.session import hadoop_path, widen
+from reviewflow.session import MOST_FILES_PER_BATCH, hadoop_path, size_shuffles, widen
 
 # One row per file is broadcast up to this number: some ten megabytes of paths.
 BROADCAST_FILES = 50_000
@@ -65,21 +65,21 @@ def with_file_order(rows: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A parquet table; the session's shuffles are made wide enough for it."""
+    return size_shuffles(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def stream_table(
-    spark: SparkSession, folder: str, name: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, folder: str, name: str, max_files_per_trigger: int = MOST_FILES_PER_BATCH
 ) -> DataFrame:
     """A parquet table as a stream, be it one file or a folder of files.
 
     A file stream lists folders only, so a single file is picked out of its folder by name.
     """
     path = f"{folder}/{name}.parquet"
-    table = spark.read.parquet(path)
+    table = read_table(spark, folder, name)
     reader = spark.readStream.schema(table.schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     fs, java_path = hadoop_path(spark, path)
     if fs.getFileStatus(java_path).isDirectory():
         rows = reader.parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewflow.schemas import TOPIC_RECORD
-from reviewflow.session import file_count, path_exists
+from reviewflow.session import MOST_FILES_PER_BATCH, file_count, path_exists, size_shuffles
 
 METADATA_FIELDS = ["topic", "partition", "offset", "timestamp"]
 
@@ -109,17 +109,16 @@ class FileTopic:
     path: str
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(TOPIC_RECORD).parquet(self.path)
+        return size_shuffles(spark.read.schema(TOPIC_RECORD).parquet(self.path))
 
     def stream(self, spark: SparkSession, max_per_trigger: int | None = None) -> DataFrame:
-        reader = spark.readStream.schema(TOPIC_RECORD)
-        if max_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+        cap = max_per_trigger or MOST_FILES_PER_BATCH
+        reader = spark.readStream.schema(TOPIC_RECORD).option("maxFilesPerTrigger", cap)
         return reader.parquet(self.path)
 
     def files_per_batch(self, spark: SparkSession, batches: int) -> int:
-        """A rate cap that reads the topic in about that many micro-batches."""
-        return max(1, -(-file_count(spark, self.path) // batches))
+        """A rate cap that reads the topic in about that many micro-batches, or more if it is big."""
+        return max(1, min(MOST_FILES_PER_BATCH, -(-file_count(spark, self.path) // batches)))
 
     def publish(self, records: DataFrame) -> None:
         """Append records. Each writing task is a partition and counts its own offsets.

@@ -97,3 +97,18 @@ def test_only_small_inputs_are_widened(spark, tmp_path, monkeypatch):
     assert session.widen(table).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     monkeypatch.setattr(session, "SMALL_INPUT_BYTES", 10)
     assert session.widen(table) is table
+
+
+def test_shuffles_grow_with_the_input_only(spark, tables, monkeypatch):
+    name = "spark.sql.shuffle.partitions"
+    table = spark.read.parquet(f"{tables}/orders.parquet")
+    with session.session_settings(spark, {name: "4"}):
+        session.size_shuffles(table)
+        assert spark.conf.get(name) == "4"
+        monkeypatch.setattr(session, "SHUFFLE_INPUT_BYTES", session.source_bytes(table) // 9)
+        session.size_shuffles(table)
+        assert spark.conf.get(name) == "9"
+        monkeypatch.setattr(session, "SHUFFLE_INPUT_BYTES", 1)
+        monkeypatch.setattr(session, "MOST_SHUFFLE_PARTITIONS", 12)
+        session.size_shuffles(table)
+        assert spark.conf.get(name) == "12"

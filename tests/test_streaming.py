@@ -3,12 +3,13 @@ from __future__ import annotations
 import json
 
 import pytest
-from helpers import tuples, values
+from helpers import final_plan, tuples, values
 from pyspark.sql import functions as F
 
 from reviewflow.operators import customers as people
-from reviewflow.operators import reviews
+from reviewflow.operators import reviews, words
 from reviewflow.schemas import REVIEW, REVIEW_FIELDS, STORED_REVIEW
+from reviewflow.session import session_settings
 from reviewflow.sources import topics
 from reviewflow.streaming import sinks
 
@@ -103,6 +104,59 @@ def test_enrichment_equals_batch_and_can_be_replayed(spark, topic, tmp_path):
     assert run("another checkpoint") == first
 
 
+def test_hot_customer_is_split_within_a_batch(spark, topic, tmp_path):
+    """A third of a batch belongs to one customer, too many customers to broadcast."""
+    total = 30_000
+    key = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+    lines = spark.range(total, numPartitions=8).select(
+        F.concat_ws("\t", F.lit("US"), key, F.concat(F.lit("R"), "id"), *[F.repeat(F.lit("x"), 40)] * 5)
+        .alias("value")
+    )
+    topic.publish(lines)
+    lookup = spark.range(total).select(
+        F.col("id").cast("string").alias("customer_id"),
+        F.concat(F.lit("u"), "id").alias("username"),
+        F.lit("n").alias("name"),
+    )
+    plans = []
+
+    def work(batch, batch_id):
+        enriched = people.enrich(batch, lookup)
+        assert enriched.count() == total
+        plans.append(final_plan(enriched))
+
+    tight = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    with session_settings(spark, tight):
+        parsed = reviews.parse_review_tsv(topics.values(topic.stream(spark)))
+        slim = parsed.select(*people.ENRICH_INPUT_FIELDS)
+        sinks.wait(sinks.each_batch(slim, work, str(tmp_path / "checkpoint")))
+    assert len(plans) == 1
+    assert "skew=true" in plans[0]
+
+
+def test_running_count_goes_on_after_a_restart(spark, topic, tmp_path):
+    path, checkpoint = str(tmp_path / "counts"), str(tmp_path / "checkpoint")
+
+    def run():
+        counts = words.count_words(topics.values(topic.stream(spark)))
+        work = sinks.snapshot_table(path)
+        sinks.wait(sinks.each_batch(counts, work, checkpoint, "complete"))
+        return dict(tuples(sinks.read_snapshot(spark, path)))
+
+    topic.publish(values(spark, "a b", "a"))
+    assert run() == {"a": 2, "b": 1}
+    topic.publish(values(spark, "b c"))
+    assert run() == {"a": 2, "b": 2, "c": 1}
+    assert run() == {"a": 2, "b": 2, "c": 1}
+
+
 def test_default_trigger_runs_on(spark, topic, tmp_path):
     topic.publish(values(spark, "a"))
     seen = []
