@@ -16,7 +16,7 @@ def split_lines(texts: DataFrame, column: str = "text") -> DataFrame:
 def tokenize(lines: DataFrame) -> DataFrame:
     """Lines to words, empty words left out. A missing line has no words."""
     words = lines.select(F.explode(words_of("value")).alias("word"))
-    return words.where(F.length("word") > 0)
+    return words.where(F.col("word") != "")
 
 
 def count_words(lines: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 SELECT word, count(*) AS ct
 FROM (
-    SELECT explode(split(lcase(regexp_replace(value, r'[^\p{Alpha} ]+', '')), ' ')) AS word
+    SELECT explode(split(lcase(regexp_replace(
+        value, '[^abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ ]', ''
+    )), ' ')) AS word
     FROM book
 ) AS tokens
 WHERE len(word) > 0
