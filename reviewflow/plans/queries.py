@@ -248,7 +248,7 @@ def publish_users(spark: SparkSession, folder: str) -> DataFrame:
     """Ids 1 to n with the name and email of the n-th customer."""
     table = files.read_table(spark, folder, "customer")
     last = table.agg(F.max("c_custkey")).first()[0]
-    ids = rows.record_ids(spark, last + 1)
+    ids = rows.record_ids(spark, 0 if last is None else last + 1)
     users = feeds.customer_rows(table).withColumn("id", F.col("customer_id").cast("long") + 1)
     named = ids.join(users, "id")
     messages = records.csv_records(named, F.col("key"), F.col("name"), F.col("email"))

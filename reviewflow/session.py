@@ -31,8 +31,8 @@ STATE_STORE = {
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
 # Input per shuffle partition. Shuffles carry selected columns and partial sums, so a partition ends
-# up far smaller. The upper bound keeps the number of shuffle blocks, tasks times partitions, in hand.
-SHUFFLE_INPUT_BYTES = 4 * 1024 * 1024 * 1024
+# up smaller. The upper bound keeps the number of shuffle blocks, tasks times partitions, in hand.
+SHUFFLE_INPUT_BYTES = 512 * 1024 * 1024
 MOST_SHUFFLE_PARTITIONS = 25_000
 
 # Files a stream takes up in one micro-batch unless told otherwise: about a terabyte of full-size
@@ -94,7 +94,7 @@ def source_bytes(df: DataFrame) -> int:
 
 
 def widen(rows: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
-    """Spread a small input over all cores.
+    """Spread a small input evenly over all cores.
 
     A small table is often one file with one row group, which is one task. Larger inputs already
     arrive in many splits and are returned as they are, so nothing big is shuffled. A stream has no
