@@ -17,5 +17,5 @@ def csv_record(key: Column, *fields: Column) -> Column:
 
 
 def tsv_record(*fields: Column) -> Column:
-    """Fields joined by tabs; a missing field is left empty."""
+    """Fields joined by tabs; a missing field is left empty. The fields themselves hold no tabs."""
     return F.concat_ws("\t", *(F.coalesce(field.cast("string"), F.lit("")) for field in fields))
