@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewflow.llm import line_dedup, quality_rules, source_mix, url_filter
+from reviewflow.llm import (
+    line_dedup,
+    quality_classifier,
+    quality_rules,
+    source_mix,
+    toxicity,
+    url_filter,
+)
 from reviewflow.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +24,12 @@ def query(function: Callable[[SparkSession, str], DataFrame]):
     return function
 
 
+@query
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    return quality_classifier.score_documents(docs, labels)
+
+
 @query
 def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     judged = url_filter.judge_urls(read(spark, folder, "pages"))
@@ -37,3 +50,9 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return source_mix.mix(read(spark, folder, "documents"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    return toxicity.score_documents(docs, labels).select("doc_id", "held_out", "score", "predicted")
