@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewflow.llm import (
+    license_scan,
     line_dedup,
     quality_classifier,
     quality_rules,
@@ -47,6 +48,11 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_digests(read(spark, folder, "documents"))
 
 
+@query
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(read(spark, folder, "documents"))
+
+
 @query
 def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return source_mix.mix(read(spark, folder, "documents"))
