@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewflow.llm import (
+    decontaminate,
     license_scan,
     line_dedup,
     quality_classifier,
@@ -58,6 +59,11 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return source_mix.mix(read(spark, folder, "documents"))
 
 
+@query
+def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 @query
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
