@@ -132,3 +132,26 @@ ORACLE["op5_quality_rules"] = f"""
            AND n_ellipses <= 0.3 * n_lines AND n_lettered >= 0.7 * n_words AND n_runs <= 0.2 * n_words
            AND n_top <= 0.3 * n_words AS kept
     FROM judged"""
+
+ORACLE["op2_ngram_jaccard"] = f"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '{WORD}') AS w FROM documents),
+    sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+               ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+        FROM words),
+    rows AS (SELECT doc_id, unnest(s) AS g, len(s) AS n FROM sets),
+    rare AS (
+        SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY df, g) AS nr
+        FROM (SELECT *, count(*) OVER (PARTITION BY g) AS df FROM rows)),
+    heads AS (SELECT doc_id, g, n FROM rare WHERE df > 1 AND nr <= n - (80 * n + 99) // 100 + 1),
+    pairs AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM heads a JOIN heads b ON a.g = b.g AND a.doc_id < b.doc_id
+              AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+    links AS (
+        SELECT a, b FROM pairs JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+        WHERE 100 * len(list_intersect(x.s, y.s)) >= 80 * (len(x.s) + len(y.s) - len(list_intersect(x.s, y.s)))),
+    edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    reached AS (
+        SELECT a AS doc_id, a AS other FROM edges UNION SELECT doc_id, b FROM reached JOIN edges ON other = a)
+    SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(r.least, s.doc_id) AS component_id
+    FROM sets s LEFT JOIN (SELECT doc_id, min(other) AS least FROM reached GROUP BY doc_id) r ON r.doc_id = s.doc_id"""

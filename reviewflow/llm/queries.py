@@ -10,6 +10,7 @@ from reviewflow.llm import (
     decontaminate,
     license_scan,
     line_dedup,
+    ngram_jaccard,
     quality_classifier,
     quality_rules,
     source_mix,
@@ -32,6 +33,12 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.score_documents(docs, labels)
 
 
+@query
+def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    joined = ngram_jaccard.join_near_duplicates(read(spark, folder, "documents"))
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     judged = url_filter.judge_urls(read(spark, folder, "pages"))
