@@ -14,6 +14,7 @@ from reviewflow.llm import (
     quality_classifier,
     quality_rules,
     source_mix,
+    suffix_dedup,
     toxicity,
     url_filter,
 )
@@ -45,6 +46,11 @@ def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup_spans(read(spark, folder, "documents")).drop("spans")
+
+
 @query
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge_documents(read(spark, folder, "documents"))
