@@ -471,4 +471,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     A document without shingles is alone in its component. Rows that repeat the id that stays all stay."""
     stay = join_near_duplicates(docs).where("component_id = doc_id OR doc_id IS NULL").select(F.col("doc_id").alias("of"))
     stay = stored(stay.distinct(), "kept-ids")
-    return docs.join(stay.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col("of")), "left_semi")
+    return docs.join(stay.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(stay["of"]), "left_semi")

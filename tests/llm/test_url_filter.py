@@ -1,0 +1,57 @@
+from __future__ import annotations
+
+import pytest
+
+from reviewflow.llm import url_filter as op
+
+CASES = [
+    (None, "", "", None, "allow"),
+    ("", "", "", None, "allow"),
+    ("no scheme casino", "", "", None, "block"),
+    ("http://A.Example.NET/en/x?q#f", "a.example.net", "/en/x", "example.net/en/", "allow"),
+    ("http://example.net", "example.net", "", None, "allow"),
+    ("http://example.net/fr/", "example.net", "/fr/", "net/", "block"),
+    ("http://notexample.net/en/", "notexample.net", "/en/", "net/", "block"),
+    ("http://x.example.com/de/", "x.example.com", "/de/", "example.com/de/", "block"),
+    ("http://example.com/DE/", "example.com", "/DE/", None, "allow"),
+    ("https://m.some.org/fr/casino", "m.some.org", "/fr/casino", "org/fr/", "allow"),
+    ("https://m.some.org?u=http://x.net/", "m.some.org", "", None, "allow"),
+    ("https://cheap-pills.example.com/", "cheap-pills.example.com", "/", None, "block"),
+    ("https://cheapskate.example.com/pills", "cheapskate.example.com", "/pills", None, "allow"),
+    ("https://casinos.example.com/", "casinos.example.com", "/", None, "allow"),
+    ("https://x.com/FREE/free_free", "x.com", "/FREE/free_free", None, "allow"),
+    ("https://é.com/écasinoé", "é.com", "/écasinoé", None, "block"),
+    ("https://x.com/" + "a" * 200_000 + "/xxx", "x.com", "/" + "a" * 200_000 + "/xxx", None, "block"),
+    ("https://x.net#/en/", "x.net", "", None, "allow"),
+]
+
+
+def test_cases(spark):
+    pages = spark.createDataFrame(
+        [(i, case[0], "casino", 3) for i, case in enumerate(CASES)], "page_id BIGINT, url STRING, host STRING, verdict INT"
+    )
+    got = {row.page_id: tuple(row)[1:5] for row in op.judge_urls(pages).collect()}
+    for i, case in enumerate(CASES):
+        assert got[i] == case[1:], case[0]
+
+
+def test_empty_and_repeated(spark):
+    pages = spark.createDataFrame([(1, "http://x.net/"), (1, "http://x.net/"), (None, None)], "page_id BIGINT, url STRING")
+    assert op.judge_urls(pages.limit(0)).count() == 0
+    assert sorted(str(row.verdict) for row in op.judge_urls(pages).collect()) == ["allow", "block", "block"]
+
+
+@pytest.mark.parametrize(
+    ("url", "weight"),
+    [("free-bets", 1.0), ("free", 0.5), ("freefree", 0.0), ("xxx.adult", 2.0), ("", 0.0), (None, 0.0), ("1xxx", 0.0), ("_xxx_", 1.0)],
+)
+def test_weights(url, weight):
+    assert op.term_weight(url, op.VOCABULARY) == weight
+
+
+def test_own_rules_and_words(spark):
+    pages = spark.createDataFrame([(1, "http://a.b/c")], "page_id BIGINT, url STRING")
+    rules = (op.Rule("block", "b", "/"), op.Rule("allow", "a.b", "/c"))
+    assert op.judge_urls(pages, rules).first().rule == "a.b/c"
+    assert op.judge_urls(pages, (), {"c": 1.0}).first().verdict == "block"
+    assert op.judge_urls(pages, (), {}).first().verdict == "allow"
