@@ -18,18 +18,18 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     the driver, only their number and a checksum.
     """
     a, b = F.col(left), F.col(right)
-    pairs = edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
-    pairs = stored(pairs, "edges")
+    pairs = stored(edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")), "edges")
     state = None
     while True:
-        pairs = stored(_small_star(_large_star(pairs)), "edges")
+        hung = stored(_large_star(pairs), "hung")
+        pairs = stored(_small_star(hung).distinct(), "edges")
         checksum = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         now = tuple(pairs.agg(F.count("*"), checksum).first())
         if now == state or not now[0]:
             break
         state = now
     nodes = pairs.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    return nodes.union(pairs.select(F.col("b").alias("node"), F.col("b").alias("label"))).distinct()
+    return nodes.union(stored(pairs.select("b").distinct(), "roots").select(F.col("b").alias("node"), F.col("b").alias("label")))
 
 
 def _large_star(pairs: DataFrame) -> DataFrame:
@@ -37,14 +37,15 @@ def _large_star(pairs: DataFrame) -> DataFrame:
     near = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     smallest = stored(near.groupBy("a").agg(F.min("b").alias("m")), "smallest")
     least = smallest.select(F.col("a").alias("of"), F.least("a", "m").alias("m"))
-    hung = near.join(least, near["a"] == least["of"]).where("b > a")
-    return hung.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    # Only pairs (smaller, larger): the larger one is hung.
+    up = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    hung = up.join(least, up["a"] == least["of"])
+    return hung.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
 
 
 def _small_star(pairs: DataFrame) -> DataFrame:
     """A node and its smaller neighbours hang below the smallest of them."""
-    pairs = stored(pairs, "edges")
     least = stored(pairs.groupBy("a").agg(F.min("b").alias("m")), "smallest")
     hung = pairs.join(least.select(F.col("a").alias("of"), "m"), F.col("a") == F.col("of"))
     moved = hung.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-    return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
+    return moved.union(least.select("a", F.col("m").alias("b")))

@@ -11,7 +11,7 @@
    first n - ceil(0.8 n) + 1 hashes in any common order. Classes that share such a hash are put into
    one group, a connected component of stars around the smallest class of each hash; pairs are not
    enumerated. Frequent hashes come last, so they hardly ever hold a group together.
-4. Products. A group of up to `BLOCK_ROWS` classes is one block. A larger one is split: its classes are
+4. Products. A group of up to `SMALL_GROUP` classes is one block. A larger one is split: its classes are
    compared with one hub first, then put into blocks by their distance from the hub. A pair of blocks is
    multiplied only if the sizes allow for a link, the distances do (the Jaccard distance is a metric),
    and not all its classes are linked with the hub anyway. A product is accumulated over blocks of
@@ -48,16 +48,18 @@ PERCENT = 80
 
 FILTER_SHARE = 0.3
 # Hashes that a task sends at a time.
-CHUNK_HASHES = 1_000_000
+CHUNK_HASHES = 500_000
 # A hash of so many classes is frequent; the bound doubles until so few are.
 FREQUENT = 64
 MOST_FREQUENT = 1 << 18
-# Classes, and bytes of sets, of a block; columns of a product at a time.
-BLOCK_ROWS = 128
+# A group of so many classes, if not of too many bytes, is one block. Classes, and bytes of sets, of a
+# block of a larger group; columns of a product at a time.
+SMALL_GROUP = 128
+BLOCK_ROWS = 512
 BLOCK_BYTES = 8 << 20
 COLUMNS = 4096
 # Words whose hash a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -178,9 +180,11 @@ def receive_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         return pa.RecordBatch.from_arrays([columns.get(name, pa.nulls(count, kinds[name])) for name in names], names)
 
     for batch in batches:
-        documents_here = batch.filter(batch.column("class").is_valid())
-        if documents_here.num_rows:
-            yield rows(documents_here.num_rows, **{c: documents_here.column(c) for c in ("doc_id", "class", "n", "shared")})
+        here = batch.filter(batch.column("class").is_valid())
+        if here.num_rows:
+            tails = [int.from_bytes(c[:8], "little", signed=True) for c in here.column("class").to_pylist()]
+            known = {c: here.column(c) for c in ("doc_id", "class", "n", "shared")}
+            yield rows(here.num_rows, **known, tail=pa.array(tails, pa.int64()))
         for held, name in ((single, "single"), (several, "several")):
             for blob in batch.column(name).to_pylist():
                 if blob:
@@ -223,27 +227,32 @@ def frequent_hashes(facts: DataFrame) -> np.ndarray:
 
 
 def survivors(facts: DataFrame) -> DataFrame:
-    """The classes that may link with another, each with the smallest doc_id that has it."""
-
-    @F.arrow_udf("bigint")
-    def tail_of(classes: pa.Array) -> pa.Array:
-        return pa.array([int.from_bytes(c[:8], "little", signed=True) for c in classes.to_pylist()], pa.int64())
-
-    classes = facts.where("class IS NOT NULL").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("shared").alias("near")
+    """doc_id of the classes that may link with another, the smallest of each class.
+
+    Classes meet by eight bytes of their digest. Should two have the same, both survive.
+    """
+    here = F.col("class").isNotNull()
+    # A null id comes last, so a class is found by one of its documents that has an id, if any does.
+    found = F.when(here, F.struct("class", F.col("doc_id").isNull().alias("none"), "doc_id"))
+    sums = facts.where("tail IS NOT NULL").groupBy("tail").agg(
+        F.min(found).alias("first"),
+        F.max(F.when(here, F.struct("class", F.col("doc_id").isNotNull().alias("some"), "doc_id"))).alias("last"),
+        F.max("n").alias("n"),
+        F.max(F.when(here, F.col("shared"))).alias("near"),
+        F.sum(F.when(~here, F.col("shared"))).alias("far"),
     )
-    elsewhere = facts.where("tail IS NOT NULL").groupBy("tail").agg(F.sum("shared").alias("far"))
-    joined = classes.withColumn("tail", tail_of(F.col("class"))).join(elsewhere, "tail", "left")
     needed = F.ceil(F.lit(FILTER_SHARE) * F.col("n")) - (F.col("n") - F.ceil(F.lit(PERCENT / 100) * F.col("n")))
     shared = F.col("near") + F.coalesce(F.col("far"), F.lit(0))
-    return joined.where((F.col("n") > 3) & (shared >= F.greatest(needed - 1, F.lit(1)))).select("class", "doc_id")
+    both = F.when(F.col("first.class") == F.col("last.class"), F.array("first.doc_id")).otherwise(F.array("first.doc_id", "last.doc_id"))
+    near = sums.where((F.col("n") > 3) & (shared >= F.greatest(needed - 1, F.lit(1))))
+    return near.select(F.explode(both).alias("doc_id"))
 
 
 # Step 3: sets of the survivors and their groups.
 
 
 def ordered_sets(docs: DataFrame, facts: DataFrame) -> DataFrame:
-    """(class, n, hashes): the survivors' sets, frequent hashes last."""
+    """(class, tail, n, hashes): the survivors' sets, frequent hashes last."""
     frequent = frequent_hashes(facts)
 
     def made(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -254,34 +263,38 @@ def ordered_sets(docs: DataFrame, facts: DataFrame) -> DataFrame:
             classes.append(class_of(hashes))
             sizes.append(len(hashes))
             blobs.append(np.concatenate([hashes[~late], hashes[late]]).tobytes())
-        arrays = [pa.array(classes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())]
-        return pa.RecordBatch.from_arrays(arrays, ["class", "n", "hashes"])
+        tails = [int.from_bytes(c[:8], "little", signed=True) for c in classes]
+        kinds = {"class": pa.binary(), "tail": pa.int64(), "n": pa.int64(), "hashes": pa.binary()}
+        arrays = [pa.array(c, k) for c, k in zip((classes, tails, sizes, blobs), kinds.values(), strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, list(kinds))
 
     chosen = stored(survivors(facts).select(F.col("doc_id").alias("of")), "survivors")
     slim = documents(docs, "doc_id", "text")
-    texts = slim.join(chosen.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("of")), "left_semi").select("text")
-    return stored(texts.mapInArrow(per_batch(made), "class BINARY, n BIGINT, hashes BINARY"), "shingle-sets")
+    # Catalyst knows the size of what was stored: a few ids are broadcast, many are joined by shuffle.
+    texts = slim.join(chosen, F.col("doc_id").eqNullSafe(F.col("of")), "left_semi").select("text")
+    return stored(texts.mapInArrow(per_batch(made), "class BINARY, tail BIGINT, n BIGINT, hashes BINARY"), "shingle-sets")
 
 
 def groups(sets: DataFrame) -> DataFrame:
-    """(class, label): components of the classes that share a hash of their prefixes."""
+    """(class, label): components of the classes that share a hash of their prefixes.
+
+    Classes go by eight bytes of their digest here; two with the same would only share a group.
+    """
 
     def prefixes(part: pa.RecordBatch) -> pa.RecordBatch:
-        owner, found = [], []
+        owner, found = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for i, (n, blob) in enumerate(zip(part.column("n").to_pylist(), part.column("hashes").to_pylist(), strict=True)):
             prefix = np.frombuffer(blob, np.int64)[: n - least_overlap(n) + 1]
             owner.append(np.full(len(prefix), i))
             found.append(prefix)
-        return pa.RecordBatch.from_arrays(
-            [part.column("class").take(pa.array(np.concatenate(owner))), pa.array(np.concatenate(found))], ["class", "hash"]
-        )
+        tails = part.column("tail").take(pa.array(np.concatenate(owner)))
+        return pa.RecordBatch.from_arrays([tails, pa.array(np.concatenate(found))], ["tail", "hash"])
 
-    rows = sets.where("n > 0").mapInArrow(per_batch(prefixes), "class BINARY, hash BIGINT")
-    rows = stored(rows, "prefixes")
-    stars = rows.groupBy("hash").agg(F.min("class").alias("hub"), F.max("class").alias("last")).where("hub <> last")
+    rows = stored(sets.mapInArrow(per_batch(prefixes), "tail BIGINT, hash BIGINT"), "prefixes")
+    stars = rows.groupBy("hash").agg(F.min("tail").alias("hub"), F.max("tail").alias("last")).where("hub <> last")
     stars = stored(stars.select("hash", "hub"), "stars")
-    edges = rows.join(stars, "hash").where("class <> hub").select("class", "hub").distinct()
-    return components(edges, "class", "hub").select(F.col("node").alias("class"), "label")
+    edges = rows.join(stars, "hash").where("tail <> hub").select("tail", "hub").distinct()
+    return components(edges, "tail", "hub").select(F.col("node").alias("tail"), "label")
 
 
 # Step 4: products.
@@ -334,7 +347,7 @@ def forest(found: np.ndarray, nodes: list[bytes], others: list[bytes]) -> list[t
     return kept
 
 
-BLOCK = "label BINARY, block STRING, low BIGINT, high BIGINT, near DOUBLE, far DOUBLE, classes BINARY, sizes BINARY, hashes BINARY"
+BLOCK = "label BIGINT, block STRING, low BIGINT, high BIGINT, near DOUBLE, far DOUBLE, classes BINARY, sizes BINARY, hashes BINARY"
 LINK = "left BINARY, right BINARY"
 
 
@@ -351,7 +364,7 @@ def make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             label[0], f"{task}-{number}", min(sizes), max(sizes), min(distances), max(distances),
             b"".join(classes), np.array(sizes, np.int64).tobytes(), b"".join(hashes),
         )
-        kinds = [pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), *[pa.binary()] * 3]
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), *[pa.binary()] * 3]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
 
     for part in slices(batches):
@@ -375,64 +388,90 @@ def opened(classes: bytes, sizes: bytes, hashes: bytes) -> tuple[list[bytes], np
     )
 
 
+def as_links(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([e[i] for e in found], pa.binary()) for i in (0, 1)], ["left", "right"])
+
+
 def multiply(part: pa.RecordBatch) -> pa.RecordBatch:
-    """Links between the two blocks of each row (or within one), as spanning edges."""
+    """Links between the two blocks of each row, as spanning edges."""
     found: list[tuple[bytes, bytes]] = []
     for row in part.to_pylist():
         a = opened(row["classes"], row["sizes"], row["hashes"])
-        b = a if row["classes2"] is None else opened(row["classes2"], row["sizes2"], row["hashes2"])
+        b = opened(row["classes2"], row["sizes2"], row["hashes2"])
         found += forest(linked(overlaps(a[2], b[2]), a[1][:, None], b[1][None, :]), a[0], b[0])
-    return pa.RecordBatch.from_arrays([pa.array([e[i] for e in found], pa.binary()) for i in (0, 1)], ["left", "right"])
+    return as_links(found)
 
 
-def links(sets: DataFrame) -> DataFrame:
-    """(left, right): links between classes whose components are those of all links."""
-    members = stored(groups(sets), "groups")
-    sizes = members.groupBy("label").agg(F.count("*").alias("members"))
-    rows = sets.join(members, "class").select("label", "class", "n", "hashes")
-    large = stored(sizes.where(F.col("members") > BLOCK_ROWS).select("label"), "large-groups")
-    marked = rows.join(large.select(F.col("label").alias("of"), F.lit(True).alias("large")), F.col("label") == F.col("of"), "left")
-    marked = stored(marked.select("label", "class", "n", "hashes", F.col("large").isNotNull().alias("large")), "grouped-sets")
+def within(part: pa.RecordBatch) -> pa.RecordBatch:
+    """Links of whole groups: each class that has one, with the smallest class of its component."""
+    found: list[tuple[bytes, bytes]] = []
+    for row in part.to_pylist():
+        classes, n, sets = opened(row["classes"], row["sizes"], row["hashes"])
+        smallest = {c: c for c in classes}
+        for a, b in forest(linked(overlaps(sets, sets), n[:, None], n[None, :]), classes, classes):
+            low, high = sorted((smallest[a], smallest[b]))
+            smallest.update((c, low) for c, s in smallest.items() if s == high)
+        found += [(c, s) for c, s in smallest.items() if c != s]
+    return as_links(found)
+
+
+def links(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(left, right): links between classes whose components are those of all links.
+
+    The first are from small groups and lead to the smallest class of each component; the second, if
+    there is a large group, are any."""
+    rows = stored(sets.join(stored(groups(sets), "groups"), "tail").select("label", "class", "n", "hashes"), "grouped-sets")
+    sizes = rows.groupBy("label").agg(F.count("*").alias("members"), F.sum(8 * F.col("n")).alias("bytes"))
+    large = stored(sizes.where((F.col("members") > SMALL_GROUP) | (F.col("bytes") > BLOCK_BYTES)).select("label"), "large-groups")
+    order = ["label", "distance", "n", "class"]
+    columns = ["label", "class", "n", "hashes", "distance"]
+    small = rows.join(large, "label", "left_anti").withColumn("distance", F.lit(0.0)).select(columns)
+    small_blocks = small.repartition("label").sortWithinPartitions(*order).mapInArrow(make_blocks, BLOCK)
+    near_links = small_blocks.mapInArrow(per_batch_of(within, 4), LINK)
+    return near_links, None if large.isEmpty() else large_links(rows.join(large, "label", "left_semi"), order, columns)
 
-    # The hub of a large group is a class of the most frequent size; any class would be right.
-    big = marked.where("large")
+
+def large_links(big: DataFrame, order: list[str], columns: list[str]) -> DataFrame:
+    """Links of groups of many blocks."""
+    # The hub of a group is a class of its most frequent size; any class would be right.
     counted = big.groupBy("label", "n").agg(F.count("*").alias("members"), F.min("class").alias("class"))
-    hubs = stored(counted.groupBy("label").agg(F.max_by("class", F.struct("members", "n")).alias("hub")), "hubs")
-    hub_sets = stored(hubs.join(big.select("class", F.col("n").alias("hub_n"), F.col("hashes").alias("hub_hashes")), F.col("hub") == F.col("class")).select(F.col("label").alias("of"), "hub", "hub_n", "hub_hashes"), "hub-sets")
+    hubs = counted.groupBy("label").agg(F.max_by("class", F.struct("members", "n")).alias("hub"))
+    hubs = stored(hubs.select(F.col("label").alias("of"), "hub"), "hubs")
+    hub_sets = big.join(hubs, (F.col("label") == F.col("of")) & (F.col("class") == F.col("hub")))
+    # Rows that repeat a class are alike.
+    hub_sets = hub_sets.groupBy("of", "hub").agg(F.min("n").alias("hub_n"), F.min("hashes").alias("hub_hashes"))
+    hub_sets = stored(hub_sets, "hub-sets")
 
     @F.arrow_udf("bigint")
     def overlap(left: pa.Array, right: pa.Array) -> pa.Array:
-        pairs = zip(left.to_pylist(), right.to_pylist(), strict=True)
-        return pa.array([len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True)) for a, b in pairs], pa.int64())
+        counts = []
+        for a, b in zip(left.to_pylist(), right.to_pylist(), strict=True):
+            pair = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            counts.append(len(np.intersect1d(*pair, assume_unique=True)))
+        return pa.array(counts, pa.int64())
 
     union = F.col("n") + F.col("hub_n") - F.col("overlap")
     near = big.join(hub_sets, F.col("label") == F.col("of")).withColumn("overlap", overlap("hashes", "hub_hashes"))
-    near = stored(near.select("label", "class", "n", "hashes", "hub", (100 * F.col("overlap") >= PERCENT * union).alias("linked"), (1 - F.col("overlap") / union).alias("distance")), "hub-distances")
+    linked_with_hub = (100 * F.col("overlap") >= PERCENT * union).alias("linked")
+    near = near.select("label", "class", "n", "hashes", "hub", linked_with_hub, (1 - F.col("overlap") / union).alias("distance"))
+    near = stored(near, "hub-distances")
     hub_links = near.where("linked").select(F.col("class").alias("left"), F.col("hub").alias("right"))
 
-    small = marked.where("NOT large").withColumn("distance", F.lit(0.0))
-    spread = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["label", "distance", "n", "class"]
-    columns = ["label", "class", "n", "hashes", "distance"]
-    small_blocks = small.select(columns).repartition("label").sortWithinPartitions(*order).mapInArrow(make_blocks, BLOCK)
+    spread = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = near.select(columns).repartitionByRange(spread, *order).sortWithinPartitions(*order)
-    large_blocks = stored(ranged.mapInArrow(make_blocks, BLOCK), "blocks")
-
-    outline = large_blocks.select("label", "block", "low", "high", "near", "far")
+    blocks = stored(ranged.mapInArrow(make_blocks, BLOCK), "blocks")
+    outline = blocks.select("label", "block", "low", "high", "near", "far")
     other = outline.select("label", *(F.col(c).alias(f"{c}2") for c in ("block", "low", "high", "near", "far")))
     gap = 1 - PERCENT / 100 + 1e-9
     pairs = outline.join(other, "label").where("block <= block2")
     pairs = pairs.where((100 * F.col("high") >= PERCENT * F.col("low2")) & (100 * F.col("high2") >= PERCENT * F.col("low")))
     pairs = pairs.where((F.col("near2") - F.col("far") <= gap) & (F.col("near") - F.col("far2") <= gap))
     # Classes no further than a fifth from the hub are linked with it, and so with one another.
-    pairs = pairs.where((F.col("far") > gap) | (F.col("far2") > gap)).select("block", "block2")
-    blobs = large_blocks.select("block", "classes", "sizes", "hashes")
+    pairs = stored(pairs.where((F.col("far") > gap) | (F.col("far2") > gap)).select("block", "block2"), "block-pairs")
+    blobs = blocks.select("block", "classes", "sizes", "hashes")
     second = blobs.select(*(F.col(c).alias(f"{c}2") for c in blobs.columns))
-    filled = stored(pairs, "block-pairs").join(blobs, "block").join(second, "block2").select(*PRODUCT)
-    # A block may come without a partner in its label: groups of one block.
-    own = small_blocks.select("classes", "sizes", "hashes", *(F.lit(None).cast("binary").alias(c) for c in PRODUCT[3:]))
-    crossed = filled.unionByName(own).mapInArrow(per_batch_of(multiply, 4), LINK)
-    return crossed.union(hub_links)
+    filled = pairs.join(blobs, "block").join(second, "block2").select(*PRODUCT)
+    return filled.mapInArrow(per_batch_of(multiply, 4), LINK).union(hub_links)
 
 
 PRODUCT = ["classes", "sizes", "hashes", "classes2", "sizes2", "hashes2"]
@@ -451,16 +490,19 @@ def per_batch_of(work, rows: int):
 def join_near_duplicates(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, class (a digest of its set)."""
     facts = hash_facts(docs)
-    found = components(links(ordered_sets(docs, facts)), "left", "right")
-    labels = stored(found.select(F.col("node").alias("of"), "label"), "class-components")
+    solved, open_links = links(ordered_sets(docs, facts))
+    labels = solved.select(F.col("left").alias("of"), F.col("right").alias("label"))
+    if open_links is not None:
+        found = components(open_links, "left", "right")
+        labels = labels.union(found.select(F.col("node").alias("of"), "label"))
+    labels = stored(labels, "class-labels")
     every = facts.where("class IS NOT NULL").select("doc_id", "class", F.col("n").alias("n_shingles"))
-    classes = every.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
-    classes = classes.join(labels, F.col("class") == F.col("of"), "left")
-    classes = stored(classes.select("class", F.coalesce("label", "class").alias("label"), "least"), "class-labels")
-    lowest = stored(classes.groupBy("label").agg(F.min("least").alias("component")), "component-ids")
-    named = classes.join(lowest, "label").select(F.col("class").alias("of"), "component")
-    named = stored(named, "named-classes")
-    rows = every.join(named, F.col("class") == F.col("of"), "left")
+    # The smallest id of each component, summed up in each task first. Labels have one row per class.
+    named = every.join(labels, F.col("class") == F.col("of"), "left")
+    named = named.select("doc_id", "class", "n_shingles", F.coalesce("label", "class").alias("label"))
+    lowest = named.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("component"))
+    lowest = stored(lowest.select(F.col("label").alias("name"), "component"), "component-ids")
+    rows = named.join(lowest, F.col("label") == F.col("name"), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), "class")
 

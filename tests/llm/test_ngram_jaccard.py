@@ -75,12 +75,18 @@ def test_equals_brute_force(spark, rows):
 
 @pytest.mark.parametrize(("block", "frequent", "chunk"), [(2, 4, 500), (7, 1, 10**6), (5, 10**6, 50)])
 def test_large_groups_equal_brute_force(spark, rows, monkeypatch, block, frequent, chunk):
+    monkeypatch.setattr(op, "SMALL_GROUP", block)
     monkeypatch.setattr(op, "BLOCK_ROWS", block)
     monkeypatch.setattr(op, "FREQUENT", frequent)
     monkeypatch.setattr(op, "CHUNK_HASHES", chunk)
     assert got(spark, rows) == brute_force(rows)
 
 
+def test_groups_of_long_texts_equal_brute_force(spark, rows, monkeypatch):
+    monkeypatch.setattr(op, "BLOCK_BYTES", 3000)
+    assert got(spark, rows) == brute_force(rows)
+
+
 def test_one_of_each_group_stays(spark, rows):
     odd = spark.createDataFrame([(d, t, "c", i) for i, (d, t) in enumerate(rows)], "doc_id BIGINT, text STRING, class STRING, of INT")
     stay = op.keep_one(odd)
