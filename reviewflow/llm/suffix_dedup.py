@@ -46,9 +46,9 @@ LENGTH = 100
 
 GRAM = 32
 # Segments that a task sends at a time, texts and bytes whose anchors are found at a time.
-CHUNK_SEGMENTS = 500_000
+CHUNK_SEGMENTS = 200_000
 SLICE_TEXTS = 128
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 # More different texts of one anchor than this are compared by hashes.
 MOST_SEGMENTS = 192
 # Bytes that multikey sorting looks at, and windows that are sorted at a time.
@@ -211,8 +211,9 @@ def receive(different: bool):
             blobs += [unpacked(blob) for blob in batch.column("blob").to_pylist() if blob is not None]
         if not blobs:
             return
-        rows, new, later = sort_keyed(np.concatenate(blobs))
+        rows = np.concatenate(blobs)
         blobs.clear()
+        rows, new, later = sort_keyed(rows)
         repeated = rows[later]
         if len(repeated):
             nothing = [pa.nulls(len(repeated), pa.int64()), pa.nulls(len(repeated), pa.int32())]
@@ -452,7 +453,7 @@ def hash_of_text():
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, start, windows): runs of windows that also start earlier."""
     slim = documents(docs, "doc_id", "text")
-    buckets = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(8, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sent = slim.mapInArrow(send_segments(buckets), SENT).repartition(buckets, "bucket")
     found = stored(sent.mapInArrow(receive(True), FOUND), "segments")
     place = ["doc_id", "text_hash", "start", "windows"]
