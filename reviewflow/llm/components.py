@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewflow.llm.common import stored
+from reviewflow.llm import common
+
+# Tasks that write a table of edges, for each core. Rows are two numbers, so even many of them are
+# little, and hundreds of near-empty tasks would take longer than the work.
+TASKS_PER_CORE = 2
+
+
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    return common.stored(rows.coalesce(TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism), purpose)
 
 
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:

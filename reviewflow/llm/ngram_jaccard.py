@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from reviewflow.llm.common import documents, per_batch, slices, stored, utf8
 from reviewflow.llm.components import components
+from reviewflow.llm.components import stored as stored_narrow
 
 # Fixed values of the query's contract.
 SHINGLE = 5
@@ -268,7 +269,7 @@ def ordered_sets(docs: DataFrame, facts: DataFrame) -> DataFrame:
         arrays = [pa.array(c, k) for c, k in zip((classes, tails, sizes, blobs), kinds.values(), strict=True)]
         return pa.RecordBatch.from_arrays(arrays, list(kinds))
 
-    chosen = stored(survivors(facts).select(F.col("doc_id").alias("of")), "survivors")
+    chosen = stored_narrow(survivors(facts).select(F.col("doc_id").alias("of")), "survivors")
     slim = documents(docs, "doc_id", "text")
     # Catalyst knows the size of what was stored: a few ids are broadcast, many are joined by shuffle.
     texts = slim.join(chosen, F.col("doc_id").eqNullSafe(F.col("of")), "left_semi").select("text")
@@ -292,7 +293,7 @@ def groups(sets: DataFrame) -> DataFrame:
 
     rows = stored(sets.mapInArrow(per_batch(prefixes), "tail BIGINT, hash BIGINT"), "prefixes")
     stars = rows.groupBy("hash").agg(F.min("tail").alias("hub"), F.max("tail").alias("last")).where("hub <> last")
-    stars = stored(stars.select("hash", "hub"), "stars")
+    stars = stored_narrow(stars.select("hash", "hub"), "stars")
     edges = rows.join(stars, "hash").where("tail <> hub").select("tail", "hub").distinct()
     return components(edges, "tail", "hub").select(F.col("node").alias("tail"), "label")
 
@@ -420,9 +421,9 @@ def links(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
 
     The first are from small groups and lead to the smallest class of each component; the second, if
     there is a large group, are any."""
-    rows = stored(sets.join(stored(groups(sets), "groups"), "tail").select("label", "class", "n", "hashes"), "grouped-sets")
+    rows = stored(sets.join(stored_narrow(groups(sets), "groups"), "tail").select("label", "class", "n", "hashes"), "grouped-sets")
     sizes = rows.groupBy("label").agg(F.count("*").alias("members"), F.sum(8 * F.col("n")).alias("bytes"))
-    large = stored(sizes.where((F.col("members") > SMALL_GROUP) | (F.col("bytes") > BLOCK_BYTES)).select("label"), "large-groups")
+    large = stored_narrow(sizes.where((F.col("members") > SMALL_GROUP) | (F.col("bytes") > BLOCK_BYTES)).select("label"), "large-groups")
     order = ["label", "distance", "n", "class"]
     columns = ["label", "class", "n", "hashes", "distance"]
     small = rows.join(large, "label", "left_anti").withColumn("distance", F.lit(0.0)).select(columns)
@@ -436,7 +437,7 @@ def large_links(big: DataFrame, order: list[str], columns: list[str]) -> DataFra
     # The hub of a group is a class of its most frequent size; any class would be right.
     counted = big.groupBy("label", "n").agg(F.count("*").alias("members"), F.min("class").alias("class"))
     hubs = counted.groupBy("label").agg(F.max_by("class", F.struct("members", "n")).alias("hub"))
-    hubs = stored(hubs.select(F.col("label").alias("of"), "hub"), "hubs")
+    hubs = stored_narrow(hubs.select(F.col("label").alias("of"), "hub"), "hubs")
     hub_sets = big.join(hubs, (F.col("label") == F.col("of")) & (F.col("class") == F.col("hub")))
     # Rows that repeat a class are alike.
     hub_sets = hub_sets.groupBy("of", "hub").agg(F.min("n").alias("hub_n"), F.min("hashes").alias("hub_hashes"))
@@ -501,7 +502,7 @@ def join_near_duplicates(docs: DataFrame) -> DataFrame:
     named = every.join(labels, F.col("class") == F.col("of"), "left")
     named = named.select("doc_id", "class", "n_shingles", F.coalesce("label", "class").alias("label"))
     lowest = named.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("component"))
-    lowest = stored(lowest.select(F.col("label").alias("name"), "component"), "component-ids")
+    lowest = stored_narrow(lowest.select(F.col("label").alias("name"), "component"), "component-ids")
     rows = named.join(lowest, F.col("label") == F.col("name"), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), "class")
