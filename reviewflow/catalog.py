@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from pathlib import Path
 
@@ -9,23 +10,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from reviewflow.functions.text import NOT_LETTER_OR_BLANK
 from reviewflow.operators.customers import latest_per_key
 from reviewflow.schemas import STORED_REVIEW, ddl
-from reviewflow.session import source_bytes
+from reviewflow.session import remove_folder, same_path, session_settings, source_bytes
 
-BUCKET_BYTES = 256 * 1024 * 1024
+# Size of a bucket that a table is laid out for, and Spark's own bound on their number.
+BUCKET_BYTES = 1024 * 1024 * 1024
+MOST_BUCKETS = 100_000
+
+# Spark gives rows that do not come from files a size beyond this.
+UNKNOWN_BYTES = 1 << 60
+
+# Where a keyed table's rows were before its last put.
+PREVIOUS = "reviewflow.previous"
 
 WORD_COUNT_SQL = Path(__file__).parent / "plans" / "word_count.sql"
 
 
 def create_database(spark: SparkSession, name: str, location: str) -> None:
+    """Make a database at a location; one of that name somewhere else is an error."""
+    if spark.catalog.databaseExists(name):
+        held = spark.catalog.getDatabase(name).locationUri
+        if not same_path(spark, held, location):
+            raise ValueError(f"database {name} exists at {held}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
 
 
 def create_external_table(
     spark: SparkSession, table: str, location: str, schema: StructType = STORED_REVIEW
 ) -> DataFrame:
-    """Name the parquet files at a location; dropping the table leaves them there."""
+    """Name the parquet files at a location; dropping the table leaves them there.
+
+    An external table of that name is replaced. A managed one, whose files would go, is an error.
+    """
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "EXTERNAL":
+        raise ValueError(f"{table} exists and is not external")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"CREATE TABLE {table} ({ddl(schema)}) USING PARQUET LOCATION '{location}'")
     return spark.table(table)
@@ -38,9 +58,36 @@ def read_external_table(spark: SparkSession, table: str) -> DataFrame:
 
 
 def bucket_count(rows: DataFrame) -> int:
-    """Buckets of some hundred megabytes, and no more of them than a shuffle has partitions."""
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(partitions, -(-source_bytes(rows) // BUCKET_BYTES)))
+    """Buckets for a table that starts with these rows; the session's shuffle partitions, if nothing
+    is known of their size."""
+    size = source_bytes(rows)
+    if size > UNKNOWN_BYTES:
+        return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(MOST_BUCKETS, -(-size // BUCKET_BYTES)))
+
+
+def described(spark: SparkSession, table: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE EXTENDED {table}").collect()
+    return {row.col_name: row.data_type for row in rows}
+
+
+def with_keys(rows: DataFrame, key: str) -> DataFrame:
+    """The rows; one without a key fails the job that reads it."""
+    checked = F.when(F.col(key).isNotNull(), F.col(key)).otherwise(F.raise_error(F.lit(f"null {key}")))
+    return rows.withColumn(key, checked)
+
+
+def merged(kept: DataFrame, latest: DataFrame, key: str) -> DataFrame:
+    """One row per key: the latest put, or else the kept one. Both sides have one row per key.
+
+    The kept rows are read bucket by bucket and are not shuffled.
+    """
+    put = latest.select(F.col(key).alias("_key"), F.struct(*latest.columns).alias("_put"))
+    both = kept.join(put, kept[key] == put["_key"], "full_outer")
+    newer = F.col("_key").isNotNull()
+    return both.select(
+        *(F.when(newer, F.col("_put")[name]).otherwise(kept[name]).alias(name) for name in kept.columns)
+    )
 
 
 def put_rows(
@@ -50,42 +97,61 @@ def put_rows(
     order_by: list[str],
     location: str,
     columns: list[str] | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Put rows into a table with one row per key, made if need be.
 
-    A later put replaces the earlier row of its key; within `rows`, later is by `order_by`, which
-    may use columns that are not kept. Keys not put again keep their row. The table is bucketed and sorted by the key, so a lookup of one
-    key reads one bucket and a join on the key need not shuffle the table.
+    A later put replaces the earlier row of its key; within `rows`, later is by `order_by`, which may
+    use columns that are not kept, and then by the columns kept. Keys not put again keep their row. A
+    null key fails the put. The table is bucketed and sorted by the key, so a lookup of one key reads
+    one bucket and a join on the key need not shuffle the table. The number of buckets is set when the
+    table is made, `buckets` or by the size of the first rows, and stays.
+
+    A put reads `rows` once, shuffles them once into the table's buckets, and writes the merged buckets
+    to a new folder, where the table's name points when they are complete. Readers of the copy before
+    may finish; the one before that is removed.
     """
     spark = rows.sparkSession
     columns = columns or rows.columns
-    result = latest_per_key(rows, key, order_by, columns)
-    if spark.catalog.tableExists(table):
-        kept = spark.table(table).join(rows.select(key).distinct(), key, "left_anti")
-        result = kept.select(*columns).unionByName(result)
-    buckets = bucket_count(result)
-    staged = f"{table}_{uuid.uuid4().hex}"
-    (
-        result.repartition(buckets, key)
-        .write.bucketBy(buckets, key)
-        .sortBy(key)
-        .option("path", f"{location.rstrip('/')}/{uuid.uuid4().hex}")
-        .saveAsTable(staged)
-    )
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    new = f"{location.rstrip('/')}/{uuid.uuid4().hex}"
+    exists = spark.catalog.tableExists(table)
+    layout = described(spark, table) if exists else {}
+    number = int(layout["Num Buckets"]) if exists else buckets or bucket_count(rows)
+    with session_settings(spark, {"spark.sql.shuffle.partitions": str(number)}):
+        latest = latest_per_key(with_keys(rows, key), key, order_by, columns)
+        if not exists:
+            write_buckets(latest, number, key, table, new)
+            return spark.table(table)
+        staged = f"{table}_{uuid.uuid4().hex}"
+        kept = spark.table(table).select(*columns)
+        write_buckets(merged(kept, latest, key), number, key, staged, new)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PREVIOUS}' = '{layout['Location']}')")
+    spark.sql(f"DROP TABLE {staged}")
+    spark.catalog.refreshTable(table)
+    superseded = re.search(rf"{re.escape(PREVIOUS)}=([^,\]]+)", layout.get("Table Properties", ""))
+    if superseded:
+        remove_folder(spark, superseded[1])
     return spark.table(table)
 
 
-def run_sql_file(spark: SparkSession, path: str | Path) -> DataFrame:
-    """Run the one statement in a local text file against the session's tables and views."""
-    return spark.sql(Path(path).read_text())
+def write_buckets(rows: DataFrame, buckets: int, key: str, table: str, path: str) -> None:
+    """Rows that are partitioned by key already, each bucket into one file."""
+    rows.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+
+
+def run_sql_file(spark: SparkSession, path: str | Path, **arguments) -> DataFrame:
+    """Run the one statement in a local text file against the session's tables and views.
+
+    Arguments fill the statement's named parameters.
+    """
+    return spark.sql(Path(path).read_text(), args=arguments)
 
 
 def word_count_sql(lines: DataFrame) -> DataFrame:
     """The word count as SQL over a view named book."""
     lines.createOrReplaceTempView("book")
-    return run_sql_file(lines.sparkSession, WORD_COUNT_SQL)
+    return run_sql_file(lines.sparkSession, WORD_COUNT_SQL, dropped=NOT_LETTER_OR_BLANK)
 
 
 def query_to_location(spark: SparkSession, sql: str, location: str) -> DataFrame:

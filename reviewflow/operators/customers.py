@@ -42,7 +42,7 @@ def batch_lookup(customers: DataFrame, keys: DataFrame, key: str = "customer_id"
 def enrich(reviews: DataFrame, customers: DataFrame) -> DataFrame:
     """Reviews with the user name and name of their customer; reviews without one are dropped.
 
-    Customer keys are unique. No side is forced to be broadcast: adaptive execution does it when
+    Customer keys are unique: a keyed table's are, and files are put into one first. No side is forced to be broadcast: adaptive execution does it when
     the customers that reach the join are small, and otherwise splits the tasks of a hot customer.
     """
     slim_reviews = reviews.select(*ENRICH_INPUT_FIELDS).withColumn(
@@ -57,8 +57,16 @@ def latest_per_key(
 ) -> DataFrame:
     """The last row of each key in the order of some columns, with all columns or those named.
 
-    `max_by` keeps one row per key and task before the shuffle, so a key with very many rows is
-    not sorted in one place.
+    Ties are settled by the named columns, so the result does not depend on the order of the rows.
+    Each task keeps one row per key before the shuffle, so a key with very many rows is not sorted in
+    one place. Structs with strings are aggregated by sorting: a task sorts its rows by key, with the
+    columns named, and spills if need be. Name no more columns than are used.
     """
-    last = F.max_by(F.struct(*(columns or rows.columns)), F.struct(*order_by)).alias("last")
-    return rows.groupBy(key).agg(last).select("last.*")
+    kept = columns or rows.columns
+    slim = rows.select(F.col(key).alias("_of"), F.struct(*kept).alias("_row"), F.struct(F.lit(0), *order_by).alias("_at"))
+    last = F.max(F.struct("_at", "_row")).alias("_last")
+    found = slim.groupBy("_of").agg(last)
+    # The key comes from the grouping, whose partitioning a later join on it can use.
+    return found.select(
+        *(F.col("_of").alias(name) if name == key else F.col("_last._row")[name].alias(name) for name in kept)
+    )

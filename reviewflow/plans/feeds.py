@@ -24,12 +24,15 @@ def document_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """One review per order, all fields; `review_date` is still text."""
+    """One review per order, all fields; `review_date` is still text.
+
+    Every tenth review is by someone who is no customer.
+    """
     orders = widen(read_table(spark, folder, "orders"))
     product = F.col("o_orderkey") % 1000
     fields: dict[str, Column] = {
         "marketplace": F.lit("US"),
-        "customer_id": F.col("o_custkey"),
+        "customer_id": F.when(F.col("o_orderkey") % 10 == 0, -F.col("o_custkey") - 1).otherwise(F.col("o_custkey")),
         "review_id": F.concat(F.lit("R"), "o_orderkey"),
         "product_id": F.concat(F.lit("B"), product),
         "product_parent": product.cast("int"),
@@ -72,8 +75,3 @@ def customer_rows(table: DataFrame) -> DataFrame:
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     return customer_rows(read_table(spark, folder, "customer"))
-
-
-def solvent_customers(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers with money on their account, so that a join has reviews to drop."""
-    return customer_rows(read_table(spark, folder, "customer").where("c_acctbal > 0"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,19 +12,20 @@ from reviewflow import catalog
 from reviewflow.operators import customers as people
 from reviewflow.operators import records, reviews, words
 from reviewflow.schemas import CUSTOMER_FIELDS
-from reviewflow.session import build_session, size_shuffles
+from reviewflow.session import MOST_FILES_PER_BATCH, build_session, shared_folder, sized_shuffles
 from reviewflow.sources import files, topics
 from reviewflow.streaming import sinks
 
 
 def word_count(spark: SparkSession, args: argparse.Namespace) -> None:
     """Count the words of text files."""
-    lines = size_shuffles(files.read_text(spark, args.input))
+    lines = files.read_text(spark, args.input)
     counts = catalog.word_count_sql(lines) if args.sql else words.count_words(lines)
-    if args.output:
-        words.rank_words(counts).write.parquet(args.output)
-    else:
-        words.top_words(counts, args.top).show(args.top, truncate=False)
+    with sized_shuffles(lines):
+        if args.output:
+            words.rank_words(counts).write.parquet(args.output)
+        else:
+            words.top_words(counts, args.top).show(args.top, truncate=False)
 
 
 def word_count_stream(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -34,7 +36,10 @@ def word_count_stream(spark: SparkSession, args: argparse.Namespace) -> None:
         if args.output
         else sinks.show_batch([F.desc("ct"), "word"], args.top)
     )
-    sinks.wait(sinks.each_batch(counts, work, args.checkpoint, "complete", trigger_of(args)))
+    query = sinks.each_batch(
+        counts, work, args.checkpoint, "complete", trigger_of(args), args.state_partitions
+    )
+    sinks.wait(query)
 
 
 def ingest_reviews(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -50,27 +55,42 @@ def ingest_reviews(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def enrich_reviews(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Add user name and name to the tab-separated reviews of a topic, batch by batch."""
-    lookup = (
-        spark.table(args.customer_table)
-        if args.customer_table
-        else files.read_customers(spark, args.customers)
-    )
+    """Add user name and name to the tab-separated reviews of a topic, batch by batch.
+
+    Customer files are put into a keyed table first: one row per customer, the last, which is neither
+    read anew from the files nor shuffled with every batch.
+    """
+    if args.customer_table:
+        lookup = spark.table(args.customer_table)
+    else:
+        rows = files.with_file_order(files.read_customers(spark, args.customers))
+        table = f"reviewers_{uuid.uuid4().hex}"
+        lookup = put_customers(rows, table, shared_folder(spark, "reviewers"))
     parsed = reviews.parse_review_tsv(topics.values(stream_of(spark, args)))
     work = sinks.batch_table(args.output, lambda batch: people.enrich(batch, lookup))
     slim = parsed.select(*people.ENRICH_INPUT_FIELDS)
-    sinks.wait(sinks.each_batch(slim, work, args.checkpoint, trigger=trigger_of(args)))
+    try:
+        sinks.wait(sinks.each_batch(slim, work, args.checkpoint, trigger=trigger_of(args)))
+    finally:
+        if not args.customer_table:
+            spark.sql(f"DROP TABLE {table}")
 
 
 def load_customers(spark: SparkSession, args: argparse.Namespace) -> None:
     """Put customer files into a keyed table, a later line replacing an earlier of its key."""
-    rows = files.with_file_order(size_shuffles(files.read_customers(spark, args.input)))
-    catalog.put_rows(
-        args.table, rows, "customer_id", files.FILE_ORDER, args.location, CUSTOMER_FIELDS
-    )
+    rows = files.with_file_order(files.read_customers(spark, args.input))
+    put_customers(rows, args.table, args.location, args.buckets)
     catalog.table_stats(spark, args.table).show(truncate=False)
 
 
+def put_customers(
+    rows: DataFrame, table: str, location: str, buckets: int | None = None
+) -> DataFrame:
+    return catalog.put_rows(
+        table, rows, "customer_id", files.FILE_ORDER, location, CUSTOMER_FIELDS, buckets
+    )
+
+
 def lookup_customer(spark: SparkSession, args: argparse.Namespace) -> None:
     """Print the customer of a key."""
     people.point_lookup(spark.table(args.table), "customer_id", args.key).show(truncate=False)
@@ -137,7 +157,12 @@ def parser() -> argparse.ArgumentParser:
 
     stream = argparse.ArgumentParser(add_help=False, parents=[topic])
     stream.add_argument("--checkpoint", required=True)
-    stream.add_argument("--max-per-trigger", type=int, help="offsets (or files) per batch")
+    stream.add_argument(
+        "--max-per-trigger",
+        type=int,
+        help="rate cap: offsets per batch of a Kafka topic (no cap unless given), or files of a "
+        f"topic kept as files ({MOST_FILES_PER_BATCH} unless given)",
+    )
     pace = stream.add_mutually_exclusive_group()
     pace.add_argument("--until-done", action="store_true", help="stop when all is read")
     pace.add_argument("--every", type=int, help="seconds between batches")
@@ -160,6 +185,7 @@ def parser() -> argparse.ArgumentParser:
     sub = job(word_count_stream, stream)
     sub.add_argument("--output")
     sub.add_argument("--top", type=int, default=20)
+    sub.add_argument("--state-partitions", type=int, help="parts of the state, for ever")
 
     sub = job(ingest_reviews, stream)
     sub.add_argument("--output", required=True)
@@ -174,6 +200,7 @@ def parser() -> argparse.ArgumentParser:
     sub = job(load_customers)
     for name in ("--input", "--table", "--location"):
         sub.add_argument(name, required=True)
+    sub.add_argument("--buckets", type=int, help="buckets of a new table, for ever")
 
     sub = job(lookup_customer)
     sub.add_argument("--table", required=True)

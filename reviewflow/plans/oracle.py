@@ -17,7 +17,7 @@ DATE_TEXT = "strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') || '-06:00'"
 # All review fields but the date, as order_reviews tells them.
 REVIEW_FIELDS = f"""
     'US' AS marketplace,
-    o_custkey AS customer_id,
+    CASE WHEN o_orderkey % 10 = 0 THEN -o_custkey - 1 ELSE o_custkey END AS customer_id,
     'R' || o_orderkey AS review_id,
     'B' || {PRODUCT} AS product_id,
     CAST({PRODUCT} AS INTEGER) AS product_parent,
@@ -52,7 +52,7 @@ CUSTOMERS = """
            CASE WHEN c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END AS sex,
            lower(replace(c_name, '#', '.')) || '@example.com' AS email,
            strftime(DATE '1930-01-01' + CAST(c_custkey % 20000 AS INTEGER), '%Y-%m-%d') AS birthdate,
-           c_custkey, c_acctbal
+           c_custkey
     FROM customer"""
 
 LOOKUP_FIELDS = "customer_id, username, name, email, birthdate"
@@ -61,7 +61,7 @@ ENRICHED = f"""
     SELECT c.customer_id, 'R' || o_orderkey AS review_id, 'Product ' || {PRODUCT} AS product_title,
            c.username, c.name
     FROM orders JOIN ({CUSTOMERS}) AS c ON c.c_custkey = o_custkey
-    WHERE c.c_acctbal > 0"""
+    WHERE o_orderkey % 10 <> 0"""
 
 ORACLE = {
     "word_count": WORD_COUNTS,
@@ -95,7 +95,7 @@ ORACLE = {
     "point_lookup": f"SELECT {LOOKUP_FIELDS} FROM ({CUSTOMERS}) AS c WHERE c_custkey = 23",
     "batch_lookup": f"""
         SELECT {LOOKUP_FIELDS} FROM ({CUSTOMERS}) AS c
-        WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority LIKE '1%')""",
+        WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderkey % 10 <> 0)""",
     "enrich_join": ENRICHED,
     "enrich_stream": ENRICHED,
     "latest_per_key": """
@@ -109,7 +109,6 @@ ORACLE = {
             FROM customer
             UNION ALL
             SELECT o_custkey, o_orderstatus, o_orderkey FROM orders
-            WHERE o_orderpriority = '1-URGENT'
         ) AS puts
         QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY put_id DESC) = 1""",
     "publish_keyed_csv": """
@@ -123,11 +122,12 @@ ORACLE = {
                    AS value
         FROM ({CUSTOMERS}) AS c""",
     "publish_and_drain": f"SELECT 'reviews' AS topic, value FROM ({REVIEW_LINES}) AS lines",
-    "topic_positions": """
-        SELECT 'events' AS topic, CAST(count(*) AS BIGINT) AS records,
-               CAST(count(*) AS BIGINT) AS positions
-        FROM events""",
     "ingest_parquet_stream": TYPED_REVIEWS,
+    "ingest_restart": TYPED_REVIEWS,
+    "rating_histogram": f"""
+        SELECT CAST(id AS BIGINT) AS star_rating, CAST(count(review_id) AS BIGINT) AS reviews
+        FROM range(1, 6) AS ratings(id) LEFT JOIN ({TYPED_REVIEWS}) AS reviews ON star_rating = id
+        GROUP BY id""",
     "external_table": f"""
         SELECT product_category, CAST(count(*) AS BIGINT) AS reviews,
                CAST(count(*) AS BIGINT) AS stamped, CAST(sum(total_votes) AS BIGINT) AS votes

@@ -7,6 +7,7 @@ folder under `spark.checkpoint.dir`, and return what the run left behind.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from reviewflow import catalog
 from reviewflow.operators import customers as people
 from reviewflow.operators import records, reviews, words
 from reviewflow.plans import feeds
-from reviewflow.schemas import REVIEW
+from reviewflow.schemas import CUSTOMER_FIELDS, REVIEW
 from reviewflow.session import shared_folder, widen
 from reviewflow.sources import files, rows, topics
 from reviewflow.streaming import sinks
@@ -28,6 +29,10 @@ DATABASE = "reviewflow"
 # Streams over a topic read it in about this many micro-batches.
 BATCHES = 2
 
+# The running count reads its files in this many micro-batches, and has its state in so many parts.
+COUNT_BATCHES = 3
+STATE_PARTITIONS = 16
+
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
     """Register a query under its name."""
@@ -49,6 +54,13 @@ def streamed(spark: SparkSession, topic: topics.FileTopic) -> DataFrame:
     return topic.stream(spark, topic.files_per_batch(spark, BATCHES))
 
 
+def work_database(spark: SparkSession) -> str:
+    """The database that tables of the queries lie in."""
+    if not spark.catalog.databaseExists(DATABASE):
+        catalog.create_database(spark, DATABASE, shared_folder(spark, "database"))
+    return DATABASE
+
+
 def without_review_date(stored: DataFrame) -> DataFrame:
     """Review fields with the date as seconds since 1970, which no time zone setting changes."""
     epoch = F.unix_seconds("review_date").alias("review_epoch")
@@ -75,18 +87,21 @@ def top_words(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def word_count_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """A running count in complete mode; its last snapshot, ranked."""
-    lines = words.split_lines(files.stream_table(spark, folder, "documents").select("text"))
-    path = shared_folder(spark, "word-count")
+    """A running count over text files, several batches, ranked within the stream; its last snapshot."""
+    source, path = shared_folder(spark, "lines"), shared_folder(spark, "word-count")
+    feeds.document_lines(spark, folder).write.text(source)
+    parts = len(spark.read.text(source).inputFiles())
+    lines = files.stream_text(spark, source, max(1, parts // COUNT_BATCHES))
     sinks.wait(
         sinks.each_batch(
-            words.count_words(lines),
+            words.rank_words(words.count_words(lines)),
             sinks.snapshot_table(path),
             checkpoint=shared_folder(spark, "checkpoint"),
             output_mode="complete",
+            state_partitions=STATE_PARTITIONS,
         )
     )
-    return words.rank_words(sinks.read_snapshot(spark, path))
+    return sinks.read_snapshot(spark, path)
 
 
 # Files
@@ -110,9 +125,10 @@ def tsv_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def customer_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Customer files with an explicit all-STRING schema."""
+    """Customer files whose columns come in another order than the schema's."""
     path = shared_folder(spark, "customers-tsv")
-    feeds.customers(spark, folder).write.csv(path, sep="\t", header=True)
+    shuffled = feeds.customers(spark, folder).select(*reversed(CUSTOMER_FIELDS))
+    shuffled.write.csv(path, sep="\t", header=True)
     return files.read_customers(spark, path)
 
 
@@ -173,24 +189,25 @@ def point_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def batch_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers of the urgent orders."""
-    urgent = feeds.order_reviews(spark, folder).where("star_rating = 1")
-    keys = urgent.select(F.col("customer_id").cast("string"))
+    """Customers who wrote a review."""
+    keys = feeds.order_reviews(spark, folder).select(F.col("customer_id").cast("string"))
     return people.lookup_form(people.batch_lookup(feeds.customers(spark, folder), keys))
 
 
 @query
 def enrich_join(spark: SparkSession, folder: str) -> DataFrame:
     parsed = reviews.parse_review_tsv(feeds.review_tsv_records(spark, folder))
-    return people.enrich(parsed, feeds.solvent_customers(spark, folder))
+    return people.enrich(parsed, feeds.customers(spark, folder))
 
 
 @query
 def enrich_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Reviews from a topic, enriched batch by batch into a table keyed by the batch id."""
+    """Reviews from a topic, enriched batch by batch from a keyed table, into a table by batch id."""
     topic = published(spark, "reviews", feeds.review_tsv_records(spark, folder))
     parsed = reviews.parse_review_tsv(topics.values(streamed(spark, topic)))
-    lookup = feeds.solvent_customers(spark, folder)
+    table, location = f"{work_database(spark)}.reviewers", shared_folder(spark, "reviewers")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    lookup = catalog.put_rows(table, feeds.customers(spark, folder), "customer_id", [], location)
     path = shared_folder(spark, "enriched")
     sinks.wait(
         sinks.each_batch(
@@ -212,16 +229,15 @@ def latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def put_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """A keyed table after two puts: all customers, then each urgent order's customer."""
-    catalog.create_database(spark, DATABASE, shared_folder(spark, "database"))
-    table, location = f"{DATABASE}.customers", shared_folder(spark, "customers")
+    """A keyed table after two puts: all customers, then each order's customer."""
+    table, location = f"{work_database(spark)}.customers", shared_folder(spark, "customers")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     first = files.read_table(spark, folder, "customer").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_mktsegment").alias("note"),
         F.lit(-1).cast("long").alias("put_id"),
     )
-    orders = files.read_table(spark, folder, "orders").where("o_orderpriority = '1-URGENT'")
+    orders = files.read_table(spark, folder, "orders")
     second = orders.select(
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderstatus").alias("note"),
@@ -245,24 +261,33 @@ def publish_keyed_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def publish_users(spark: SparkSession, folder: str) -> DataFrame:
-    """Ids 1 to n with the name and email of the n-th customer."""
-    table = files.read_table(spark, folder, "customer")
-    last = table.agg(F.max("c_custkey")).first()[0]
-    ids = rows.record_ids(spark, 0 if last is None else last + 1)
-    users = feeds.customer_rows(table).withColumn("id", F.col("customer_id").cast("long") + 1)
-    named = ids.join(users, "id")
-    messages = records.csv_records(named, F.col("key"), F.col("name"), F.col("email"))
+    """Customers as CSV records id,name,email, ids from 1."""
+    users = feeds.customer_rows(files.read_table(spark, folder, "customer"))
+    key = F.col("customer_id").cast("long") + 1
+    messages = records.csv_records(users, key, F.col("name"), F.col("email"))
     return published(spark, "connection-test", messages).read(spark).select("key", "value")
 
 
+@query
+def rating_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    """All ratings from 1 to 5 with their number of reviews, also those without one."""
+    counts = feeds.order_reviews(spark, folder).groupBy("star_rating").agg(F.count("*").alias("ct"))
+    ratings = rows.record_ids(spark, 5).withColumnRenamed("id", "star_rating")
+    joined = ratings.join(counts, "star_rating", "left")
+    return joined.select("star_rating", F.coalesce("ct", F.lit(0)).cast("long").alias("reviews"))
+
+
 @query
 def publish_and_drain(spark: SparkSession, folder: str) -> DataFrame:
-    """Review files without their header line into a topic, then the topic drained to a table."""
+    """Review files without their header line, published in two halves at a time, then the topic
+    drained to a table."""
     source = shared_folder(spark, "reviews-tsv")
     feeds.order_reviews(spark, folder).write.csv(source, sep="\t", header=True)
-    lines = files.read_text_after_first_line(spark, source)
+    lines = records.without_blank_lines(files.read_text_after_first_line(spark, source))
     topic = new_topic(spark, "reviews")
-    topic.publish(records.without_blank_lines(lines))
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    with ThreadPoolExecutor(2) as publishers:
+        list(publishers.map(topic.publish, [lines.where(half == 0), lines.where(half == 1)]))
     drained = shared_folder(spark, "drained")
     sinks.wait(
         sinks.append_parquet(
@@ -274,38 +299,26 @@ def publish_and_drain(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(drained).select("topic", "value")
 
 
-@query
-def topic_positions(spark: SparkSession, folder: str) -> DataFrame:
-    """Two publications into one topic: no position is given twice."""
-    events = widen(files.read_table(spark, folder, "events"))
-    messages = events.select(F.col("event_id").alias("key"), F.col("props").alias("value"))
-    topic = published(spark, "events", messages.where("event_type = 'purchase'"))
-    topic.publish(messages.where("event_type <> 'purchase'"))
-    return topics.topic_positions(topic.read(spark))
+# Stored reviews
 
 
-# Stored reviews
+def ingest(spark: SparkSession, topic: topics.FileTopic, path: str, checkpoint: str) -> None:
+    """Run what a topic has that is new to the checkpoint into parquet."""
+    parsed = reviews.parse_review_json(topics.values(streamed(spark, topic)))
+    sinks.wait(sinks.append_parquet(reviews.with_processing_time(parsed), path, checkpoint))
 
 
 def ingested(spark: SparkSession, folder: str) -> str:
     """Run JSON reviews from a topic into parquet; the location of the files."""
     topic = published(spark, "reviews", feeds.review_json_records(spark, folder))
-    parsed = reviews.parse_review_json(topics.values(streamed(spark, topic)))
     path = shared_folder(spark, "reviews")
-    sinks.wait(
-        sinks.append_parquet(
-            reviews.with_processing_time(parsed),
-            path,
-            checkpoint=shared_folder(spark, "checkpoint"),
-        )
-    )
+    ingest(spark, topic, path, shared_folder(spark, "checkpoint"))
     return path
 
 
 def review_table(spark: SparkSession, folder: str, name: str) -> str:
     """An external table over freshly ingested reviews."""
-    catalog.create_database(spark, DATABASE, shared_folder(spark, "database"))
-    table = f"{DATABASE}.{name}"
+    table = f"{work_database(spark)}.{name}"
     catalog.create_external_table(spark, table, ingested(spark, folder))
     return table
 
@@ -316,6 +329,19 @@ def ingest_parquet_stream(spark: SparkSession, folder: str) -> DataFrame:
     return without_review_date(stored.where("current_tsp IS NOT NULL"))
 
 
+@query
+def ingest_restart(spark: SparkSession, folder: str) -> DataFrame:
+    """Reviews published and ingested in two parts, the second run going on at the checkpoint."""
+    messages = feeds.review_json_records(spark, folder)
+    early = F.pmod(F.xxhash64("value"), F.lit(3)) == 0
+    topic, path = new_topic(spark, "reviews"), shared_folder(spark, "reviews")
+    checkpoint = shared_folder(spark, "checkpoint")
+    for part in (messages.where(early), messages.where(~early)):
+        topic.publish(part)
+        ingest(spark, topic, path, checkpoint)
+    return without_review_date(spark.read.parquet(path))
+
+
 @query
 def external_table(spark: SparkSession, folder: str) -> DataFrame:
     table = review_table(spark, folder, "reviews")

@@ -1,10 +1,6 @@
 SELECT word, count(*) AS ct
-FROM (
-    SELECT explode(split(lcase(regexp_replace(
-        value, '[^abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ ]', ''
-    )), ' ')) AS word
-    FROM book
-) AS tokens
-WHERE len(word) > 0
+FROM book
+LATERAL VIEW explode(split(lower(regexp_replace(value, :dropped, '')), ' ')) tokens AS word
+WHERE word <> ''
 GROUP BY word
 ORDER BY ct DESC, word

@@ -59,6 +59,9 @@ TOPIC_RECORD = StructType(
     ]
 )
 
+# One record of a topic that is kept as files.
+FILE_RECORD = all_strings(["key", "value", "topic"])
+
 
 def ddl(schema: StructType) -> str:
     """Column list for CREATE TABLE and for parsers that take a DDL string."""

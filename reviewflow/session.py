@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -35,12 +34,10 @@ SMALL_INPUT_BYTES = 256 * 1024 * 1024
 SHUFFLE_INPUT_BYTES = 512 * 1024 * 1024
 MOST_SHUFFLE_PARTITIONS = 25_000
 
-# Files a stream takes up in one micro-batch unless told otherwise: about a terabyte of full-size
-# files, so that a lost batch is not the whole backlog.
+# Files a stream takes up in one micro-batch unless its rate cap says otherwise (`--max-per-trigger` of
+# the jobs): about a terabyte of full-size files, so that a lost batch is not the whole backlog.
 MOST_FILES_PER_BATCH = 10_000
 
-_local_root: str | None = None
-
 
 def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
     """A session with this package's settings; `settings` are added on top."""
@@ -71,16 +68,13 @@ def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path that every executor can reach, under `spark.checkpoint.dir`.
 
-    Only a local session may go without that setting; it then gets a temporary folder.
+    Only a local session may go without that setting; it then uses the warehouse folder.
     """
-    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-        if _local_root is None:
-            _local_root = tempfile.mkdtemp(prefix="reviewflow-")
-        root = _local_root
+        root = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
     return f"{root.rstrip('/')}/reviewflow/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -93,29 +87,29 @@ def source_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def widen(rows: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
-    """Spread a small input evenly over all cores.
+def widen(rows: DataFrame) -> DataFrame:
+    """Spread a small bounded input evenly over all cores.
 
     A small table is often one file with one row group, which is one task. Larger inputs already
-    arrive in many splits and are returned as they are, so nothing big is shuffled. A stream has no
-    size of its own: `sized_by` is the table it starts from.
+    arrive in many splits and are returned as they are, so nothing big is shuffled. Streams, whose
+    size changes from batch to batch, are never widened.
     """
-    if source_bytes(rows if sized_by is None else sized_by) > SMALL_INPUT_BYTES:
+    if source_bytes(rows) > SMALL_INPUT_BYTES:
         return rows
     return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
 
 
-def size_shuffles(table: DataFrame) -> DataFrame:
-    """Raise the session's shuffle partitions to the size of a table that is going to be shuffled.
+@contextmanager
+def sized_shuffles(table: DataFrame) -> Iterator[None]:
+    """Within a block, raise the shuffle partitions to the size of a table that is shuffled there.
 
     They are never lowered: adaptive execution merges those that stay small.
     """
-    name = "spark.sql.shuffle.partitions"
-    conf = table.sparkSession.conf
+    spark = table.sparkSession
     wanted = min(MOST_SHUFFLE_PARTITIONS, source_bytes(table) // SHUFFLE_INPUT_BYTES)
-    if wanted > int(conf.get(name)):
-        conf.set(name, str(wanted))
-    return table
+    partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    with session_settings(spark, {"spark.sql.shuffle.partitions": str(partitions)}):
+        yield
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -129,6 +123,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(java_path)
 
 
+def same_path(spark: SparkSession, one: str, other: str) -> bool:
+    """Two spellings of one location."""
+    (fs1, path1), (fs2, path2) = hadoop_path(spark, one), hadoop_path(spark, other)
+    return fs1.makeQualified(path1).toString() == fs2.makeQualified(path2).toString()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, java_path = hadoop_path(spark, path)
+    fs.delete(java_path, True)
+
+
 def file_count(spark: SparkSession, path: str) -> int:
     fs, java_path = hadoop_path(spark, path)
     return fs.getContentSummary(java_path).getFileCount()

@@ -6,11 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reviewflow.schemas import CUSTOMER
-from reviewflow.session import MOST_FILES_PER_BATCH, hadoop_path, size_shuffles, widen
-
-# One row per file is broadcast up to this number: some ten megabytes of paths.
-BROADCAST_FILES = 50_000
+from reviewflow.schemas import CUSTOMER_FIELDS
+from reviewflow.session import MOST_FILES_PER_BATCH, hadoop_path
 
 FILE_ORDER = ["file", "block_start", "line_id"]
 
@@ -24,17 +21,15 @@ def read_text_after_first_line(spark: SparkSession, path: str) -> DataFrame:
     """Lines of each file but its first, whatever that line holds.
 
     A file's first line is the first row of the scan partition that holds the file's start. Row ids
-    ascend within a scan partition, so it is the lowest id per file, found with one small aggregate
-    over a scan that decodes no text. Both scans list the same files under the same settings and so
-    cut them alike. If the header is known, `records.without_line` needs a single scan.
+    ascend within a scan partition and differ over the scan, so it is the lowest id per file, found
+    with one small aggregate over a scan that decodes no text. Both scans list the same files under
+    the same settings and so cut them alike. One number per file is broadcast, less than the listing
+    of the files that the driver holds for any scan; no text is shuffled. If the header is known,
+    `records.without_line` needs a single scan.
     """
     lines = with_file_order(spark.read.text(path))
-    first_lines = (
-        lines.where("block_start = 0").groupBy("file").agg(F.min("line_id").alias("line_id"))
-    )
-    if len(lines.inputFiles()) <= BROADCAST_FILES:
-        first_lines = F.broadcast(first_lines)
-    return lines.join(first_lines, ["file", "line_id"], "left_anti").select("value")
+    starts = lines.where("block_start = 0").groupBy("file").agg(F.min("line_id").alias("line_id"))
+    return lines.join(F.broadcast(starts.select("line_id")), "line_id", "left_anti").select("value")
 
 
 def read_tsv(
@@ -48,7 +43,13 @@ def read_tsv(
 
 
 def read_customers(spark: SparkSession, path: str) -> DataFrame:
-    return read_tsv(spark, path, CUSTOMER)
+    """Customer files, columns bound by the names in the header; all are STRING.
+
+    A file without one of the columns fails with its name, as does one whose header differs from
+    that of the others.
+    """
+    reader = spark.read.option("sep", "\t").option("header", "true").option("enforceSchema", "false")
+    return reader.csv(path).select(*CUSTOMER_FIELDS)
 
 
 def with_file_order(rows: DataFrame) -> DataFrame:
@@ -65,8 +66,7 @@ def with_file_order(rows: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A parquet table; the session's shuffles are made wide enough for it."""
-    return size_shuffles(spark.read.parquet(f"{folder}/{name}.parquet"))
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def stream_table(
@@ -77,12 +77,14 @@ def stream_table(
     A file stream lists folders only, so a single file is picked out of its folder by name.
     """
     path = f"{folder}/{name}.parquet"
-    table = read_table(spark, folder, name)
-    reader = spark.readStream.schema(table.schema)
+    reader = spark.readStream.schema(read_table(spark, folder, name).schema)
     reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     fs, java_path = hadoop_path(spark, path)
     if fs.getFileStatus(java_path).isDirectory():
-        rows = reader.parquet(path)
-    else:
-        rows = reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
-    return widen(rows, sized_by=table)
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+
+
+def stream_text(spark: SparkSession, path: str, max_files_per_trigger: int) -> DataFrame:
+    """Lines of the text files of a folder as a stream, column `value`."""
+    return spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(path)

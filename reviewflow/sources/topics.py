@@ -1,25 +1,25 @@
-"""Topics: a Kafka topic, or a folder of parquet files with a Kafka source's columns.
+"""Topics: a Kafka topic, or a folder of parquet files with keyed records.
 
 Both kinds offer `read` (the records there are now), `stream` and `publish`. A publisher gives
-columns `value` and, if records are keyed, `key`.
+columns `value` and, if records are keyed, `key`. Where a record lies is told by partition and offset
+in Kafka, and by file and row in a folder.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.schemas import TOPIC_RECORD
-from reviewflow.session import MOST_FILES_PER_BATCH, file_count, path_exists, size_shuffles
+from reviewflow.schemas import FILE_RECORD
+from reviewflow.session import MOST_FILES_PER_BATCH, file_count
 
 METADATA_FIELDS = ["topic", "partition", "offset", "timestamp"]
-
-# monotonically_increasing_id keeps the partition above these bits and counts its rows below them.
-ROW_BITS = 33
+FILE_METADATA_FIELDS = ["topic", "file", "row", "timestamp"]
 
 
 @dataclass(frozen=True)
@@ -109,45 +109,35 @@ class FileTopic:
     path: str
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return size_shuffles(spark.read.schema(TOPIC_RECORD).parquet(self.path))
+        return positioned(self._source(spark.read))
 
     def stream(self, spark: SparkSession, max_per_trigger: int | None = None) -> DataFrame:
         cap = max_per_trigger or MOST_FILES_PER_BATCH
-        reader = spark.readStream.schema(TOPIC_RECORD).option("maxFilesPerTrigger", cap)
-        return reader.parquet(self.path)
+        return positioned(self._source(spark.readStream.option("maxFilesPerTrigger", cap)))
+
+    def _source(self, reader) -> DataFrame:
+        return reader.schema(FILE_RECORD).option("recursiveFileLookup", "true").parquet(self.path)
 
     def files_per_batch(self, spark: SparkSession, batches: int) -> int:
         """A rate cap that reads the topic in about that many micro-batches, or more if it is big."""
         return max(1, min(MOST_FILES_PER_BATCH, -(-file_count(spark, self.path) // batches)))
 
     def publish(self, records: DataFrame) -> None:
-        """Append records. Each writing task is a partition and counts its own offsets.
-
-        Offsets of a later publication start above those already there, so an offset is never
-        given twice in a partition, and no shuffle is needed to give them out.
-        """
-        first = self._next_offset(records.sparkSession)
-        row = F.col("row")
-        (
-            keyed_records(records)
-            .withColumn("row", F.monotonically_increasing_id())
-            .select(
-                "key",
-                "value",
-                F.lit(self.name).alias("topic"),
-                F.shiftright(row, ROW_BITS).cast("int").alias("partition"),
-                (row.bitwiseAND(F.lit((1 << ROW_BITS) - 1)) + F.lit(first)).alias("offset"),
-                F.current_timestamp().alias("timestamp"),
-            )
-            .write.mode("append")
-            .parquet(self.path)
-        )
-
-    def _next_offset(self, spark: SparkSession) -> int:
-        if not path_exists(spark, self.path):
-            return 0
-        last = self.read(spark).agg(F.max("offset")).first()[0]
-        return 0 if last is None else last + 1
+        """Add records. Each publication has a folder of its own, so several may run at a time."""
+        rows = keyed_records(records).select("key", "value", F.lit(self.name).alias("topic"))
+        rows.write.parquet(f"{self.path}/{uuid.uuid4().hex}")
+
+
+def positioned(records: DataFrame) -> DataFrame:
+    """Records of a folder with the file and row where each lies, and when its file was written."""
+    return records.select(
+        "key",
+        "value",
+        "topic",
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.row_index").alias("row"),
+        F.col("_metadata.file_modification_time").alias("timestamp"),
+    )
 
 
 def keyed_records(records: DataFrame) -> DataFrame:
@@ -169,13 +159,6 @@ def values(records: DataFrame) -> DataFrame:
 
 
 def record_metadata(records: DataFrame) -> DataFrame:
-    """Where each value lies: topic, partition, offset, timestamp."""
-    return records.select(*METADATA_FIELDS, F.col("value").cast("string"))
-
-
-def topic_positions(records: DataFrame) -> DataFrame:
-    """Per topic: how many records there are, and at how many different positions they lie."""
-    return records.groupBy("topic").agg(
-        F.count("*").alias("records"),
-        F.count_distinct("partition", "offset").alias("positions"),
-    )
+    """Where each value lies: topic, partition, offset, timestamp, or file and row in a folder."""
+    fields = METADATA_FIELDS if "offset" in records.columns else FILE_METADATA_FIELDS
+    return records.select(*fields, F.col("value").cast("string"))

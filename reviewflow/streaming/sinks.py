@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from reviewflow.session import STATE_STORE, session_settings
+from reviewflow.session import STATE_STORE, path_exists, session_settings
 
 # Triggers: all there is and then stop, every ten seconds, or as soon as the last batch is done.
 ALL_AVAILABLE = {"availableNow": True}
@@ -44,12 +44,19 @@ def each_batch(
     checkpoint: str,
     output_mode: str = "append",
     trigger: dict = ALL_AVAILABLE,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Call a function with each micro-batch, as a bounded table, and its id.
 
     A batch may be handed over again after a failure: `work` must give the same result twice.
+    `state_partitions` is the number of parts of a stateful stream's state. It holds for the life of
+    the checkpoint, so it is chosen for the state to come; without it, the session's shuffle
+    partitions at the first start are taken.
     """
-    with session_settings(rows.sparkSession, STATE_STORE):
+    settings = dict(STATE_STORE)
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    with session_settings(rows.sparkSession, settings):
         writer = rows.writeStream.outputMode(output_mode).foreachBatch(work)
         return _started(writer, checkpoint, trigger)
 
@@ -78,10 +85,14 @@ def snapshot_table(path: str) -> Callable:
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot."""
-    snapshots = spark.read.parquet(path)
+    """The newest whole snapshot. A slot whose write was cut off has no success marker."""
+    slots = [f"{path}/slot={slot}" for slot in (0, 1)]
+    whole = [slot for slot in slots if path_exists(spark, f"{slot}/_SUCCESS")]
+    snapshots = spark.read.parquet(*whole)
     newest = snapshots.agg(F.max("batch_id")).first()[0]
-    return snapshots.where(F.col("batch_id") == newest).drop("batch_id", "slot")
+    # Without rows there is no batch id, and nothing to choose.
+    chosen = snapshots if newest is None else snapshots.where(F.col("batch_id") == newest)
+    return chosen.drop("batch_id")
 
 
 def show_batch(order_by: list, n: int = 20) -> Callable:

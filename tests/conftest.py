@@ -16,7 +16,8 @@ TESTDATA = Path(os.environ.get("TESTDATA", "/root/testdata"))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    work = tmp_path_factory.mktemp("work")
     session = build_session(
         "reviewflow-tests",
         master="local[4]",
@@ -25,6 +26,8 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(work / "shared"),
+            "spark.sql.warehouse.dir": str(work / "warehouse"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

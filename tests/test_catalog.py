@@ -74,7 +74,8 @@ def test_settings_are_put_back(spark):
 
 
 def fake_session(master, root):
-    conf = types.SimpleNamespace(get=lambda name, default: root)
+    settings = {"spark.checkpoint.dir": root, "spark.sql.warehouse.dir": "/warehouse"}
+    conf = types.SimpleNamespace(get=lambda name, default: settings.get(name, default))
     return types.SimpleNamespace(conf=conf, sparkContext=types.SimpleNamespace(master=master))
 
 
@@ -87,7 +88,24 @@ def test_shared_folder_is_under_the_checkpoint_folder():
 def test_a_cluster_needs_a_checkpoint_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(fake_session("yarn", None), "out")
-    assert session.shared_folder(fake_session("local[2]", None), "out")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(fake_session("local-cluster[2,1,1024]", None), "out")
+    local = session.shared_folder(fake_session("local[2]", None), "out")
+    assert local.startswith("/warehouse/reviewflow/out-")
+
+
+def test_a_database_elsewhere_is_an_error(spark, database, tmp_path):
+    catalog.create_database(spark, database, str(tmp_path / "lake"))
+    with pytest.raises(ValueError, match="exists at"):
+        catalog.create_database(spark, database, str(tmp_path / "other"))
+
+
+def test_a_managed_table_is_not_replaced(spark, database, tmp_path):
+    table = f"{database}.managed"
+    spark.range(3).write.saveAsTable(table)
+    with pytest.raises(ValueError, match="not external"):
+        catalog.create_external_table(spark, table, str(tmp_path / "reviews"))
+    assert spark.table(table).count() == 3
 
 
 def test_only_small_inputs_are_widened(spark, tmp_path, monkeypatch):
@@ -99,16 +117,19 @@ def test_only_small_inputs_are_widened(spark, tmp_path, monkeypatch):
     assert session.widen(table) is table
 
 
-def test_shuffles_grow_with_the_input_only(spark, tables, monkeypatch):
+def test_shuffles_grow_with_the_input_within_a_block(spark, tables, monkeypatch):
     name = "spark.sql.shuffle.partitions"
     table = spark.read.parquet(f"{tables}/orders.parquet")
+
+    def partitions():
+        with session.sized_shuffles(table):
+            return spark.conf.get(name)
+
     with session.session_settings(spark, {name: "4"}):
-        session.size_shuffles(table)
-        assert spark.conf.get(name) == "4"
+        assert partitions() == "4"
         monkeypatch.setattr(session, "SHUFFLE_INPUT_BYTES", session.source_bytes(table) // 9)
-        session.size_shuffles(table)
-        assert spark.conf.get(name) == "9"
+        assert partitions() == "9"
         monkeypatch.setattr(session, "SHUFFLE_INPUT_BYTES", 1)
         monkeypatch.setattr(session, "MOST_SHUFFLE_PARTITIONS", 12)
-        session.size_shuffles(table)
-        assert spark.conf.get(name) == "12"
+        assert partitions() == "12"
+        assert spark.conf.get(name) == "4"

@@ -107,7 +107,14 @@ def test_latest_per_key_with_a_hot_key(spark):
     for key, at, note in rows:
         expected[key] = max(expected.get(key, (-1, "")), (at, note))
     assert {key: (at, note) for key, at, note in tuples(latest)} == expected
-    assert "partial_max_by" in plan(latest)
+    assert "partial_max" in plan(latest)
+
+
+def test_ties_do_not_depend_on_the_order_of_the_rows(spark):
+    rows = [("1", "a", 5), ("1", "c", 5), ("1", "b", 5)]
+    for order in (rows, rows[::-1]):
+        table = spark.createDataFrame(order, "key STRING, note STRING, at INT")
+        assert tuples(people.latest_per_key(table, "key", ["at"])) == [("1", "c", 5)]
 
 
 def test_first_rows(customers):
@@ -138,10 +145,51 @@ def test_put_rows_replaces_by_key(spark, database, tmp_path):
     assert sorted(tuples(spark.table(table))) == [("1", "new"), ("2", "rob"), ("3", "cy")]
 
 
+def copies_on_disk(folder):
+    return sorted(path.name for path in folder.iterdir() if path.is_dir())
+
+
+def test_buckets_stay_and_old_copies_go(spark, database, tmp_path):
+    table, folder = f"{database}.customers", tmp_path / "c"
+    rows = spark.createDataFrame([(str(i), f"u{i}") for i in range(500)], "customer_id STRING, username STRING")
+    catalog.put_rows(table, rows, "customer_id", [], str(folder), buckets=64)
+    with session_settings(spark, {"spark.sql.shuffle.partitions": "4"}):
+        for turn in range(4):
+            one = spark.createDataFrame([("7", f"turn {turn}")], rows.schema)
+            catalog.put_rows(table, one, "customer_id", [], str(folder))
+            assert catalog.described(spark, table)["Num Buckets"] == "64"
+            assert len(copies_on_disk(folder)) == 2
+            current = catalog.described(spark, table)["Location"].rpartition("/")[2]
+            assert len(list((folder / current).glob("part-*"))) <= 64
+    assert spark.table(table).count() == 500
+    assert [row.username for row in spark.table(table).where("customer_id = '7'").collect()] == ["turn 3"]
+    assert [t.name for t in spark.catalog.listTables(database)] == ["customers"]
+
+
+def test_a_null_key_is_refused(spark, database, tmp_path):
+    table = f"{database}.customers"
+    put(spark, table, [("1", "ann", 1)], tmp_path / "c")
+    with pytest.raises(Exception, match="null customer_id"):
+        put(spark, table, [("2", "bob", 1), (None, "x", 2)], tmp_path / "c")
+    assert tuples(spark.table(table)) == [("1", "ann")]
+
+
+def test_a_put_shuffles_its_rows_only(spark, database, tmp_path):
+    table = f"{database}.customers"
+    rows = spark.createDataFrame([(str(i), f"u{i}") for i in range(500)], "customer_id STRING, username STRING")
+    kept = catalog.put_rows(table, rows, "customer_id", [], str(tmp_path / "c"), buckets=8)
+    with session_settings(spark, {"spark.sql.shuffle.partitions": "8"}):
+        latest = people.latest_per_key(catalog.with_keys(rows, "customer_id"), "customer_id", [])
+        shape = plan(catalog.merged(kept, latest, "customer_id"))
+        assert "FullOuter" in shape
+        assert shape.count("Exchange") == 1
+        assert "Bucketed: true" in shape
+
+
 def test_keyed_table_is_read_by_bucket(spark, database, tmp_path, monkeypatch):
-    monkeypatch.setattr(catalog, "BUCKET_BYTES", 100)
     table = f"{database}.customers"
     rows = [(str(i), f"u{i}", 1) for i in range(1000)]
+    monkeypatch.setattr(catalog, "bucket_count", lambda rows: 4)
     put(spark, table, rows, tmp_path / "c")
     # The scan skips buckets either way, but names them only if it is not planned as a plain scan.
     with session_settings(spark, {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}):

@@ -61,7 +61,7 @@ def test_book_to_topic_to_running_count(spark, run, book, tmp_path, capsys):
     run("publish-lines", "--input", book, *on_topic("word-count", tmp_path))
     run("drain-topic", *on_topic("word-count", tmp_path), "--output", tmp_path / "drained")
     drained = spark.read.parquet(str(tmp_path / "drained"))
-    assert drained.columns == ["topic", "partition", "offset", "timestamp", "value"]
+    assert drained.columns == ["topic", "file", "row", "timestamp", "value"]
     assert sorted(row.value for row in drained.collect()) == ["The cat and the dog", "the end"]
     capsys.readouterr()
     run("word-count-stream", *as_stream("word-count", tmp_path), "--top", 1)
@@ -102,6 +102,13 @@ def test_customers_and_enrichment(spark, run, customers, tmp_path, capsys):
         run(*enrich, "--customer-table", "job_shop.customers", "--output", tmp_path / "enriched")
         enriched = spark.read.parquet(str(tmp_path / "enriched")).drop("batch_id")
         assert tuples(enriched) == expected
+        again = ["enrich-reviews", *on_topic("reviews", tmp_path), "--until-done"]
+        run(
+            *again,
+            *("--checkpoint", tmp_path / "c2", "--customers", customers, "--output", tmp_path / "e2"),
+        )
+        assert tuples(spark.read.parquet(str(tmp_path / "e2")).drop("batch_id")) == expected
+        assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("reviewers_")]
     finally:
         spark.sql("DROP DATABASE job_shop CASCADE")
 

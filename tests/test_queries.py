@@ -8,6 +8,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from reviewflow.plans.oracle import ORACLE
+from reviewflow.plans.queries import QUERIES
+
 import __spark_entry__ as contract
 
 
@@ -31,14 +34,16 @@ def duck(tables):
 
 
 def test_each_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, tables, name):
-    actual = contract.queries()[name](spark, tables)
+    actual = QUERIES[name](spark, tables)
     rows = actual.collect()
-    expected = duck.execute(contract.oracle_sql()[name])
+    expected = duck.execute(ORACLE[name])
     expected_columns = [column[0] for column in expected.description]
     expected_rows = expected.fetchall()
     assert sorted(actual.columns) == sorted(expected_columns)

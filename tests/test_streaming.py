@@ -6,6 +6,7 @@ import pytest
 from helpers import final_plan, tuples, values
 from pyspark.sql import functions as F
 
+from reviewflow import catalog
 from reviewflow.operators import customers as people
 from reviewflow.operators import reviews, words
 from reviewflow.schemas import REVIEW, REVIEW_FIELDS, STORED_REVIEW
@@ -55,7 +56,7 @@ def test_ingest_restarts_where_it_stopped(spark, topic, tmp_path):
     assert ingest.stored().count() == 21
     assert ingest.stored().where("review_id IS NULL").count() == 1
     stamps = ingest.stored().select("current_tsp").distinct().count()
-    assert stamps == spark.read.parquet(topic.path).select(F.input_file_name()).distinct().count()
+    assert stamps == topic.read(spark).select("file").distinct().count()
 
     sinks.wait(ingest.start())
     assert ingest.stored().count() == 21
@@ -201,5 +202,48 @@ def test_newest_snapshot_is_read(spark, tmp_path):
     assert got == [("2-0",), ("2-1",), ("2-2",)]
 
 
+def test_a_snapshot_without_its_marker_is_not_read(spark, tmp_path):
+    path = tmp_path / "snapshots"
+    write = sinks.snapshot_table(str(path))
+    write(values(spark, "old"), 4)
+    write(values(spark, "cut off"), 5)
+    (path / "slot=1" / "_SUCCESS").unlink()
+    assert tuples(sinks.read_snapshot(spark, str(path))) == [("old",)]
+
+
+def test_state_has_the_parts_it_was_given(spark, topic, tmp_path):
+    topic.publish(values(spark, "a b", "a"))
+    checkpoint = tmp_path / "checkpoint"
+    counts = words.count_words(topics.values(topic.stream(spark)))
+    work = sinks.snapshot_table(str(tmp_path / "counts"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    sinks.wait(sinks.each_batch(counts, work, str(checkpoint), "complete", state_partitions=3))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert len([p for p in (checkpoint / "state" / "0").iterdir() if p.name.isdigit()]) == 3
+
+
+def test_keyed_customers_are_not_shuffled_within_a_batch(spark, topic, tmp_path):
+    topic.publish(values(spark, *(tsv_review(i, i % 60) for i in range(300))))
+    spark.sql("DROP TABLE IF EXISTS batch_customers")
+    rows = spark.range(50).selectExpr("string(id) AS customer_id", "'u' AS username", "'n' AS name")
+    lookup = catalog.put_rows("batch_customers", rows, "customer_id", [], str(tmp_path / "c"), buckets=4)
+    plans = []
+
+    def work(batch, batch_id):
+        plans.append(final_plan(people.enrich(batch, lookup)))
+
+    try:
+        off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+        with session_settings(spark, off):
+            parsed = reviews.parse_review_tsv(topics.values(topic.stream(spark)))
+            slim = parsed.select(*people.ENRICH_INPUT_FIELDS)
+            sinks.wait(sinks.each_batch(slim, work, str(tmp_path / "checkpoint")))
+    finally:
+        spark.sql("DROP TABLE batch_customers")
+    (shape,) = plans
+    assert "Bucketed: true" in shape
+    assert shape.partition("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+
+
 def test_stored_schema_is_the_review_and_a_time():
     assert STORED_REVIEW.names == [*REVIEW.names, "current_tsp"]

@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import datetime
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
-from helpers import tuples, values
+from helpers import plan, tuples, values
 from pyspark.sql import functions as F
 
 from reviewflow.operators import records
@@ -76,16 +77,23 @@ def topic(tmp_path):
     return topics.FileTopic("lines", str(tmp_path / "topic"))
 
 
-def test_published_records_have_positions(spark, topic):
-    topic.publish(spark.range(100).select(F.col("id").alias("key"), F.lit("a").alias("value")))
-    topic.publish(values(spark, *"bcd").repartition(2))
+def test_records_have_positions_also_when_published_at_a_time(spark, topic, tmp_path):
+    first = spark.range(100).select(F.col("id").alias("key"), F.lit("a").alias("value"))
+    second = values(spark, *"bcd").repartition(2)
+    with ThreadPoolExecutor(2) as publishers:
+        list(publishers.map(topic.publish, [first, second]))
     held = topic.read(spark)
-    assert held.schema == TOPIC_RECORD
-    assert tuples(topics.topic_positions(held)) == [("lines", 103, 103)]
+    assert held.columns == ["key", "value", *topics.FILE_METADATA_FIELDS]
+    assert held.count() == held.select("file", "row").distinct().count() == 103
     assert held.where("key IS NULL").count() == 3
-    first, second = held.where("value = 'a'"), held.where("value <> 'a'")
-    last = first.agg(F.max("offset")).first()[0]
-    assert second.agg(F.min("offset")).first()[0] > last
+    assert held.where("timestamp IS NULL OR topic <> 'lines'").count() == 0
+    assert topics.record_metadata(held).columns == [*topics.FILE_METADATA_FIELDS, "value"]
+
+    path = str(tmp_path / "positions")
+    query = topic.stream(spark).writeStream.format("parquet").option("path", path)
+    query = query.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.read.parquet(path).select("file", "row").distinct().count() == 103
 
 
 def test_capped_stream_reads_the_topic_in_several_batches(spark, topic, tmp_path):
@@ -139,6 +147,31 @@ def test_first_line_of_each_file_is_dropped(spark, tmp_path, block):
         )
 
 
+def test_no_text_is_shuffled_to_drop_first_lines(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("title\nline\n")
+    shape = plan(files.read_text_after_first_line(spark, str(tmp_path)))
+    exchanges = [line for line in shape.splitlines() if "Exchange" in line]
+    assert any("Broadcast" in line for line in exchanges)
+    assert not [line for line in exchanges if "value" in line]
+    assert "SortMergeJoin" not in shape
+
+
+def test_customer_columns_are_bound_by_name(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("username\tcustomer_id\tname\tsex\temail\tbirthdate\nann\t007\tA\tF\te\tb\n")
+    assert tuples(files.read_customers(spark, str(tmp_path))) == [("007", "ann", "A", "F", "e", "b")]
+    (tmp_path / "a.txt").write_text("username\tcustomer_id\tname\tsex\tbirthdate\nann\t007\tA\tF\tb\n")
+    with pytest.raises(Exception, match="email"):
+        files.read_customers(spark, str(tmp_path))
+
+
+def test_customer_files_of_another_header_fail(spark, tmp_path):
+    names = ["customer_id", "username", "name", "sex", "email", "birthdate"]
+    for file, header in (("a", names), ("b", names[::-1])):
+        (tmp_path / file).write_text("\t".join(header) + "\n" + "\t".join("123456") + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_customers(spark, str(tmp_path)).collect()
+
+
 def test_file_order_of_split_files(spark, tmp_path):
     lines = [f"line {i}" for i in range(200)]
     (tmp_path / "a.txt").write_text("\n".join(lines))
