@@ -179,11 +179,24 @@ def place_columns(rows: np.ndarray) -> list[pa.Array]:
     return [pa.array(rows[name], kind) for name, kind in zip(("doc_id", "text_hash", "start", "windows"), PLACE_KINDS, strict=True)]
 
 
+def joined_runs(rows: np.ndarray) -> np.ndarray:
+    """Places that follow one another in a document as one place, so a copied text is one row."""
+    if not len(rows):
+        return rows
+    rows = rows[np.lexsort((rows["start"], rows["text_hash"], rows["doc_id"]))]
+    begins = np.ones(len(rows), bool)
+    begins[1:] = rows["start"][1:] != rows["start"][:-1] + rows["windows"][:-1]
+    begins[1:] |= (rows["doc_id"][1:] != rows["doc_id"][:-1]) | (rows["text_hash"][1:] != rows["text_hash"][:-1])
+    runs = rows[begins].copy()
+    runs["windows"] = np.add.reduceat(rows["windows"], np.flatnonzero(begins))
+    return runs
+
+
 def send(rows: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """The earliest row of each key by bucket; the other rows are known to repeat."""
     rows, new, later = sort_keyed(rows)
     names = [field.split()[0] for field in SENT.split(", ")]
-    repeated = rows[later]
+    repeated = joined_runs(rows[later])
     if len(repeated):
         bucket = pa.array(np.arange(len(repeated)) % buckets, pa.int32())
         yield pa.RecordBatch.from_arrays([bucket, pa.nulls(len(repeated), pa.binary()), *place_columns(repeated)], names)
@@ -214,7 +227,7 @@ def receive(different: bool):
         rows = np.concatenate(blobs)
         blobs.clear()
         rows, new, later = sort_keyed(rows)
-        repeated = rows[later]
+        repeated = joined_runs(rows[later])
         if len(repeated):
             nothing = [pa.nulls(len(repeated), pa.int64()), pa.nulls(len(repeated), pa.int32())]
             yield pa.RecordBatch.from_arrays([*place_columns(repeated), *nothing], names)
