@@ -46,7 +46,7 @@ REMEMBERED = 200_000
 
 # Contexts are counted for words and for beginnings of this many bytes.
 STEM = 4
-LEAST_RATIO = 5.0
+LEAST_RATIO = 6.0
 # Log-likelihood, beyond that of the best of as many random words, that sets a word apart.
 MARGIN = 2.0
 
@@ -193,14 +193,16 @@ def telling(seen: DataFrame, by: str, totals: dict[int, int]) -> DataFrame:
     """Words of toxic contexts, with the number of them, that are set apart by word or beginning.
 
     With a share p of all contexts toxic, E = p n of n are expected to be; the Poisson log-likelihood
-    ratio of what is seen must exceed the logarithm of the number of words tried, and some.
+    ratio of what is seen must exceed the logarithm of the number of words tried, and some. The rate of
+    a word in toxic text must also be `LEAST_RATIO` times that in ordinary text.
     """
     n1, n0 = F.sum("toxic"), F.sum(1 - F.col("toxic"))
     groups = seen.groupBy(by).agg(n1.alias("n1"), n0.alias("n0")).where(F.length(by) >= 3)
     tried = groups.count()
     expected = (F.col("n1") + F.col("n0")) * (totals[1] / (totals[0] + totals[1]))
     likelihood = F.col("n1") * F.log(F.col("n1") / expected) - (F.col("n1") - expected)
-    apart = groups.where((F.col("n1") >= LEAST_RATIO * expected) & (likelihood >= math.log(max(2, tried)) + MARGIN))
+    often = F.col("n1") * totals[0] >= LEAST_RATIO * totals[1] * (F.col("n0") + 0.5)
+    apart = groups.where(often & (F.col("n1") > expected) & (likelihood >= math.log(max(2, tried)) + MARGIN))
     words = seen.where("toxic = 1").groupBy("stem", "word").agg(F.count("*").alias("n"))
     return words.join(apart.select(by), by).select("word", "n")
 
