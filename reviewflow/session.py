@@ -72,7 +72,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
         root = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
     return f"{root.rstrip('/')}/reviewflow/{purpose}-{uuid.uuid4().hex}"

@@ -90,8 +90,9 @@ def test_a_cluster_needs_a_checkpoint_folder():
         session.shared_folder(fake_session("yarn", None), "out")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(fake_session("local-cluster[2,1,1024]", None), "out")
-    local = session.shared_folder(fake_session("local[2]", None), "out")
-    assert local.startswith("/warehouse/reviewflow/out-")
+    for master in ("local", "local[2]", "local[*]"):
+        local = session.shared_folder(fake_session(master, None), "out")
+        assert local.startswith("/warehouse/reviewflow/out-")
 
 
 def test_a_database_elsewhere_is_an_error(spark, database, tmp_path):
