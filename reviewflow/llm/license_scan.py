@@ -1,13 +1,13 @@
 """License scans: a positional index of rare licence words, with DataFrame functions only.
 
 Templates are the telling sentences of well-known licences. Words that occur in few templates are
-rare; the index lists at which positions of which templates each rare word stands. Of a file, the
-rare words are found with their positions, and the `LOOKED_UP` of highest IDF are looked up. Each
-occurrence votes for the places where a template would have to begin for the word to be in position;
-votes of one template for one place are summed by IDF. A place with enough of the template's weight
-is verified: the template's mandatory phrases must stand there, word by word. Postings, weights and
-phrases are literals of a few dozen entries. Everything happens within the row of a file, in time that
-grows with its rare words (times a logarithm, for the sort), and nothing is shuffled.
+rare; the index lists at which positions of which templates each rare word stands. Of a file, all
+rare words are found with their positions and looked up. Each occurrence votes for the places where a
+template would have to begin for the word to be in position; votes of one template for one place are
+summed by IDF. A place with enough of the template's weight is verified: the template's mandatory
+phrases must stand there, word by word. Postings, weights and phrases are literals of a few dozen
+entries. Everything happens within the row of a file, in time that grows with its rare words (times a
+logarithm, for the sort), and nothing is shuffled.
 
 The base labels of the contract are phrases whose words follow one another.
 
@@ -72,7 +72,8 @@ COMMON = frozenset(
     "v version with without writing you 0 2 3 4".split()
 )
 
-LOOKED_UP = 24
+# Of a file's rare words, how many are looked up: all, as the index has a few dozen words only.
+LOOKED_UP = None
 LEAST_SHARE = 0.6
 
 
@@ -163,15 +164,6 @@ def scan(docs: DataFrame) -> DataFrame:
             for x in (F.lit(word), literal_array(found, lambda p: F.struct(F.lit(p[0]).alias("t"), F.lit(p[1]).alias("p"))))
         )
     )
-    # The file's rare words, highest IDF first.
-    distinct = F.array_distinct(F.transform("at", lambda i: F.get(words, i)))
-    ranked = F.array_sort(
-        F.transform(
-            F.filter(distinct, lambda word: word.isin(*idf)),
-            lambda word: F.struct((-F.element_at(weight_of, word)).alias("rank"), word.alias("word")),
-        )
-    )
-    rows = rows.withColumn("top", F.transform(F.slice(ranked, 1, LOOKED_UP), lambda r: r["word"]))
 
     def votes_at(i: Column) -> Column:
         word = F.get(words, i)
@@ -182,7 +174,7 @@ def scan(docs: DataFrame) -> DataFrame:
             ),
         )
 
-    looked_up = F.filter("at", lambda i: F.array_contains(F.col("top"), F.get(words, i)))
+    looked_up = F.filter("at", lambda i: F.get(words, i).isin(*idf))
     votes = F.flatten(F.transform(looked_up, votes_at))
     end = F.array(F.struct(F.lit(-1).alias("t"), F.lit(0).alias("start"), F.lit(0.0).alias("weight")))
     rows = rows.withColumn("votes", F.concat(F.array_sort(votes), end))

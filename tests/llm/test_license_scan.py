@@ -67,6 +67,23 @@ def test_documents_of_the_tables_equal_brute_force(spark, tables):
         assert (*tuple(row)[1:7], round(row.score, 9)) == brute_force(texts[row.doc_id])
 
 
+def test_several_licences_in_one_text(spark):
+    full = {number: ". ".join(sentence for _, sentence, _ in templates) for number, templates in enumerate([
+        op.TEMPLATES, op.TEMPLATES[::-1], [t for t in op.TEMPLATES if t[0] in ("mit-grant", "bsd", "apache-2.0", "gpl-grant")],
+    ])}
+    # The ordinary words of the index before a short licence of common words.
+    idf = op.rare_index()[0]
+    full[3] = " ".join(sorted(idf, key=lambda word: -idf[word])) + ". Licensed under the GNU General Public License, version 3."
+    labels = {row.doc_id: (set(row.labels.split(",")), row.score) for row in op.scan(
+        spark.createDataFrame(list(full.items()), "doc_id BIGINT, text STRING")
+    ).collect()}
+    every = {label for label, _, _ in op.TEMPLATES}
+    assert every <= labels[0][0] and every <= labels[1][0]
+    assert {"mit-grant", "bsd", "apache-2.0", "gpl-grant"} <= labels[2][0]
+    assert "gpl-3.0" in labels[3][0]
+    assert all(round(score, 9) == 1 for _, score in labels.values())
+
+
 def test_odd_tables(spark):
     schema = "doc_id BIGINT, text STRING, words STRING, labels INT"
     odd = spark.createDataFrame([(None, "mit license", "w", 1), (1, None, None, None), (1, "a", "b", 2), (1, "a", "b", 2)], schema)
