@@ -10,7 +10,9 @@ probability for its two largest differences and for their mean, mean square and
 What sets toxic text apart is learned from a bounded sample of labelled documents: words, and word
 beginnings, that stand in far more contexts (the words before and after) of toxic text than chance
 would have it. Contexts are counted once, so groups of copies weigh no more than one text. Dictionaries and
-calibration use different folds; the held-out fold takes part in neither.
+calibration use different folds; the held-out fold takes part in neither. The classes are sampled at
+rates of their own; a sampled text counts in the calibration by one over the rate of its class, so that
+scores are probabilities at the share of toxic labels of the whole table.
 
 Defined cases: a null or empty text has no windows and gets the score of no difference; rows without
 a label, or with a null one, teach nothing; without any toxic or ordinary sample every document gets
@@ -34,6 +36,8 @@ from reviewflow.llm.common import documents, held_out, per_batch, stored, utf8
 # Bound of the labelled sample, in documents of each class.
 SAMPLE_TOXIC = 2000
 SAMPLE_ORDINARY = 12000
+# Rates of the sample are multiples of one over this.
+RATE_STEPS = 1 << 20
 CALIBRATION_FOLD = 4
 
 LEVEL = 12
@@ -119,19 +123,23 @@ class Scale:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text, toxic, fold of the labelled documents outside the held-out fold, classes cut to size.
+    """text, toxic, weight, fold of the labelled documents outside the held-out fold, classes cut to size.
 
-    Rows are chosen by a hash of the id, at a rate that makes the expected number the bound.
+    Rows are chosen by a hash of the id, at a rate that makes the expected number the bound; the weight
+    is one over that rate.
     """
     marks = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic IS NOT NULL")
     marks = marks.where(~held_out()).where("doc_id IS NOT NULL")
     sizes = {row.toxic: row.n for row in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect() if row.toxic in (0, 1)}
-    rate = F.lit(0.0)
+    steps, weight = F.lit(0), F.lit(0.0)
     for mark, bound in ((0, SAMPLE_ORDINARY), (1, SAMPLE_TOXIC)):
-        rate = F.when(F.col("toxic") == mark, min(1.0, bound / max(1, sizes.get(mark, 0)))).otherwise(rate)
-    unit = F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1 << 20)) / float(1 << 20)
-    chosen = marks.where(unit < rate).withColumn("fold", F.crc32(F.col("doc_id").cast("string")) % 5)
-    return documents(docs, "doc_id", "text").join(chosen, "doc_id").select("text", "toxic", "fold")
+        of_class = math.ceil(RATE_STEPS * min(1.0, bound / max(1, sizes.get(mark, 0))))
+        steps = F.when(F.col("toxic") == mark, of_class).otherwise(steps)
+        weight = F.when(F.col("toxic") == mark, RATE_STEPS / of_class).otherwise(weight)
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(RATE_STEPS))
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    chosen = marks.where(drawn < steps).withColumn("weight", weight).withColumn("fold", fold)
+    return documents(docs, "doc_id", "text").join(chosen, "doc_id").select("text", "toxic", "weight", "fold")
 
 
 def contexts(sample: DataFrame) -> DataFrame:
@@ -212,16 +220,18 @@ def spaced(words: list[bytes]) -> bytes:
     return b"".join(b" " + word + b" " for word in words)
 
 
-def fitted(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Logistic regression of y on a constant and x by Newton steps, lightly shrunk."""
+def fitted(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
+    """Logistic regression of y on a constant and x by Newton steps, lightly shrunk; each row counts by
+    its weight."""
     x = np.hstack([np.ones((len(x), 1)), x])
-    scale = np.maximum(x.std(0), 1e-9)
+    spread = np.average((x - np.average(x, 0, weight)) ** 2, 0, weight)
+    scale = np.maximum(np.sqrt(spread), 1e-9)
     scale[0] = 1.0
     x = x / scale
     w, shrink = np.zeros(x.shape[1]), 1e-2 * np.eye(x.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + shrink, x.T @ (p - y) + shrink @ w)
+        step = np.linalg.solve((x.T * (weight * p * (1 - p))) @ x + shrink, x.T @ (weight * (p - y)) + shrink @ w)
         w -= np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
@@ -230,10 +240,12 @@ def fitted(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     sample = stored(labelled(docs, labels), "toxic-sample")
-    sizes = {(r.toxic, r.calibrate): r.n for r in sample.groupBy("toxic", (F.col("fold") == CALIBRATION_FOLD).alias("calibrate")).agg(F.count("*").alias("n")).collect()}
+    folds = sample.groupBy("toxic", (F.col("fold") == CALIBRATION_FOLD).alias("calibrate"))
+    counted = folds.agg(F.count("*").alias("n"), F.sum("weight").alias("weight")).collect()
+    sizes = {(row.toxic, row.calibrate): row.n for row in counted}
     made = dictionaries(sample.where(F.col("fold") != CALIBRATION_FOLD))
-    n1 = sum(n for (toxic, _), n in sizes.items() if toxic)
-    n0 = sum(n for (toxic, _), n in sizes.items() if not toxic)
+    n1 = sum(row.weight for row in counted if row.toxic)
+    n0 = sum(row.weight for row in counted if not row.toxic)
     share = n1 / (n0 + n1) if n0 + n1 else 0.0
     if made is None:
         odds = math.log(max(share, 1e-9) / max(1 - share, 1e-9))
@@ -243,22 +255,23 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     if sizes.get((0, True), 0) >= 50 and sizes.get((1, True), 0) >= 50:
         calibrate = sample.where(F.col("fold") == CALIBRATION_FOLD)
     # Bounded by the sample: one short row per document of it.
-    points = with_measures(calibrate.select("text", "toxic"), made, "toxic INT").toPandas()
-    return Model(*made, fitted(points[list(MEASURES)].to_numpy(float), points["toxic"].to_numpy(float)))
+    points = with_measures(calibrate, made, "toxic INT, weight DOUBLE").toPandas()
+    x, y, weight = (points[of].to_numpy(float) for of in (list(MEASURES), "toxic", "weight"))
+    return Model(*made, fitted(x, y, weight))
 
 
 def with_measures(rows: DataFrame, made: tuple[bytes, bytes], carried: str) -> DataFrame:
-    """The carried column, then the measures of `text`."""
-    name = carried.split()[0]
+    """The carried columns, then the measures of `text`."""
+    names = [column.split()[0] for column in carried.split(", ")]
 
     def measured(part: pa.RecordBatch) -> pa.RecordBatch:
         scale = scale_of(*made)
         found = np.array([scale.measures(text) for text in utf8(part.column("text"))])
         columns = [pa.array(found[:, i], pa.float64()) for i in range(len(MEASURES))]
-        return pa.RecordBatch.from_arrays([part.column(name), *columns], [name, *MEASURES])
+        return pa.RecordBatch.from_arrays([*(part.column(name) for name in names), *columns], [*names, *MEASURES])
 
     schema = ", ".join([carried, *(f"{measure} DOUBLE" for measure in MEASURES)])
-    return rows.select(name, "text").mapInArrow(per_batch(measured), schema)
+    return rows.select(*names, "text").mapInArrow(per_batch(measured), schema)
 
 
 _scales: dict[tuple[bytes, bytes], Scale] = {}

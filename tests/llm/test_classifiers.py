@@ -82,6 +82,42 @@ def test_rejection_agrees_with_the_scores(spark, tables_of):
     assert {row.doc_id for row in stay.collect()} == {row.doc_id for row in docs.collect()} - toxic
 
 
+def test_sampled_labels_give_the_scores_of_all_labels(spark, monkeypatch):
+    source = random.Random(3)
+    docs, labels, odd = [], [], set()
+    for i in range(6000):
+        words = [f"{source.choice(['an', 'to', 'be', 'ster', 'con'])}{source.choice(['ling', 'den', 'ra', 'mo'])}" for _ in range(20)]
+        toxic = source.random() < 0.03
+        # Of the texts with an insult, about two in five are toxic.
+        if toxic or source.random() < 0.05:
+            odd.add(i)
+            words.insert(source.randrange(len(words)), source.choice(INSULTS))
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    labels = spark.createDataFrame(labels, "doc_id BIGINT, toxic INT")
+
+    def means():
+        scores = {row.doc_id: row.score for row in toxicity.score_documents(docs, labels).collect()}
+        return np.mean([scores[i] for i in odd]), np.mean(list(scores.values()))
+
+    # Given dictionaries, so that the calibration alone can differ.
+    apart = toxicity.spaced([word.encode() for word in INSULTS])
+    filler = np.random.default_rng(0).integers(1, 32, len(apart), dtype=np.uint8).tobytes()
+    with monkeypatch.context() as given:
+        given.setattr(toxicity, "dictionaries", lambda sample: (filler, apart))
+        whole = means()
+        monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", 100)
+        monkeypatch.setattr(toxicity, "SAMPLE_ORDINARY", 600)
+        sampled = means()
+    assert 0.25 < whole[0] < 0.5 and abs(whole[0] - sampled[0]) < 0.12
+    assert 0.02 < whole[1] < 0.04 and abs(whole[1] - sampled[1]) < 0.015
+    # Without text to learn from, the share of all toxic labels is left.
+    bare = docs.selectExpr("doc_id", "'' AS text")
+    share = {row.score for row in toxicity.score_documents(bare, labels).collect()}
+    assert len(share) == 1 and 0.02 < share.pop() < 0.04
+
+
 def test_isotonic():
     steps = np.arange(5.0)
     shares = quality.isotonic(steps, np.array([0, 2, 1, 3, 4]), np.array([4, 4, 4, 4, 4]))
