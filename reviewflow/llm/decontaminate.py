@@ -1,7 +1,7 @@
 """Benchmark decontamination: BM25 with block-max pruning, then a check of question and answer.
 
 The benchmark is the index, the corpus the queries. Every text is cut into passages of two cells of
-words, each cell as long as the longest item, passages overlapping by one cell, so that any item lies
+words, each cell as long as the longest item of the whole benchmark, passages overlapping by one cell, so that any item lies
 whole in one passage. For each passage all items with a BM25 score of at least their threshold are
 retrieved:
 
@@ -18,7 +18,7 @@ answer's words. The answer is an item's last sentence, or its last quarter if it
 
 Words are runs of ASCII letters, digits and non-ASCII bytes, A-Z lower-cased. The index goes to the
 tasks in parts of bounded size (`PART_ITEMS` items, about `PART_BYTES` of text); each part is one pass
-over the documents.
+over the documents. Cells and word statistics are those of the whole benchmark, so the parts change no result.
 
 Defined cases: null and empty texts have no passages and no leaks; items that are null or shorter than
 `LEAST_WORDS` words are left out, as they cannot be told from ordinary text; repeated rows are judged
@@ -31,13 +31,14 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewflow.llm.common import documents, per_batch, utf8
+from reviewflow.llm.common import documents, per_batch, stored, utf8
 
 SHINGLE = 5
 LEAST_OVERLAP = 0.8
@@ -74,10 +75,24 @@ def shingles(words: list[bytes]) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[i:] for i in range(SHINGLE)), strict=False))
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """Of all items that are long enough: their number, the words of them and of the longest, and in how
+    many of them the words of one part occur."""
+
+    items: int
+    words: int
+    longest: int
+    frequency: dict[bytes, int]
+
+
 class Index:
-    """Inverted index of benchmark items with largest impacts per term and per block."""
+    """Inverted index of benchmark items with largest impacts per term and per block.
 
-    def __init__(self, items: list[tuple[int, str | None]]):
+    The statistics are those of the items themselves, unless they are a part of a benchmark.
+    """
+
+    def __init__(self, items: list[tuple[int, str | None]], whole: Statistics | None = None):
         kept = [(item, *question_and_answer((text or "").encode())) for item, text in items]
         kept = sorted((k for k in kept if len(k[1]) + len(k[2]) >= LEAST_WORDS), key=lambda k: k[0])
         self.ids = [item for item, _, _ in kept]
@@ -85,17 +100,18 @@ class Index:
         self.question_words = [q for _, q, _ in kept]
         self.answers = [Counter(a) for _, _, a in kept]
         bags = [Counter(q + a) for _, q, a in kept]
-        self.cell = max((sum(bag.values()) for bag in bags), default=1)
-        frequency = Counter(term for bag in bags for term in bag)
-        average = sum(sum(bag.values()) for bag in bags) / max(1, len(bags))
-        self.terms = {term: number for number, term in enumerate(sorted(frequency))}
+        lengths = [sum(bag.values()) for bag in bags]
+        whole = whole or Statistics(len(bags), sum(lengths), max(lengths, default=1), Counter(term for bag in bags for term in bag))
+        self.cell, frequency = max(1, whole.longest), whole.frequency
+        average = whole.words / max(1, whole.items)
+        self.terms = {term: number for number, term in enumerate(sorted({term for bag in bags for term in bag}))}
         self.impacts: list[dict[int, float]] = []
         blocks = -(-len(bags) // BLOCK_ITEMS)
         self.block_max = np.zeros((len(self.terms) + 1, max(1, blocks)), np.float32)
         for number, (bag, (_, question, answer)) in enumerate(zip(bags, kept, strict=True)):
             norm = K1 * (1 - B + B * sum(bag.values()) / average)
             weight = {
-                term: math.log(1 + (len(bags) - frequency[term] + 0.5) / (frequency[term] + 0.5)) * tf * (K1 + 1) / (tf + norm)
+                term: math.log(1 + (whole.items - frequency[term] + 0.5) / (frequency[term] + 0.5)) * tf * (K1 + 1) / (tf + norm)
                 for term, tf in bag.items()
             }
             threshold = sum(weight.values()) - missing_weight(weight, question, answer)
@@ -202,14 +218,39 @@ def missing_weight(weight: dict[bytes, float], question: list[bytes], answer: li
     return most(in_shingles, spare) + most(counts, spare_answer)
 
 
+def item_terms(part: pa.RecordBatch) -> pa.RecordBatch:
+    """The different words of each item, with the item's part."""
+    rows = zip(part.column("part").to_pylist(), utf8(part.column("text")), strict=True)
+    found = [(number, word) for number, text in rows for word in set(words_of(text))]
+    columns = [pa.array([number for number, _ in found], pa.int64()), pa.array([word for _, word in found], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["part", "term"])
+
+
 def indexes(benchmark: DataFrame) -> Iterator[Index]:
     """Indexes of bounded size that hold all items."""
     items = documents(benchmark, "item_id", "text").where("text IS NOT NULL")
     n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     parts = max(1, -(-n // PART_ITEMS), -(-size // PART_BYTES))
+    if parts == 1:
+        yield Index([(row.item_id, row.text) for row in items.collect()])
+        return
+
+    @F.arrow_udf("bigint")
+    def n_words(texts: pa.Array) -> pa.Array:
+        return pa.array([len(words_of(text)) for text in utf8(texts)], pa.int64())
+
+    items = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
+    items = stored(items.withColumn("words", n_words("text")).where(F.col("words") >= LEAST_WORDS), "benchmark-items")
+    n, words, longest = items.agg(F.count("*"), F.coalesce(F.sum("words"), F.lit(0)), F.coalesce(F.max("words"), F.lit(1))).first()
+    terms = items.select("part", "text").mapInArrow(per_batch(item_terms), "part BIGINT, term BINARY")
+    in_part = terms.groupBy("term", "part").agg(F.count("*").alias("n"))
+    every = in_part.groupBy("term").agg(F.sum("n").alias("frequency"))
+    in_part = stored(in_part.select("term", "part").join(every, "term"), "benchmark-terms")
     for part in range(parts):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
-        yield Index([(row.item_id, row.text) for row in rows])
+        # The words of a part are bounded by its text.
+        frequency = {bytes(row.term): row.frequency for row in in_part.where(F.col("part") == part).collect()}
+        rows = items.where(F.col("part") == part).collect()
+        yield Index([(row.item_id, row.text) for row in rows], Statistics(n, words, longest, frequency))
 
 
 SCHEMA = "doc_id BIGINT, item_id BIGINT, score DOUBLE, question_overlap DOUBLE, answer_overlap DOUBLE"

@@ -67,6 +67,25 @@ def test_equals_brute_force(spark, corpus, monkeypatch, part):
     assert all(row.score >= 1 - op.SLACK for row in found)
 
 
+def test_parts_change_no_result(spark, corpus, monkeypatch):
+    docs, items = corpus
+    # The answer is far from the question, but within two cells of the longest item.
+    filler = " ".join(["filler"] * 90)
+    items = [*items, (600, "What was the name of the seventh lamp keeper? Jorunn Aldersea."), (601, " ".join(f"long{i}" for i in range(200)))]
+    docs = [*docs, (5000, f"What was the name of the seventh lamp keeper? {filler} Jorunn Aldersea."), (None, items[5][1])]
+    tables = (
+        spark.createDataFrame(docs, "doc_id BIGINT, text STRING").repartition(4),
+        spark.createDataFrame(items, "item_id BIGINT, text STRING"),
+    )
+    whole = sorted(map(repr, op.find_leaks(*tables).collect()))
+    assert {(5000, 600)} <= brute_force(docs, items)
+    for part in (64, 17):
+        monkeypatch.setattr(op, "PART_ITEMS", part)
+        found = op.find_leaks(*tables).collect()
+        assert sorted(map(repr, found)) == whole
+        assert {(row.doc_id, row.item_id) for row in found} == brute_force(docs, items)
+
+
 def test_retrieval_scores_are_bm25(corpus):
     _, items = corpus
     index = op.Index(items)
