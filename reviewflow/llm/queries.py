@@ -15,6 +15,7 @@ from reviewflow.llm import (
     quality_rules,
     source_mix,
     suffix_dedup,
+    token_alignment,
     toxicity,
     url_filter,
 )
@@ -81,3 +82,8 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
     return toxicity.score_documents(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.aligned_digests(read(spark, folder, "documents"))
