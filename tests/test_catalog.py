@@ -62,6 +62,7 @@ def test_sql_file_over_views(spark, tmp_path):
     spark.range(4).createOrReplaceTempView("numbers")
     (tmp_path / "sum.sql").write_text("SELECT sum(id) AS total\nFROM numbers")
     assert tuples(catalog.run_sql_file(spark, tmp_path / "sum.sql")) == [(6,)]
+    spark.catalog.dropTempView("numbers")
 
 
 def test_settings_are_put_back(spark):
