@@ -25,14 +25,15 @@ doc_id and text are read. Very long texts are encoded piece by piece, and a piec
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from contextlib import contextmanager
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import chain
 from pathlib import Path
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +52,11 @@ PIECES = "piece_bpe_32k.model"
 # Text of a chunk, texts looked at together, pieces remembered by a worker and the longest of them.
 CHUNK_BYTES = 4 << 20
 SLICE_TEXTS = 64
-REMEMBERED = 60_000
+REMEMBERED = 100_000
 LONGEST_REMEMBERED = 64
+# Pieces encoded together; groups with more links than this are counted by distinct ids.
+ALIGNED_PIECES = 8192
+LONG_GROUP = 4096
 # Documents of a chunk whose pairs are laid out at a time.
 COUNTED_TEXTS = 128
 
@@ -72,29 +76,34 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(byte): byte for byte in plain} | {chr(256 + i): byte for i, byte in enumerate(others)}
 
 
-def byte_ends(spans: list[tuple[int, int]], sizes: list[int]) -> list[int]:
+def byte_ends(begin: np.ndarray, end: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Where tokens end, from their spans in bytes. A token that fills its span ends with it; one that does
-    not holds a part of a character, and its decoded bytes tell where it ends."""
-    ends, last = [], 0
-    for (begin, end), size in zip(spans, sizes, strict=True):
-        last = end if begin == last and end - begin == size else last + size
-        ends.append(last)
-    return ends
+    not holds a part of a character, and its decoded bytes, counted from the last sure end, tell where it ends."""
+    sure = end - begin == sizes
+    decoded = np.cumsum(sizes)
+    last = np.maximum.accumulate(np.where(sure, np.arange(len(end)), -1))
+    base = np.where(last >= 0, end[last] - decoded[last], 0)
+    return np.where(sure, end, base + decoded)
 
 
-@dataclass(frozen=True)
-class Piece:
-    """What a piece of text adds to its document; no groups if its tokens do not give it back."""
+def ranges(sizes: np.ndarray) -> np.ndarray:
+    """0 to n - 1 for each size n, one after another."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+class Piece(NamedTuple):
+    """What a piece of text adds to its document; its text and links are None if its tokens do not give it back."""
 
     n_a: int
     n_b: int
     n_groups: int
-    groups: str
+    groups: str | None  # each with its end mark
     pairs: bytes  # distinct id pairs, as A id * 2**32 + B id
     links: bytes  # how often each is linked
 
 
-NO_PIECE = Piece(0, 0, 0, "", b"", b"")
+COUNTS = Piece._fields[:3]
+NO_PIECE = Piece(0, 0, 0, None, b"", b"")
 
 
 class Aligner:
@@ -108,7 +117,12 @@ class Aligner:
             known = all(c in alphabet for c in token)
             self.a_bytes[number] = bytes(alphabet[c] for c in token) if known else token.encode()
         self.b_bytes = [self.piece_bytes(i) for i in range(self.b.get_piece_size())]
+        self.sizes = [np.array([len(part) for part in parts], np.int64) for parts in (self.a_bytes, self.b_bytes)]
+        # The text of an A id and of a B id, within a group and at its end.
+        self.written = [f"{i}{mark}" for n, marks in zip(map(len, self.sizes), (",|", ",;"), strict=True) for mark in marks for i in range(n)]
+        self.blank = self.b.piece_to_id(META)
         self.remembered: dict[str, Piece] = {}
+        self.older: dict[str, Piece] = {}
         self.cuts = self.cuts_hold()
 
     def piece_bytes(self, number: int) -> bytes:
@@ -131,50 +145,115 @@ class Aligner:
         return BLANK_AFTER_TEXT.split(" " + text) if self.cuts else [" " + text]
 
     def aligned(self, pieces: list[str]) -> list[Piece]:
-        wanted = list(dict.fromkeys(piece for piece in pieces if piece not in self.remembered))
-        a = self.a.encode_batch(wanted, add_special_tokens=False) if wanted else []
-        b = self.b.encode([piece[1:] for piece in wanted], num_threads=1, return_type="proto") if wanted else []
-        new = {piece: self.align(piece, *both) for piece, *both in zip(wanted, a, b, strict=True)}
-        result = [self.remembered.get(piece) or new[piece] for piece in pieces]
-        if len(self.remembered) > REMEMBERED:
-            self.remembered.clear()
-        self.remembered.update((k, v) for k, v in new.items() if len(k) <= LONGEST_REMEMBERED)
-        return result
-
-    def align(self, text: str, a, b) -> Piece:
-        data = text.encode()
-        a_ids, b_ids = a.ids, [piece.id for piece in b.pieces]
-        # A's offsets are in characters, B's spans in bytes without the blank that B adds.
-        at_byte = [0, *accumulate(len(c.encode()) for c in text)] if len(text) < len(data) else range(len(data) + 1)
-        a_spans = [(at_byte[begin], at_byte[end]) for begin, end in a.offsets]
-        b_spans = [(piece.begin + (i > 0), piece.end + 1) for i, piece in enumerate(b.pieces)]
-        if text == " ":  # B adds no blank to an empty text
-            b_ids, b_spans = [self.b.piece_to_id(META)], [(0, 1)]
-        a_parts, b_parts = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-        if b"".join(a_parts) != data or b"".join(b_parts) != data:
-            return NO_PIECE
-        a_ends = byte_ends(a_spans, list(map(len, a_parts)))
-        b_ends = byte_ends(b_spans, list(map(len, b_parts)))
-        shared = sorted(set(a_ends) & set(b_ends))
-        groups, links, i, j = [], Counter(), 0, 0
-        for end in shared:
-            first, second = i, j
-            while i < len(a_ends) and a_ends[i] <= end:
-                i += 1
-            while j < len(b_ends) and b_ends[j] <= end:
-                j += 1
-            left, right = a_ids[first:i], b_ids[second:j]
-            groups.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
-            if len(left) == len(right) == 1:
-                links[left[0] << 32 | right[0]] += 1
-            else:  # by distinct ids, so that a long group of few tokens stays small
-                ours, theirs = Counter(left), Counter(right)
-                for x, m in ours.items():
-                    for y, n in theirs.items():
-                        links[x << 32 | y] += m * n
-        pairs = np.fromiter(links.keys(), "<i8", len(links))
-        times = np.fromiter(links.values(), "<i8", len(links))
-        return Piece(len(a_ids), len(b_ids), len(groups), ";".join(groups), pairs.tobytes(), times.tobytes())
+        """Pieces, each named once; those met in one of the last two rounds of memory at once."""
+        found: dict[str, Piece] = {}
+        wanted = []
+        for piece in pieces:
+            known = self.remembered.get(piece)
+            if known is None and (known := self.older.get(piece)) is not None:
+                self.remembered[piece] = known
+            if known is None:
+                wanted.append(piece)
+            else:
+                found[piece] = known
+        for first in range(0, len(wanted), ALIGNED_PIECES):
+            for piece, result in zip(some := wanted[first : first + ALIGNED_PIECES], self.align(some), strict=True):
+                found[piece] = result
+                if len(piece) <= LONGEST_REMEMBERED:
+                    self.remembered[piece] = result
+            if len(self.remembered) > REMEMBERED:
+                self.remembered, self.older = {}, self.remembered
+        return [found[piece] for piece in pieces]
+
+    def encoded(self, pieces: list[str], data: bytes) -> list[tuple[np.ndarray, ...]]:
+        """Per tokenizer: ids, piece numbers and span begins and ends in the bytes of all pieces together."""
+        lead = np.frombuffer(data, np.uint8) & 0xC0 != 0x80
+        at_byte = np.append(np.flatnonzero(lead), len(data))
+        characters = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        first_character = np.cumsum(characters) - characters
+        first_byte = at_byte[first_character]
+
+        def flat(ids: list[list[int]], spans: list[list[tuple[int, int]]]) -> tuple[np.ndarray, ...]:
+            owner = np.repeat(np.arange(len(ids)), list(map(len, ids)))
+            numbers = np.fromiter(chain.from_iterable(ids), np.int64, len(owner))
+            edges = np.fromiter(chain.from_iterable(chain.from_iterable(spans)), np.int64, 2 * len(owner))
+            return numbers, owner, edges[::2], edges[1::2]
+
+        # A's offsets are in characters.
+        a = self.a.encode_batch(pieces, add_special_tokens=False)
+        ids, owner, begin, end = flat([one.ids for one in a], [one.offsets for one in a])
+        a_side = (ids, owner, at_byte[begin + first_character[owner]], at_byte[end + first_character[owner]])
+        # B's are in bytes of the text without the blank that B adds; it adds none to an empty text.
+        b = self.b.encode([piece[1:] for piece in pieces], num_threads=1, return_type="offset_mapping", return_bytes=True)
+        ids, owner, begin, end = flat([one["ids"] or [self.blank] for one in b], [one["offsets"] or [(0, 0)] for one in b])
+        first = np.append(True, owner[1:] != owner[:-1]) if len(owner) else owner.astype(bool)
+        return [a_side, (ids, owner, begin + first_byte[owner] + ~first, end + first_byte[owner] + 1)]
+
+    def given_back(self, pieces: list[str], data: bytes, both: list[tuple[np.ndarray, ...]]) -> np.ndarray:
+        """Which pieces the decoded bytes of either side's tokens make up."""
+        lengths = np.array([len(piece.encode()) for piece in pieces], np.int64)
+        good = np.ones(len(pieces), bool)
+        for (ids, owner, *_), parts, sizes in zip(both, (self.a_bytes, self.b_bytes), self.sizes, strict=True):
+            decoded = list(map(parts.__getitem__, ids.tolist()))
+            if b"".join(decoded) == data and (np.bincount(owner, sizes[ids], len(pieces)) == lengths).all():
+                continue
+            cuts = np.searchsorted(owner, np.arange(len(pieces) + 1)).tolist()
+            good &= [b"".join(decoded[i:j]) == piece.encode() for piece, i, j in zip(pieces, cuts, cuts[1:], strict=False)]
+        return good
+
+    def align(self, pieces: list[str]) -> list[Piece]:
+        """Tokens, groups and links of pieces, all at once: their bytes lie one after another."""
+        data = "".join(pieces).encode()
+        both = self.encoded(pieces, data)
+        good = self.given_back(pieces, data, both)
+        both = [tuple(column[good[side[1]]] for column in side) for side in both]
+        ends = [byte_ends(side[2], side[3], sizes[side[0]]) for side, sizes in zip(both, self.sizes, strict=True)]
+        cuts = np.intersect1d(*ends)
+        (a_ids, a_owner), (b_ids, b_owner) = (side[:2] for side in both)
+        a_group, b_group = (np.searchsorted(cuts, end) for end in ends)
+        n_a, n_b = np.bincount(a_group, minlength=len(cuts)), np.bincount(b_group, minlength=len(cuts))
+        a_first, b_first = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+
+        # Written form: A's ids, then B's, group by group.
+        last = [np.append(group[1:] != group[:-1], True) if len(group) else group.astype(bool) for group in (a_group, b_group)]
+        a_codes = a_ids + len(self.sizes[0]) * last[0]
+        b_codes = 2 * len(self.sizes[0]) + b_ids + len(self.sizes[1]) * last[1]
+        codes = np.empty(len(a_codes) + len(b_codes), np.int64)
+        codes[np.arange(len(a_codes)) + b_first[a_group]] = a_codes
+        codes[np.arange(len(b_codes)) + (a_first + n_a)[b_group]] = b_codes
+        written = list(map(self.written.__getitem__, codes.tolist()))
+
+        # Links: each A token with its group's B tokens; long groups by distinct ids, so that they stay small.
+        group_owner = a_owner[a_first]
+        long = n_a * n_b > LONG_GROUP
+        ours = np.flatnonzero(~long[a_group])
+        repeats = n_b[a_group[ours]]
+        theirs = np.repeat(b_first[a_group[ours]], repeats) + ranges(repeats)
+        keys = np.repeat(a_ids[ours], repeats) << 32 | b_ids[theirs]
+        owner, times = np.repeat(a_owner[ours], repeats), np.ones(len(keys), np.int64)
+        for g in np.flatnonzero(long).tolist():
+            x, m = np.unique(a_ids[a_first[g] : a_first[g] + n_a[g]], return_counts=True)
+            y, n = np.unique(b_ids[b_first[g] : b_first[g] + n_b[g]], return_counts=True)
+            keys = np.concatenate([keys, (x[:, None] << 32 | y[None, :]).ravel()])
+            times = np.concatenate([times, (m[:, None] * n[None, :]).ravel()])
+            owner = np.concatenate([owner, np.full(len(x) * len(y), group_owner[g])])
+        order = np.lexsort((keys, owner))
+        keys, owner, times = keys[order], owner[order], times[order]
+        if len(keys):
+            new = np.append(True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1]))
+            keys, owner, times = keys[new], owner[new], np.add.reduceat(times, np.flatnonzero(new))
+
+        numbers = np.arange(len(pieces) + 1)
+        a_at, b_at, group_at, key_at = (np.searchsorted(of, numbers) for of in (a_owner, b_owner, group_owner, owner))
+        token_at = (a_at + b_at).tolist()
+        counts = zip(np.diff(a_at).tolist(), np.diff(b_at).tolist(), np.diff(group_at).tolist(), strict=True)
+        pairs, links, key_at = keys.tobytes(), times.tobytes(), (8 * key_at).tolist()
+        return [
+            Piece(*count, "".join(written[token_at[i] : token_at[i + 1]]), pairs[key_at[i] : key_at[i + 1]], links[key_at[i] : key_at[i + 1]])
+            if good[i]
+            else NO_PIECE
+            for i, count in enumerate(counts)
+        ]
 
 
 @lru_cache(maxsize=1)
@@ -183,7 +262,7 @@ def aligner(folder: str, byte_level: str, pieces: str) -> Aligner:
     return Aligner(str(Path(folder, byte_level)), str(Path(folder, pieces)))
 
 
-def lists(values: np.ndarray, lengths: list[int], kind: pa.DataType) -> pa.Array:
+def lists(values: np.ndarray, lengths: list[int] | np.ndarray, kind: pa.DataType) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
@@ -203,76 +282,90 @@ class Chunk:
     """Documents of a task and the pieces they hold, each piece under a number."""
 
     def __init__(self):
-        self.numbers: dict[Piece, int] = {}
+        self.numbers: dict[str, int] = {}
+        self.pieces: list[Piece] = []
         self.rows: list[tuple] = []
-        self.held: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, doc_id: int | None, text: str, work: Aligner) -> None:
-        self.size += len(text)
-        pieces = work.aligned(work.split(text)) if text else []
-        if not pieces or any(piece is NO_PIECE for piece in pieces):
-            self.rows.append((doc_id, 0, 0, 0, "", [], []))
-            return
-        groups = hashlib.sha256(";".join(piece.groups for piece in pieces).encode()).hexdigest()
-        sums = (sum(getattr(piece, name) for piece in pieces) for name in ("n_a", "n_b", "n_groups"))
-        times = Counter(self.numbers.setdefault(piece, len(self.numbers)) for piece in pieces)
-        self.rows.append((doc_id, *sums, groups, list(times.keys()), list(times.values())))
+    def add(self, ids: list[int | None], texts: list[str | None], work: Aligner) -> None:
+        split = [work.split(text) if text else [] for text in texts]
+        new = [piece for piece in set().union(*split) if piece not in self.numbers]
+        self.numbers.update(zip(new, range(len(self.numbers), len(self.numbers) + len(new)), strict=True))
+        self.pieces += work.aligned(new)
+        self.size += sum(len(text or "") for text in texts)
+        for doc_id, pieces in zip(ids, split, strict=True):
+            numbers = [self.numbers[piece] for piece in pieces]
+            groups = [self.pieces[number].groups for number in numbers]
+            if not groups or None in groups:
+                self.rows.append((doc_id, "", np.empty(0, np.int64), np.empty(0, np.int64)))
+                continue
+            digest = hashlib.sha256("".join(groups)[:-1].encode()).hexdigest()
+            self.rows.append((doc_id, digest, *np.unique(np.array(numbers), return_counts=True)))
 
     def row(self, number: int) -> pa.RecordBatch:
-        pieces = list(self.numbers)
-        sizes = np.array([len(piece.pairs) // 8 for piece in pieces], np.int64)
-        keys = np.frombuffer(b"".join(piece.pairs for piece in pieces), "<i8")
-        links = np.frombuffer(b"".join(piece.links for piece in pieces), "<i8")
+        sizes = np.array([len(piece.pairs) // 8 for piece in self.pieces], np.int64)
+        keys = np.frombuffer(b"".join(piece.pairs for piece in self.pieces), "<i8")
+        links = np.frombuffer(b"".join(piece.links for piece in self.pieces), "<i8")
         pairs, at = np.unique(keys, return_inverse=True)
         held = np.zeros(len(pairs), np.int64)
         begins = np.cumsum(sizes) - sizes
         for first in range(0, len(self.rows), COUNTED_TEXTS):
-            some = [np.array(row[5], np.int64) for row in self.rows[first : first + COUNTED_TEXTS]]
+            some = [row[2] for row in self.rows[first : first + COUNTED_TEXTS]]
             owner = np.repeat(np.arange(len(some)), [len(x) for x in some])
-            piece = np.concatenate(some) if some else np.empty(0, np.int64)
+            piece = np.concatenate(some)
             n = sizes[piece]
-            inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            pair = at[np.repeat(begins[piece], n) + inner]
+            pair = at[np.repeat(begins[piece], n) + ranges(n)]
             both = np.unique(np.repeat(owner, n) * max(1, len(pairs)) + pair)
             held += np.bincount(both % max(1, len(pairs)), minlength=len(pairs))
-        per_piece = pa.table({"at": lists(at, sizes.tolist(), pa.int32()), "links": lists(links, sizes.tolist(), pa.int64())})
-        names = ("doc_id", "n_a", "n_b", "n_groups", "groups_sha256")
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-        columns = {name: pa.array([row[i] for row in self.rows], kinds[i]) for i, name in enumerate(names)}
-        for i, name in ((5, "piece"), (6, "times")):
-            flat = np.fromiter(chain.from_iterable(row[i] for row in self.rows), np.int32)
-            columns[name] = lists(flat, [len(row[i]) for row in self.rows], pa.int32())
+        per_piece = {"at": lists(at, sizes, pa.int32()), "links": lists(links, sizes, pa.int64())}
+        per_piece |= {name: pa.array([piece[i] for piece in self.pieces], pa.int32()) for i, name in enumerate(COUNTS)}
+        used = [len(row[2]) for row in self.rows]
+        per_text = {
+            "doc_id": pa.array([row[0] for row in self.rows], pa.int64()),
+            "groups_sha256": pa.array([row[1] for row in self.rows], pa.string()),
+            "piece": lists(np.concatenate([row[2] for row in self.rows]), used, pa.int32()),
+            "times": lists(np.concatenate([row[3] for row in self.rows]), used, pa.int32()),
+        }
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()),
                 lists(pairs, [len(pairs)], pa.int64()),
                 lists(held, [len(pairs)], pa.int32()),
-                pa.array([ipc(per_piece)], pa.binary()),
-                pa.array([ipc(pa.table(columns))], pa.binary()),
+                pa.array([ipc(pa.table(per_piece))], pa.binary()),
+                pa.array([ipc(pa.table(per_text))], pa.binary()),
             ],
             [field.split()[0] for field in CHUNK.split(", ")],
         )
 
 
-def chunked(folder: str, byte_level: str, pieces: str):
+def chunked(folder: str, byte_level: str, model: str):
     """The rows of `CHUNK` of a task's documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = aligner(folder, byte_level, pieces)
+        work = aligner(folder, byte_level, model)
         number, chunk = TaskContext.get().partitionId() << 32, Chunk()
         for part in slices(batches, SLICE_TEXTS):
-            for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                chunk.add(doc_id, text or "", work)
-                if chunk.size >= CHUNK_BYTES:
-                    yield chunk.row(number)
-                    number, chunk = number + 1, Chunk()
+            with no_cycles():
+                chunk.add(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), work)
+            if chunk.size >= CHUNK_BYTES:
+                yield chunk.row(number)
+                number, chunk = number + 1, Chunk()
         if chunk.rows:
             yield chunk.row(number)
 
     return run
 
 
+@contextmanager
+def no_cycles() -> Iterator[None]:
+    """Without the search for reference cycles: the pieces remembered are many objects that have none."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def totals(lengths: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Sums of runs of values; a run may be empty."""
     sums = np.concatenate([[0], np.cumsum(values)])
@@ -300,10 +393,9 @@ def summed(chunk: pa.Table, counts: pa.Table) -> pa.Table:
 
     pair, links, sizes = flat(pieces, "at"), flat(pieces, "links"), lengths(pieces, "at")
     piece, times, of_text = flat(texts, "piece"), flat(texts, "times"), lengths(texts, "piece")
-    found = {
-        name: totals(of_text, totals(sizes, links * values)[piece] * times)
-        for name, values in (("n_links", np.ones_like(count)[pair]), ("n_best", best[pair]), ("count_sum", count[pair]))
-    }
+    of_piece = {name: pieces.column(name).to_numpy().astype(np.int64) for name in COUNTS}
+    of_piece |= {name: totals(sizes, links * of) for name, of in (("n_links", 1), ("n_best", best[pair]), ("count_sum", count[pair]))}
+    found = {name: totals(of_text, values[piece] * times) for name, values in of_piece.items()}
     return pa.table([pa.array(found[n]) if n in found else texts.column(n) for n in names], names)
 
 

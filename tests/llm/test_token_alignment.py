@@ -7,6 +7,7 @@ from bisect import bisect_left
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from reviewflow.llm import token_alignment as alignment
@@ -108,12 +109,16 @@ def test_equals_whole_texts_of_the_table(spark, tables):
     assert result(alignment.aligned_digests(docs)) == expected(texts)[0]
 
 
-def test_pieces_remembered_or_not(spark, monkeypatch):
+def test_pieces_remembered_or_not(monkeypatch):
     alignment.aligner.cache_clear()
     monkeypatch.setattr(alignment, "REMEMBERED", 2)
     work = alignment.aligner(alignment.FOLDER, alignment.BYTE_LEVEL, alignment.PIECES)
-    first = [work.aligned(work.split(text or "")) for text in TEXTS]
-    assert first == [work.aligned(work.split(text or "")) for text in TEXTS]
+    split = [work.split(text or "") for text in TEXTS]
+    first = [work.aligned(list(dict.fromkeys(pieces))) for pieces in split]
+    assert first == [work.aligned(list(dict.fromkeys(pieces))) for pieces in split]
+    monkeypatch.setattr(alignment, "LONG_GROUP", 0)
+    work.remembered.clear(), work.older.clear()
+    assert first == [work.aligned(list(dict.fromkeys(pieces))) for pieces in split]
     assert work.cuts
 
 
@@ -125,11 +130,12 @@ def test_links_table(spark):
 
 def test_partial_characters_are_cut_by_decoded_bytes():
     # "é☃x": the snowman is three bytes in three tokens that all span its character.
-    spans, sizes = [(0, 2), (2, 5), (2, 5), (2, 5), (5, 6)], [2, 1, 1, 1, 1]
-    assert alignment.byte_ends(spans, sizes) == [2, 3, 4, 5, 6]
+    sizes = np.array([2, 1, 1, 1, 1])
+    ends = alignment.byte_ends(np.array([0, 2, 2, 2, 5]), np.array([2, 5, 5, 5, 6]), sizes)
+    assert ends.tolist() == [2, 3, 4, 5, 6]
     # Byte-fallback tokens span nothing, and the last one the character.
-    spans = [(0, 2), (2, 2), (2, 2), (2, 5), (5, 6)]
-    assert alignment.byte_ends(spans, sizes) == [2, 3, 4, 5, 6]
+    ends = alignment.byte_ends(np.array([0, 2, 2, 2, 5]), np.array([2, 2, 2, 5, 6]), sizes)
+    assert ends.tolist() == [2, 3, 4, 5, 6]
 
 
 def test_empty_table_and_no_ids(spark):
