@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewflow.llm import line_dedup, quality_rules, source_mix, url_filter
+from reviewflow.llm import lexical_search, line_dedup, quality_rules, source_mix, url_filter
 
 ORACLE: dict[str, str] = {}
 
@@ -155,3 +155,26 @@ ORACLE["op2_ngram_jaccard"] = f"""
         SELECT a AS doc_id, a AS other FROM edges UNION SELECT doc_id, b FROM reached JOIN edges ON other = a)
     SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(r.least, s.doc_id) AS component_id
     FROM sets s LEFT JOIN (SELECT doc_id, min(other) AS least FROM reached GROUP BY doc_id) r ON r.doc_id = s.doc_id"""
+
+TERMS = "regexp_extract_all(" + LOWER.format("text") + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+ORACLE["op11_lexical_search"] = f"""
+    WITH held AS (
+        SELECT row_number() OVER () AS nr, doc_id, {TERMS} AS terms FROM documents WHERE text IS NOT NULL),
+    whole AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM held WHERE len(terms) > 0),
+    posted AS (
+        SELECT nr, doc_id, n, term, count(*) AS tf
+        FROM (SELECT nr, doc_id, len(terms) AS n, unnest(terms) AS term FROM held) GROUP BY ALL),
+    weighed AS (
+        SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM posted, whole GROUP BY term),
+    asked AS (
+        SELECT item_id, text, term, count(*) AS times
+        FROM (SELECT item_id, text, unnest({TERMS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+    scored AS (
+        SELECT item_id, text, doc_id, nr, CAST(sum(times * w *
+               ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+        FROM asked JOIN weighed USING (term) JOIN posted USING (term), whole GROUP BY ALL),
+    ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS INT) AS rank
+        FROM scored WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {lexical_search.BEST}"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reviewflow.llm import (
     decontaminate,
+    lexical_search,
     license_scan,
     line_dedup,
     ngram_jaccard,
@@ -84,6 +85,11 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(docs, labels).select("doc_id", "held_out", "score", "predicted")
 
 
+@query
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 @query
 def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment.aligned_digests(read(spark, folder, "documents"))

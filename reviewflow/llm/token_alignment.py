@@ -303,28 +303,31 @@ class Chunk:
             self.rows.append((doc_id, digest, *np.unique(np.array(numbers), return_counts=True)))
 
     def row(self, number: int) -> pa.RecordBatch:
-        sizes = np.array([len(piece.pairs) // 8 for piece in self.pieces], np.int64)
-        keys = np.frombuffer(b"".join(piece.pairs for piece in self.pieces), "<i8")
-        links = np.frombuffer(b"".join(piece.links for piece in self.pieces), "<i8")
+        # Pieces of texts that have no tokens are not used.
+        lengths = np.array([len(row[2]) for row in self.rows], np.int64)
+        used, numbers = np.unique(np.concatenate([row[2] for row in self.rows]), return_inverse=True)
+        pieces = [self.pieces[i] for i in used.tolist()]
+        sizes = np.array([len(piece.pairs) // 8 for piece in pieces], np.int64)
+        keys = np.frombuffer(b"".join(piece.pairs for piece in pieces), "<i8")
+        links = np.frombuffer(b"".join(piece.links for piece in pieces), "<i8")
         pairs, at = np.unique(keys, return_inverse=True)
         held = np.zeros(len(pairs), np.int64)
-        begins = np.cumsum(sizes) - sizes
-        for first in range(0, len(self.rows), COUNTED_TEXTS):
-            some = [row[2] for row in self.rows[first : first + COUNTED_TEXTS]]
-            owner = np.repeat(np.arange(len(some)), [len(x) for x in some])
-            piece = np.concatenate(some)
+        begins, ends = np.cumsum(sizes) - sizes, np.append(0, np.cumsum(lengths))
+        for first in range(0, len(lengths), COUNTED_TEXTS):
+            some = lengths[first : first + COUNTED_TEXTS]
+            piece = numbers[ends[first] : ends[first] + some.sum()]
             n = sizes[piece]
             pair = at[np.repeat(begins[piece], n) + ranges(n)]
-            both = np.unique(np.repeat(owner, n) * max(1, len(pairs)) + pair)
-            held += np.bincount(both % max(1, len(pairs)), minlength=len(pairs))
+            both = np.unique(np.repeat(np.repeat(np.arange(len(some)), some), n) * len(pairs) + pair)
+            if len(both):
+                held += np.bincount(both % len(pairs), minlength=len(pairs))
         per_piece = {"at": lists(at, sizes, pa.int32()), "links": lists(links, sizes, pa.int64())}
-        per_piece |= {name: pa.array([piece[i] for piece in self.pieces], pa.int32()) for i, name in enumerate(COUNTS)}
-        used = [len(row[2]) for row in self.rows]
+        per_piece |= {name: pa.array([piece[i] for piece in pieces], pa.int32()) for i, name in enumerate(COUNTS)}
         per_text = {
             "doc_id": pa.array([row[0] for row in self.rows], pa.int64()),
             "groups_sha256": pa.array([row[1] for row in self.rows], pa.string()),
-            "piece": lists(np.concatenate([row[2] for row in self.rows]), used, pa.int32()),
-            "times": lists(np.concatenate([row[3] for row in self.rows]), used, pa.int32()),
+            "piece": lists(numbers, lengths, pa.int32()),
+            "times": lists(np.concatenate([row[3] for row in self.rows]), lengths, pa.int32()),
         }
         return pa.RecordBatch.from_arrays(
             [
