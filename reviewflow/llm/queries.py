@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reviewflow.llm import (
     decontaminate,
+    html_extraction,
     lexical_search,
     license_scan,
     line_dedup,
@@ -90,6 +91,11 @@ def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+@query
+def op12_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.extract(read(spark, folder, "pages"))
+
+
 @query
 def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment.aligned_digests(read(spark, folder, "documents"))
