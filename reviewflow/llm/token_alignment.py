@@ -6,9 +6,10 @@ coarsely; a token that holds a part of a character, such as a byte of a multibyt
 byte-fallback token, is cut where its decoded bytes end. Where tokens of both end, a group ends. All
 pairs of an A and a B token of one group are linked.
 
-1. Texts are cut before each blank that follows a character other than white space. Both tokenizers have
-   a token end there (`cuts_hold` asks their files; texts are encoded whole if not), so tokens,
-   groups and links of a text are those of its pieces, and a task encodes a piece that occurs again once.
+1. Texts are cut before each blank that follows a character other than white space, and between a letter and a mark
+   that no token joins. Both tokenizers have a token end there (`cuts` asks their files; texts are encoded whole
+   if they have not), so tokens, groups and links of a text are those of its pieces, and a task encodes a piece that
+   occurs again once.
 2. A task writes its documents in chunks. A chunk has its documents as numbers of pieces, and the id pairs
    of its pieces, each once, with the number of its documents that hold it.
 3. The counts of an id pair are summed over the chunks, and the highest count of each A id is found.
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -50,9 +52,9 @@ BYTE_LEVEL = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
 
 # Text of a chunk, texts looked at together, pieces remembered by a worker and the longest of them.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 3 << 20
 SLICE_TEXTS = 64
-REMEMBERED = 100_000
+REMEMBERED = 130_000
 LONGEST_REMEMBERED = 64
 # Pieces encoded together; groups with more links than this are counted by distinct ids.
 ALIGNED_PIECES = 8192
@@ -61,7 +63,11 @@ LONG_GROUP = 4096
 COUNTED_TEXTS = 128
 
 META = "▁"
-BLANK_AFTER_TEXT = re.compile(r"(?<=\S)(?= )")
+BLANK_AFTER_TEXT = r"(?= )(?<=\S)"
+APART = "\n"
+# Marks that pieces may begin with; an apostrophe is none, since A's splitting pattern takes letters behind it along.
+MARKS = ",.;:!?%*#$&\n"
+LETTER = "[A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ώЀ-ҁ]"
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
 CHUNK = "chunk BIGINT, pairs ARRAY<BIGINT>, held ARRAY<INT>, pieces BINARY, texts BINARY"
@@ -76,14 +82,13 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(byte): byte for byte in plain} | {chr(256 + i): byte for i, byte in enumerate(others)}
 
 
-def byte_ends(begin: np.ndarray, end: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def byte_ends(begin: np.ndarray, end: np.ndarray, sizes: np.ndarray, owner: np.ndarray, first_byte: np.ndarray) -> np.ndarray:
     """Where tokens end, from their spans in bytes. A token that fills its span ends with it; one that does
-    not holds a part of a character, and its decoded bytes, counted from the last sure end, tell where it ends."""
-    sure = end - begin == sizes
+    not holds a part of a character, and the decoded bytes from the first byte of its piece on tell where it ends."""
     decoded = np.cumsum(sizes)
-    last = np.maximum.accumulate(np.where(sure, np.arange(len(end)), -1))
-    base = np.where(last >= 0, end[last] - decoded[last], 0)
-    return np.where(sure, end, base + decoded)
+    new = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else owner
+    before = np.repeat((decoded - sizes)[new], np.diff(np.append(new, len(owner))))
+    return np.where(end - begin == sizes, end, first_byte[owner] + decoded - before)
 
 
 def ranges(sizes: np.ndarray) -> np.ndarray:
@@ -123,26 +128,36 @@ class Aligner:
         self.blank = self.b.piece_to_id(META)
         self.remembered: dict[str, Piece] = {}
         self.older: dict[str, Piece] = {}
-        self.cuts = self.cuts_hold()
+        # B's tokens of what is put before a piece without a blank.
+        self.apart = self.b.encode(APART)
+        self.cut = self.cuts()
 
     def piece_bytes(self, number: int) -> bytes:
         piece = self.b.id_to_piece(number)
         byte = BYTE_PIECE.fullmatch(piece) if self.b.is_byte(number) else None
         return bytes([int(byte[1], 16)]) if byte else piece.replace(META, " ").encode()
 
-    def cuts_hold(self) -> bool:
-        """Whether both tokenizers end a token before a blank that follows a visible character: A's
-        splitting pattern does if its tokens have blanks in front only, B's merges if no piece
-        has its mark behind another character."""
+    def cuts(self) -> re.Pattern | None:
+        """Where both tokenizers end a token whatever stands around. A's splitting pattern does where a blank follows
+        a visible character, as its tokens have blanks in front only, and where a mark follows a letter. B's merges do
+        if no piece holds the two characters side by side; pieces without a blank in front also need a character
+        that B keeps apart to be put before them."""
         kept = self.a.normalizer is None and self.a.pre_tokenizer is not None
-        probe = self.a.pre_tokenizer.pre_tokenize_str(" a b. c1 d") if kept else []
-        split = [span for _, span in probe] == [(0, 2), (2, 4), (4, 5), (5, 7), (7, 8), (8, 10)]
-        inner = any(re.search(f"[^{META}]{META}", self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
-        return split and not inner
+        probe = self.a.pre_tokenizer.pre_tokenize_str(" a b. c1 d,e") if kept else []
+        if [end for _, (_, end) in probe] != [2, 4, 5, 7, 8, 10, 11, 12]:
+            return None
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size()) if not self.b.is_byte(i)]
+        beside = {pair for piece in pieces if not self.b.is_control(self.b.piece_to_id(piece)) for pair in zip(piece, piece[1:], strict=False)}
+        if any(second == META != first for first, second in beside):
+            return None
+        joined = {second for first, second in beside if first == APART or re.match(LETTER, first)}
+        marks = [mark for mark in MARKS if mark not in joined and self.b.encode(APART + mark)[:2] == self.apart]
+        found = BLANK_AFTER_TEXT + ("|" + f"(?=[{re.escape(''.join(marks))}])(?<={LETTER})" if marks else "")
+        return re.compile(found)
 
     def split(self, text: str) -> list[str]:
-        """Pieces of a blank and the text; each begins with a blank."""
-        return BLANK_AFTER_TEXT.split(" " + text) if self.cuts else [" " + text]
+        """Pieces of a blank and the text; the first begins with the blank."""
+        return self.cut.split(" " + text) if self.cut else [" " + text]
 
     def aligned(self, pieces: list[str]) -> list[Piece]:
         """Pieces, each named once; those met in one of the last two rounds of memory at once."""
@@ -183,11 +198,18 @@ class Aligner:
         a = self.a.encode_batch(pieces, add_special_tokens=False)
         ids, owner, begin, end = flat([one.ids for one in a], [one.offsets for one in a])
         a_side = (ids, owner, at_byte[begin + first_character[owner]], at_byte[end + first_character[owner]])
-        # B's are in bytes of the text without the blank that B adds; it adds none to an empty text.
-        b = self.b.encode([piece[1:] for piece in pieces], num_threads=1, return_type="offset_mapping", return_bytes=True)
-        ids, owner, begin, end = flat([one["ids"] or [self.blank] for one in b], [one["offsets"] or [(0, 0)] for one in b])
+        # B's are in bytes of what it was given: a text without the blank that B adds, or one behind `APART`.
+        spaced = [piece[0] == " " for piece in pieces]
+        given = [piece[1:] if blank else APART + piece for piece, blank in zip(pieces, spaced, strict=True)]
+        b = self.b.encode(given, num_threads=1, return_type="offset_mapping", return_bytes=True)
+        skip = len(self.apart)
+        b = [(one["ids"], one["offsets"]) if blank else (one["ids"][skip:], one["offsets"][skip:]) for one, blank in zip(b, spaced, strict=True)]
+        # B adds no blank to an empty text.
+        ids, owner, begin, end = flat([i or [self.blank] for i, _ in b], [o or [(0, 0)] for _, o in b])
         first = np.append(True, owner[1:] != owner[:-1]) if len(owner) else owner.astype(bool)
-        return [a_side, (ids, owner, begin + first_byte[owner] + ~first, end + first_byte[owner] + 1)]
+        shift = first_byte[owner] + np.where(np.array(spaced)[owner], 1, -len(APART))
+        begin = np.where(first, first_byte[owner], begin + shift)
+        return [a_side, (ids, owner, begin, end + shift)]
 
     def given_back(self, pieces: list[str], data: bytes, both: list[tuple[np.ndarray, ...]]) -> np.ndarray:
         """Which pieces the decoded bytes of either side's tokens make up."""
@@ -207,7 +229,9 @@ class Aligner:
         both = self.encoded(pieces, data)
         good = self.given_back(pieces, data, both)
         both = [tuple(column[good[side[1]]] for column in side) for side in both]
-        ends = [byte_ends(side[2], side[3], sizes[side[0]]) for side, sizes in zip(both, self.sizes, strict=True)]
+        lengths = np.array([len(piece.encode()) for piece in pieces], np.int64)
+        first_byte = np.cumsum(lengths) - lengths
+        ends = [byte_ends(begin, end, sizes[ids], owner, first_byte) for (ids, owner, begin, end), sizes in zip(both, self.sizes, strict=True)]
         cuts = np.intersect1d(*ends)
         (a_ids, a_owner), (b_ids, b_owner) = (side[:2] for side in both)
         a_group, b_group = (np.searchsorted(cuts, end) for end in ends)
@@ -248,8 +272,10 @@ class Aligner:
         token_at = (a_at + b_at).tolist()
         counts = zip(np.diff(a_at).tolist(), np.diff(b_at).tolist(), np.diff(group_at).tolist(), strict=True)
         pairs, links, key_at = keys.tobytes(), times.tobytes(), (8 * key_at).tolist()
+        # Most links are single ones; equal texts of them are one object in memory.
+        same: dict[bytes, bytes] = {}
         return [
-            Piece(*count, "".join(written[token_at[i] : token_at[i + 1]]), pairs[key_at[i] : key_at[i + 1]], links[key_at[i] : key_at[i + 1]])
+            Piece(*count, "".join(written[token_at[i] : token_at[i + 1]]), pairs[key_at[i] : key_at[i + 1]], same.setdefault(one := links[key_at[i] : key_at[i + 1]], one))
             if good[i]
             else NO_PIECE
             for i, count in enumerate(counts)
@@ -258,7 +284,8 @@ class Aligner:
 
 @lru_cache(maxsize=1)
 def aligner(folder: str, byte_level: str, pieces: str) -> Aligner:
-    """One a worker."""
+    """One a worker, in one thread: Spark runs as many tasks as there are cores."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Aligner(str(Path(folder, byte_level)), str(Path(folder, pieces)))
 
 
@@ -284,22 +311,28 @@ class Chunk:
     def __init__(self):
         self.numbers: dict[str, int] = {}
         self.pieces: list[Piece] = []
+        self.groups: list[str] = []
+        self.bad: set[int] = set()
         self.rows: list[tuple] = []
         self.size = 0
 
     def add(self, ids: list[int | None], texts: list[str | None], work: Aligner) -> None:
         split = [work.split(text) if text else [] for text in texts]
         new = [piece for piece in set().union(*split) if piece not in self.numbers]
-        self.numbers.update(zip(new, range(len(self.numbers), len(self.numbers) + len(new)), strict=True))
-        self.pieces += work.aligned(new)
+        aligned = work.aligned(new)
+        known = len(self.pieces)
+        self.numbers.update(zip(new, range(known, known + len(new)), strict=True))
+        self.pieces += aligned
+        self.groups += [piece.groups or "" for piece in aligned]
+        self.bad.update(known + i for i, piece in enumerate(aligned) if piece.groups is None)
         self.size += sum(len(text or "") for text in texts)
         for doc_id, pieces in zip(ids, split, strict=True):
-            numbers = [self.numbers[piece] for piece in pieces]
-            groups = [self.pieces[number].groups for number in numbers]
-            if not groups or None in groups:
+            numbers = list(map(self.numbers.__getitem__, pieces))
+            if not numbers or not self.bad.isdisjoint(numbers):
                 self.rows.append((doc_id, "", np.empty(0, np.int64), np.empty(0, np.int64)))
                 continue
-            digest = hashlib.sha256("".join(groups)[:-1].encode()).hexdigest()
+            written = "".join(map(self.groups.__getitem__, numbers))
+            digest = hashlib.sha256(written[:-1].encode()).hexdigest()
             self.rows.append((doc_id, digest, *np.unique(np.array(numbers), return_counts=True)))
 
     def row(self, number: int) -> pa.RecordBatch:

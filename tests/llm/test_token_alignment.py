@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -119,7 +120,15 @@ def test_pieces_remembered_or_not(monkeypatch):
     monkeypatch.setattr(alignment, "LONG_GROUP", 0)
     work.remembered.clear(), work.older.clear()
     assert first == [work.aligned(list(dict.fromkeys(pieces))) for pieces in split]
-    assert work.cuts
+    assert work.cut and {len(p) for p in work.split('Ab, c.d%%')} == {3, 1, 2}
+
+
+def test_cuts_at_random_texts(spark):
+    """Whole texts and texts cut into pieces have the same tokens."""
+    rng = random.Random(3)
+    alphabet = ["a", "b", "The", "é", "日", "²", "́", "'", "'s", ",", ".", "%%", "\n", " ", "  ", "\t", "1", "23", "-", "(", ")", "☃", "▁", "$", "&amp;"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(1, 14))) for _ in range(400)]
+    assert result(alignment.aligned_digests(table(spark, texts))) == expected(texts)[0]
 
 
 def test_links_table(spark):
@@ -131,10 +140,10 @@ def test_links_table(spark):
 def test_partial_characters_are_cut_by_decoded_bytes():
     # "é☃x": the snowman is three bytes in three tokens that all span its character.
     sizes = np.array([2, 1, 1, 1, 1])
-    ends = alignment.byte_ends(np.array([0, 2, 2, 2, 5]), np.array([2, 5, 5, 5, 6]), sizes)
+    ends = alignment.byte_ends(np.array([0, 2, 2, 2, 5]), np.array([2, 5, 5, 5, 6]), sizes, np.zeros(5, int), np.array([0]))
     assert ends.tolist() == [2, 3, 4, 5, 6]
     # Byte-fallback tokens span nothing, and the last one the character.
-    ends = alignment.byte_ends(np.array([0, 2, 2, 2, 5]), np.array([2, 2, 2, 5, 6]), sizes)
+    ends = alignment.byte_ends(np.array([0, 2, 2, 2, 5]), np.array([2, 2, 2, 5, 6]), sizes, np.zeros(5, int), np.array([0]))
     assert ends.tolist() == [2, 3, 4, 5, 6]
 
 
