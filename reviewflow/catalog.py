@@ -1,9 +1,7 @@
-"""Named tables: databases, external tables, keyed tables, SQL over them, statistics."""
+"""Named tables: databases, external tables, SQL over them, statistics."""
 
 from __future__ import annotations
 
-import re
-import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,19 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reviewflow.functions.text import NOT_LETTER_OR_BLANK
-from reviewflow.operators.customers import latest_per_key
 from reviewflow.schemas import STORED_REVIEW, ddl
-from reviewflow.session import remove_folder, same_path, session_settings, source_bytes
+from reviewflow.session import folder_bytes, path_exists, same_path
+from reviewflow.sources.rows import rows_to_table
 
-# Size of a bucket that a table is laid out for, and Spark's own bound on their number.
-BUCKET_BYTES = 1024 * 1024 * 1024
-MOST_BUCKETS = 100_000
-
-# Spark gives rows that do not come from files a size beyond this.
-UNKNOWN_BYTES = 1 << 60
-
-# Where a keyed table's rows were before its last put.
-PREVIOUS = "reviewflow.previous"
+# Table properties with what was counted while a table was loaded.
+COUNTED_ROWS = "reviewflow.rows"
+COUNTED_BYTES = "reviewflow.bytes"
+STATS = "table_name STRING, size_bytes BIGINT, row_count BIGINT"
 
 WORD_COUNT_SQL = Path(__file__).parent / "plans" / "word_count.sql"
 
@@ -57,89 +50,6 @@ def read_external_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
-def bucket_count(rows: DataFrame) -> int:
-    """Buckets for a table that starts with these rows; the session's shuffle partitions, if nothing
-    is known of their size."""
-    size = source_bytes(rows)
-    if size > UNKNOWN_BYTES:
-        return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(MOST_BUCKETS, -(-size // BUCKET_BYTES)))
-
-
-def described(spark: SparkSession, table: str) -> dict[str, str]:
-    rows = spark.sql(f"DESCRIBE EXTENDED {table}").collect()
-    return {row.col_name: row.data_type for row in rows}
-
-
-def with_keys(rows: DataFrame, key: str) -> DataFrame:
-    """The rows; one without a key fails the job that reads it."""
-    checked = F.when(F.col(key).isNotNull(), F.col(key)).otherwise(F.raise_error(F.lit(f"null {key}")))
-    return rows.withColumn(key, checked)
-
-
-def merged(kept: DataFrame, latest: DataFrame, key: str) -> DataFrame:
-    """One row per key: the latest put, or else the kept one. Both sides have one row per key.
-
-    The kept rows are read bucket by bucket and are not shuffled.
-    """
-    put = latest.select(F.col(key).alias("_key"), F.struct(*latest.columns).alias("_put"))
-    both = kept.join(put, kept[key] == put["_key"], "full_outer")
-    newer = F.col("_key").isNotNull()
-    return both.select(
-        *(F.when(newer, F.col("_put")[name]).otherwise(kept[name]).alias(name) for name in kept.columns)
-    )
-
-
-def put_rows(
-    table: str,
-    rows: DataFrame,
-    key: str,
-    order_by: list[str],
-    location: str,
-    columns: list[str] | None = None,
-    buckets: int | None = None,
-) -> DataFrame:
-    """Put rows into a table with one row per key, made if need be.
-
-    A later put replaces the earlier row of its key; within `rows`, later is by `order_by`, which may
-    use columns that are not kept, and then by the columns kept. Keys not put again keep their row. A
-    null key fails the put. The table is bucketed and sorted by the key, so a lookup of one key reads
-    one bucket and a join on the key need not shuffle the table. The number of buckets is set when the
-    table is made, `buckets` or by the size of the first rows, and stays.
-
-    A put reads `rows` once, shuffles them once into the table's buckets, and writes the merged buckets
-    to a new folder, where the table's name points when they are complete. Readers of the copy before
-    may finish; the one before that is removed.
-    """
-    spark = rows.sparkSession
-    columns = columns or rows.columns
-    new = f"{location.rstrip('/')}/{uuid.uuid4().hex}"
-    exists = spark.catalog.tableExists(table)
-    layout = described(spark, table) if exists else {}
-    number = int(layout["Num Buckets"]) if exists else buckets or bucket_count(rows)
-    with session_settings(spark, {"spark.sql.shuffle.partitions": str(number)}):
-        latest = latest_per_key(with_keys(rows, key), key, order_by, columns)
-        if not exists:
-            write_buckets(latest, number, key, table, new)
-            return spark.table(table)
-        staged = f"{table}_{uuid.uuid4().hex}"
-        kept = spark.table(table).select(*columns)
-        write_buckets(merged(kept, latest, key), number, key, staged, new)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PREVIOUS}' = '{layout['Location']}')")
-    spark.sql(f"DROP TABLE {staged}")
-    spark.catalog.refreshTable(table)
-    superseded = re.search(rf"{re.escape(PREVIOUS)}=([^,\]]+)", layout.get("Table Properties", ""))
-    if superseded:
-        remove_folder(spark, superseded[1])
-    return spark.table(table)
-
-
-def write_buckets(rows: DataFrame, buckets: int, key: str, table: str, path: str) -> None:
-    """Rows that are partitioned by key already, each bucket into one file."""
-    rows.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
-
-
 def run_sql_file(spark: SparkSession, path: str | Path, **arguments) -> DataFrame:
     """Run the one statement in a local text file against the session's tables and views.
 
@@ -160,12 +70,47 @@ def query_to_location(spark: SparkSession, sql: str, location: str) -> DataFrame
     return spark.read.parquet(location)
 
 
+def create_batch_table(spark: SparkSession, table: str, location: str, schema: StructType) -> DataFrame:
+    """An external table over folders `batch_id=N` at a location, with `batch_id` as its partition.
+
+    Folders that are there already become partitions at once; later ones by `add_batch`.
+    """
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    columns = f"{ddl(schema)}, batch_id BIGINT"
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING PARQUET PARTITIONED BY (batch_id) LOCATION '{location}'")
+    if path_exists(spark, location):
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    return spark.table(table)
+
+
+def add_batch(spark: SparkSession, table: str, location: str, batch_id: int) -> None:
+    """Make a batch's folder a partition; once is enough, and again does no harm."""
+    place = f"PARTITION (batch_id = {batch_id}) LOCATION '{location.rstrip('/')}/batch_id={batch_id}'"
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {place}")
+    spark.catalog.refreshTable(table)
+
+
+def record_stats(spark: SparkSession, table: str, location: str, rows: int) -> None:
+    """Keep the rows that were counted while a table's files were written, beside the bytes of these files."""
+    listed = {COUNTED_ROWS: rows, COUNTED_BYTES: folder_bytes(spark, location)}
+    told = ", ".join(f"'{name}' = '{value}'" for name, value in listed.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({told})")
+
+
 def table_stats(spark: SparkSession, table: str) -> DataFrame:
-    """Size in bytes and rows of a table, taken anew."""
+    """Size in bytes and rows of a table: as recorded when it was loaded, if its files still have that size, which
+    takes a listing; else taken anew by a scan."""
+    name = table.rpartition(".")[2]
+    told = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if COUNTED_ROWS in told:
+        place = next(row.data_type for row in spark.sql(f"DESCRIBE EXTENDED {table}").collect() if row.col_name == "Location")
+        size = folder_bytes(spark, place)
+        if str(size) == told[COUNTED_BYTES]:
+            return rows_to_table(spark, [(name, size, int(told[COUNTED_ROWS]))], STATS)
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
     described = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Statistics'")
     return described.select(
-        F.lit(table.rpartition(".")[2]).alias("table_name"),
+        F.lit(name).alias("table_name"),
         F.regexp_extract("data_type", r"(\d+) bytes", 1).cast("long").alias("size_bytes"),
         F.regexp_extract("data_type", r"(\d+) rows", 1).cast("long").alias("row_count"),
     )

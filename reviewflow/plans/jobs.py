@@ -8,13 +8,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow import catalog
+from reviewflow import catalog, keyed_tables
 from reviewflow.operators import customers as people
 from reviewflow.operators import records, reviews, words
-from reviewflow.schemas import CUSTOMER_FIELDS
+from reviewflow.schemas import CUSTOMER_FIELDS, ENRICHED
 from reviewflow.session import MOST_FILES_PER_BATCH, build_session, shared_folder, sized_shuffles
 from reviewflow.sources import files, topics
-from reviewflow.streaming import sinks
+from reviewflow.streaming import batches, sinks
 
 
 def word_count(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -57,17 +57,18 @@ def ingest_reviews(spark: SparkSession, args: argparse.Namespace) -> None:
 def enrich_reviews(spark: SparkSession, args: argparse.Namespace) -> None:
     """Add user name and name to the tab-separated reviews of a topic, batch by batch.
 
-    Customer files are put into a keyed table first: one row per customer, the last, which is neither
-    read anew from the files nor shuffled with every batch.
+    Customer files are put into a keyed table first: one row per customer, the last. Of a keyed table each batch
+    reads the buckets that its customers fall into. With a table name, each batch becomes a partition of that table.
     """
-    if args.customer_table:
-        lookup = spark.table(args.customer_table)
-    else:
+    table = args.customer_table
+    if not table:
         rows = files.with_file_order(files.read_customers(spark, args.customers))
         table = f"reviewers_{uuid.uuid4().hex}"
-        lookup = put_customers(rows, table, shared_folder(spark, "reviewers"))
+        put_customers(rows, table, shared_folder(spark, "reviewers"))
     parsed = reviews.parse_review_tsv(topics.values(stream_of(spark, args)))
-    work = sinks.batch_table(args.output, lambda batch: people.enrich(batch, lookup))
+    if args.table:
+        catalog.create_batch_table(spark, args.table, args.output, ENRICHED)
+    work = batches.enrich_batches(table, args.output, args.table)
     slim = parsed.select(*people.ENRICH_INPUT_FIELDS)
     try:
         sinks.wait(sinks.each_batch(slim, work, args.checkpoint, trigger=trigger_of(args)))
@@ -86,14 +87,18 @@ def load_customers(spark: SparkSession, args: argparse.Namespace) -> None:
 def put_customers(
     rows: DataFrame, table: str, location: str, buckets: int | None = None
 ) -> DataFrame:
-    return catalog.put_rows(
+    return keyed_tables.put_rows(
         table, rows, "customer_id", files.FILE_ORDER, location, CUSTOMER_FIELDS, buckets
     )
 
 
 def lookup_customer(spark: SparkSession, args: argparse.Namespace) -> None:
     """Print the customer of a key."""
-    people.point_lookup(spark.table(args.table), "customer_id", args.key).show(truncate=False)
+    if keyed_tables.is_keyed(spark, args.table):
+        found = keyed_tables.rows_of_key(spark, args.table, args.key)
+    else:
+        found = people.point_lookup(spark.table(args.table), "customer_id", args.key)
+    found.show(truncate=False)
 
 
 def publish_lines(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -196,6 +201,7 @@ def parser() -> argparse.ArgumentParser:
     source = sub.add_mutually_exclusive_group(required=True)
     source.add_argument("--customers", help="tab-separated customer files")
     source.add_argument("--customer-table")
+    sub.add_argument("--table", help="name for the output, a partition a batch")
 
     sub = job(load_customers)
     for name in ("--input", "--table", "--location"):

@@ -138,6 +138,20 @@ ORACLE = {
                round(avg(star_rating), 2) AS avg_star_rating
         FROM ({TYPED_REVIEWS}) AS reviews
         GROUP BY product_id""",
+    "key_lookup": f"SELECT {LOOKUP_FIELDS} FROM ({CUSTOMERS}) AS c WHERE c_custkey = 23",
+    "word_count_updates": WORD_COUNTS,
+    "enriched_table": f"""
+        SELECT customer_id, username, CAST(count(*) AS BIGINT) AS reviews, max(review_id) AS last_review
+        FROM ({ENRICHED}) AS enriched
+        GROUP BY customer_id, username""",
+    "batch_progress": """
+        SELECT (o_orderkey % 6) // 2 AS batch_id, CAST(count(*) AS BIGINT) AS input_rows
+        FROM orders GROUP BY batch_id""",
+    "good_records": f"SELECT * FROM ({TYPED_REVIEWS}) AS reviews WHERE CAST(substr(review_id, 2) AS BIGINT) % 7 <> 0",
+    "malformed_records": f"""
+        SELECT substr('{{"marketplace":"US","customer_id":' || customer_id || ',"review_id":"' || review_id || '"', 1, 40)
+               AS value
+        FROM ({TYPED_REVIEWS}) AS reviews WHERE CAST(substr(review_id, 2) AS BIGINT) % 7 = 0""",
     "table_stats": """
         SELECT 'reviews_loaded' AS table_name, CAST(count(*) AS BIGINT) AS row_count,
                true AS has_bytes

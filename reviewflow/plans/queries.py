@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reviewflow import catalog
+from reviewflow import catalog, keyed_tables
 from reviewflow.operators import customers as people
 from reviewflow.operators import records, reviews, words
 from reviewflow.plans import feeds
-from reviewflow.schemas import CUSTOMER_FIELDS, REVIEW
-from reviewflow.session import shared_folder, widen
+from reviewflow.schemas import CUSTOMER_FIELDS, ENRICHED, REVIEW
+from reviewflow.session import file_count, shared_folder, widen
 from reviewflow.sources import files, rows, topics
-from reviewflow.streaming import sinks
+from reviewflow.streaming import batches, progress, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -33,6 +33,14 @@ BATCHES = 2
 COUNT_BATCHES = 3
 STATE_PARTITIONS = 16
 
+# Publications of a topic whose batches are told, and files of each; where malformed records are cut off.
+PUBLICATIONS = 6
+PUBLISHED_FILES = 4
+CUT_AT = 40
+
+# Buckets of keyed tables that streams look up or put into.
+BUCKETS = 8
+
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
     """Register a query under its name."""
@@ -85,13 +93,17 @@ def top_words(spark: SparkSession, folder: str) -> DataFrame:
     return words.top_words(words.count_words(feeds.document_lines(spark, folder)))
 
 
+def streamed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of all documents as a stream over text files, in several batches."""
+    source = shared_folder(spark, "lines")
+    feeds.document_lines(spark, folder).write.text(source)
+    return files.stream_text(spark, source, max(1, file_count(spark, source) // COUNT_BATCHES))
+
+
 @query
 def word_count_stream(spark: SparkSession, folder: str) -> DataFrame:
     """A running count over text files, several batches, ranked within the stream; its last snapshot."""
-    source, path = shared_folder(spark, "lines"), shared_folder(spark, "word-count")
-    feeds.document_lines(spark, folder).write.text(source)
-    parts = len(spark.read.text(source).inputFiles())
-    lines = files.stream_text(spark, source, max(1, parts // COUNT_BATCHES))
+    lines, path = streamed_lines(spark, folder), shared_folder(spark, "word-count")
     sinks.wait(
         sinks.each_batch(
             words.rank_words(words.count_words(lines)),
@@ -104,6 +116,23 @@ def word_count_stream(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.read_snapshot(spark, path)
 
 
+@query
+def word_count_updates(spark: SparkSession, folder: str) -> DataFrame:
+    """A running count over text files, several batches, of which each puts the words it changed into a keyed table."""
+    table, location = f"{work_database(spark)}.word_counts", shared_folder(spark, "word-counts")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    sinks.wait(
+        sinks.each_batch(
+            words.count_words(streamed_lines(spark, folder)),
+            batches.put_batches(table, "word", location, BUCKETS),
+            checkpoint=shared_folder(spark, "checkpoint"),
+            output_mode="update",
+            state_partitions=STATE_PARTITIONS,
+        )
+    )
+    return keyed_tables.keyed_rows(spark, table)
+
+
 # Files
 
 
@@ -200,23 +229,46 @@ def enrich_join(spark: SparkSession, folder: str) -> DataFrame:
     return people.enrich(parsed, feeds.customers(spark, folder))
 
 
-@query
-def enrich_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Reviews from a topic, enriched batch by batch from a keyed table, into a table by batch id."""
-    topic = published(spark, "reviews", feeds.review_tsv_records(spark, folder))
-    parsed = reviews.parse_review_tsv(topics.values(streamed(spark, topic)))
+def reviewers(spark: SparkSession, folder: str) -> str:
+    """A keyed table of the customers."""
     table, location = f"{work_database(spark)}.reviewers", shared_folder(spark, "reviewers")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    lookup = catalog.put_rows(table, feeds.customers(spark, folder), "customer_id", [], location)
+    keyed_tables.put_rows(table, feeds.customers(spark, folder), "customer_id", [], location, buckets=BUCKETS)
+    return table
+
+
+def enriched_batches(spark: SparkSession, folder: str, table: str | None = None) -> str:
+    """Reviews from a topic, enriched batch by batch from a keyed table; the location of the batch folders."""
+    topic = published(spark, "reviews", feeds.review_tsv_records(spark, folder))
+    parsed = reviews.parse_review_tsv(topics.values(streamed(spark, topic)))
     path = shared_folder(spark, "enriched")
+    if table:
+        catalog.create_batch_table(spark, table, path, ENRICHED)
     sinks.wait(
         sinks.each_batch(
             parsed.select(*people.ENRICH_INPUT_FIELDS),
-            sinks.batch_table(path, lambda batch: people.enrich(batch, lookup)),
+            batches.enrich_batches(reviewers(spark, folder), path, table),
             checkpoint=shared_folder(spark, "checkpoint"),
         )
     )
-    return spark.read.parquet(path).drop("batch_id")
+    return path
+
+
+@query
+def enrich_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Enriched reviews, written batch by batch."""
+    return spark.read.parquet(enriched_batches(spark, folder)).drop("batch_id")
+
+
+@query
+def enriched_table(spark: SparkSession, folder: str) -> DataFrame:
+    """SQL over enriched reviews by their table's name, each batch a partition."""
+    table = f"{work_database(spark)}.enriched"
+    enriched_batches(spark, folder, table)
+    return spark.sql(f"""
+        SELECT customer_id, username, count(*) AS reviews, max(review_id) AS last_review
+        FROM {table} WHERE batch_id >= 0
+        GROUP BY customer_id, username""")
 
 
 @query
@@ -227,6 +279,12 @@ def latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
     return people.latest_per_key(slim, "user_id", ["event_id"])
 
 
+@query
+def key_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """One customer from a keyed table, read from its bucket."""
+    return people.lookup_form(keyed_tables.rows_of_key(spark, reviewers(spark, folder), "23"))
+
+
 @query
 def put_rows(spark: SparkSession, folder: str) -> DataFrame:
     """A keyed table after two puts: all customers, then each order's customer."""
@@ -243,8 +301,8 @@ def put_rows(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderstatus").alias("note"),
         F.col("o_orderkey").alias("put_id"),
     )
-    catalog.put_rows(table, first, "customer_id", ["put_id"], location)
-    return catalog.put_rows(table, second, "customer_id", ["put_id"], location)
+    keyed_tables.put_rows(table, first, "customer_id", ["put_id"], location)
+    return keyed_tables.put_rows(table, second, "customer_id", ["put_id"], location)
 
 
 # Topics
@@ -364,6 +422,52 @@ def query_to_location(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def table_stats(spark: SparkSession, folder: str) -> DataFrame:
-    table = review_table(spark, folder, "reviews_loaded")
+    """Rows and bytes of a table whose rows were counted while a stream wrote them."""
+    topic, path = published(spark, "reviews", feeds.review_json_records(spark, folder)), shared_folder(spark, "reviews")
+    parsed = reviews.with_processing_time(reviews.parse_review_json(topics.values(streamed(spark, topic))))
+    counted = parsed.observe("loaded", F.count(F.lit(1)).alias("rows"))
+    with progress.watched(spark) as told:
+        stream = sinks.wait(sinks.append_parquet(counted, path, shared_folder(spark, "checkpoint")))
+        loaded = told.observed(stream, "loaded", "rows")
+    table = f"{work_database(spark)}.reviews_loaded"
+    catalog.create_external_table(spark, table, path)
+    catalog.record_stats(spark, table, path, loaded)
     stats = catalog.table_stats(spark, table)
     return stats.select("table_name", "row_count", (F.col("size_bytes") > 0).alias("has_bytes"))
+
+
+@query
+def batch_progress(spark: SparkSession, folder: str) -> DataFrame:
+    """Batch id and rows of each batch of a topic whose rate cap takes two publications at a time."""
+    topic, messages = new_topic(spark, "reviews"), files.read_table(spark, folder, "orders")
+    lines = messages.select("o_orderkey", F.to_json(F.struct("o_orderkey", "o_orderstatus")).alias("value"))
+    for part in range(PUBLICATIONS):
+        topic.publish(lines.where(F.col("o_orderkey") % PUBLICATIONS == part).repartition(PUBLISHED_FILES))
+    stream = topics.values(topic.stream(spark, 2 * PUBLISHED_FILES))
+    with progress.watched(spark) as told:
+        run = sinks.wait(sinks.append_parquet(stream, shared_folder(spark, "drained"), shared_folder(spark, "checkpoint")))
+        return told.table(spark, run)
+
+
+def split_records(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """JSON reviews of which every seventh is cut off, sorted into good and malformed records by a stream."""
+    cut = F.substring("value", 1, CUT_AT)
+    broken = F.get_json_object("value", "$.review_id").substr(2, 20).cast("long") % 7 == 0
+    records = feeds.review_json_records(spark, folder).select(F.when(broken, cut).otherwise(F.col("value")).alias("value"))
+    topic = published(spark, "reviews", records)
+    good, bad = shared_folder(spark, "good"), shared_folder(spark, "malformed")
+    parsed = reviews.checked_json(topics.values(streamed(spark, topic)), REVIEW)
+    sinks.wait(sinks.each_batch(parsed, batches.split_batches(good, bad), shared_folder(spark, "checkpoint")))
+    return good, bad
+
+
+@query
+def good_records(spark: SparkSession, folder: str) -> DataFrame:
+    good, _ = split_records(spark, folder)
+    return without_review_date(spark.read.parquet(good).drop("batch_id"))
+
+
+@query
+def malformed_records(spark: SparkSession, folder: str) -> DataFrame:
+    _, bad = split_records(spark, folder)
+    return spark.read.parquet(bad).drop("batch_id")

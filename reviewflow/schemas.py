@@ -66,3 +66,5 @@ FILE_RECORD = all_strings(["key", "value", "topic"])
 def ddl(schema: StructType) -> str:
     """Column list for CREATE TABLE and for parsers that take a DDL string."""
     return ", ".join(f"{field.name} {field.dataType.simpleString().upper()}" for field in schema.fields)
+
+ENRICHED = StructType([StructField(name, StringType()) for name in ENRICHED_FIELDS])

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Timestamps without an offset are read in the session time zone, so it is pinned. The skew settings
@@ -123,10 +125,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(java_path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A location with the scheme and authority of its file system."""
+    fs, java_path = hadoop_path(spark, path)
+    return fs.makeQualified(java_path).toString()
+
+
 def same_path(spark: SparkSession, one: str, other: str) -> bool:
     """Two spellings of one location."""
-    (fs1, path1), (fs2, path2) = hadoop_path(spark, one), hadoop_path(spark, other)
-    return fs1.makeQualified(path1).toString() == fs2.makeQualified(path2).toString()
+    return qualified(spark, one) == qualified(spark, other)
+
+
+def claim_file(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; false if it is there already. On storage that makes files atomically, one of several
+    sessions that try at once succeeds."""
+    fs, java_path = hadoop_path(spark, path)
+    try:
+        fs.create(java_path, False).close()
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
+def folder_is_empty(spark: SparkSession, path: str, besides: str) -> bool:
+    """Whether a folder holds nothing but names that match a pattern."""
+    fs, java_path = hadoop_path(spark, path)
+    names = [status.getPath().getName() for status in fs.listStatus(java_path)] if fs.exists(java_path) else []
+    return all(re.fullmatch(besides, name) for name in names)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
@@ -137,3 +164,14 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 def file_count(spark: SparkSession, path: str) -> int:
     fs, java_path = hadoop_path(spark, path)
     return fs.getContentSummary(java_path).getFileCount()
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the data files of a folder; names that begin with `_` or `.` are none."""
+    fs, java_path = hadoop_path(spark, path)
+    total, walk = 0, fs.listFiles(java_path, True)
+    while walk.hasNext():
+        status = walk.next()
+        if not re.match(r"[_.]", status.getPath().getName()):
+            total += status.getLen()
+    return total

@@ -6,7 +6,7 @@ import pytest
 from helpers import tuples, values
 from pyspark.sql import functions as F
 
-from reviewflow import catalog, session
+from reviewflow import catalog, keyed_tables, session
 from reviewflow.operators import reviews
 from reviewflow.schemas import STORED_REVIEW
 
@@ -58,6 +58,21 @@ def test_table_stats(spark, database, tmp_path):
     assert size > 0
 
 
+def test_recorded_stats_need_no_scan(spark, database, tmp_path, monkeypatch):
+    path, table = str(tmp_path / "reviews"), f"{database}.reviews"
+    write_reviews(spark, path, '{"star_rating": 5}', '{"star_rating": 2}')
+    catalog.create_external_table(spark, table, path)
+    size = catalog.folder_bytes(spark, path)
+    catalog.record_stats(spark, table, path, 2)
+    assert tuples(catalog.table_stats(spark, table)) == [("reviews", size, 2)]
+    assert "Statistics" not in keyed_tables.described(spark, table)
+    # Files that came later are not in the record.
+    write_reviews(spark, path, '{"star_rating": 1}')
+    catalog.read_external_table(spark, table)
+    ((_, larger, count),) = tuples(catalog.table_stats(spark, table))
+    assert count == 3 and larger > size
+
+
 def test_sql_file_over_views(spark, tmp_path):
     spark.range(4).createOrReplaceTempView("numbers")
     (tmp_path / "sum.sql").write_text("SELECT sum(id) AS total\nFROM numbers")

@@ -4,7 +4,6 @@ import pytest
 from helpers import final_plan, plan, tuples
 from pyspark.sql import functions as F
 
-from reviewflow import catalog
 from reviewflow.operators import customers as people
 from reviewflow.session import session_settings
 
@@ -122,88 +121,3 @@ def test_first_rows(customers):
         "1",
         "2",
     ]
-
-
-@pytest.fixture
-def database(spark, tmp_path):
-    catalog.create_database(spark, "shop", str(tmp_path / "shop"))
-    yield "shop"
-    spark.sql("DROP DATABASE shop CASCADE")
-
-
-def put(spark, table, rows, location):
-    df = spark.createDataFrame(rows, "customer_id STRING, username STRING, line INT")
-    columns = ["customer_id", "username"]
-    return catalog.put_rows(table, df, "customer_id", ["line"], str(location), columns)
-
-
-def test_put_rows_replaces_by_key(spark, database, tmp_path):
-    table = f"{database}.customers"
-    put(spark, table, [("1", "old", 1), ("1", "new", 2), ("2", "bob", 3)], tmp_path / "c")
-    assert sorted(tuples(spark.table(table))) == [("1", "new"), ("2", "bob")]
-    put(spark, table, [("2", "rob", 1), ("3", "cy", 2)], tmp_path / "c")
-    assert sorted(tuples(spark.table(table))) == [("1", "new"), ("2", "rob"), ("3", "cy")]
-
-
-def copies_on_disk(folder):
-    return sorted(path.name for path in folder.iterdir() if path.is_dir())
-
-
-def test_buckets_stay_and_old_copies_go(spark, database, tmp_path):
-    table, folder = f"{database}.customers", tmp_path / "c"
-    rows = spark.createDataFrame([(str(i), f"u{i}") for i in range(500)], "customer_id STRING, username STRING")
-    catalog.put_rows(table, rows, "customer_id", [], str(folder), buckets=64)
-    with session_settings(spark, {"spark.sql.shuffle.partitions": "4"}):
-        for turn in range(4):
-            one = spark.createDataFrame([("7", f"turn {turn}")], rows.schema)
-            catalog.put_rows(table, one, "customer_id", [], str(folder))
-            assert catalog.described(spark, table)["Num Buckets"] == "64"
-            assert len(copies_on_disk(folder)) == 2
-            current = catalog.described(spark, table)["Location"].rpartition("/")[2]
-            assert len(list((folder / current).glob("part-*"))) <= 64
-    assert spark.table(table).count() == 500
-    assert [row.username for row in spark.table(table).where("customer_id = '7'").collect()] == ["turn 3"]
-    assert [t.name for t in spark.catalog.listTables(database) if not t.isTemporary] == ["customers"]
-
-
-def test_a_null_key_is_refused(spark, database, tmp_path):
-    table = f"{database}.customers"
-    put(spark, table, [("1", "ann", 1)], tmp_path / "c")
-    with pytest.raises(Exception, match="null customer_id"):
-        put(spark, table, [("2", "bob", 1), (None, "x", 2)], tmp_path / "c")
-    assert tuples(spark.table(table)) == [("1", "ann")]
-
-
-def test_a_put_shuffles_its_rows_only(spark, database, tmp_path):
-    table = f"{database}.customers"
-    rows = spark.createDataFrame([(str(i), f"u{i}") for i in range(500)], "customer_id STRING, username STRING")
-    kept = catalog.put_rows(table, rows, "customer_id", [], str(tmp_path / "c"), buckets=8)
-    with session_settings(spark, {"spark.sql.shuffle.partitions": "8"}):
-        latest = people.latest_per_key(catalog.with_keys(rows, "customer_id"), "customer_id", [])
-        shape = plan(catalog.merged(kept, latest, "customer_id"))
-        assert "FullOuter" in shape
-        assert shape.count("Exchange") == 1
-        assert "Bucketed: true" in shape
-
-
-def test_keyed_table_is_read_by_bucket(spark, database, tmp_path, monkeypatch):
-    table = f"{database}.customers"
-    rows = [(str(i), f"u{i}", 1) for i in range(1000)]
-    monkeypatch.setattr(catalog, "bucket_count", lambda rows: 4)
-    put(spark, table, rows, tmp_path / "c")
-    # The scan skips buckets either way, but names them only if it is not planned as a plain scan.
-    with session_settings(spark, {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}):
-        found = people.point_lookup(spark.table(table), "customer_id", "77")
-        assert "SelectedBucketsCount: 1 out of 4" in plan(found)
-    assert tuples(found) == [("77", "u77")]
-
-    lookup = spark.table(table).withColumn("name", F.lit("n"))
-    wanted = spark.range(500).select(
-        F.col("id").cast("string").alias("customer_id"),
-        F.lit("R").alias("review_id"),
-        F.lit("t").alias("product_title"),
-    )
-    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        enriched = people.enrich(wanted, lookup)
-        assert plan(enriched).count("Exchange hashpartitioning") == 1
-        assert enriched.count() == 500

@@ -84,7 +84,7 @@ def test_customers_and_enrichment(spark, run, customers, tmp_path, capsys):
     try:
         table = ["--table", "job_shop.customers"]
         run("load-customers", "--input", customers, *table, "--location", tmp_path / "loaded")
-        assert spark.table("job_shop.customers").columns == CUSTOMERS[0].split("\t")
+        assert spark.table("job_shop.customers").columns == [*CUSTOMERS[0].split("\t"), "bucket"]
         capsys.readouterr()
         run("lookup-customer", *table, "--key", "01")
         printed = capsys.readouterr().out
@@ -99,9 +99,11 @@ def test_customers_and_enrichment(spark, run, customers, tmp_path, capsys):
         run("publish-lines", *source, *on_topic("reviews", tmp_path))
         expected = [("01", "x", "x", "ann", "Ann A")]
         enrich = ["enrich-reviews", *as_stream("reviews", tmp_path)]
-        run(*enrich, "--customer-table", "job_shop.customers", "--output", tmp_path / "enriched")
+        named = ["--output", tmp_path / "enriched", "--table", "job_shop.enriched"]
+        run(*enrich, "--customer-table", "job_shop.customers", *named)
         enriched = spark.read.parquet(str(tmp_path / "enriched")).drop("batch_id")
         assert tuples(enriched) == expected
+        assert tuples(spark.table("job_shop.enriched").drop("batch_id")) == expected
         again = ["enrich-reviews", *on_topic("reviews", tmp_path), "--until-done"]
         run(
             *again,

@@ -1,0 +1,210 @@
+"""Keyed tables: puts, what they rewrite and remove, puts at one time, and lookups by bucket."""
+
+from __future__ import annotations
+
+from concurrent.futures import ThreadPoolExecutor
+from threading import Barrier
+
+import pytest
+from helpers import plan, tuples
+from pyspark.sql import functions as F
+
+from reviewflow import catalog, keyed_tables
+from reviewflow.operators import customers as people
+from reviewflow.session import session_settings
+
+DDL = "customer_id STRING, username STRING"
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    catalog.create_database(spark, "shop", str(tmp_path / "shop"))
+    yield "shop"
+    spark.sql("DROP DATABASE shop CASCADE")
+
+
+def put(spark, table, rows, location, **options):
+    df = spark.createDataFrame(rows, DDL + ", line INT")
+    columns = ["customer_id", "username"]
+    return keyed_tables.put_rows(table, df, "customer_id", ["line"], str(location), columns, **options)
+
+
+def held(spark, table):
+    return sorted(tuples(keyed_tables.keyed_rows(spark, table)))
+
+
+def many(count=500):
+    return [(str(i), f"u{i}", 1) for i in range(count)]
+
+
+def bucket_files(spark, table):
+    """The files of each bucket that the table's names point to."""
+    rows = spark.table(table).select(keyed_tables.BUCKET, F.input_file_name().alias("file")).distinct()
+    found = {}
+    for bucket, file in tuples(rows):
+        found.setdefault(bucket, set()).add(file)
+    return found
+
+
+def test_a_put_replaces_by_key(spark, database, tmp_path):
+    table = f"{database}.customers"
+    put(spark, table, [("1", "old", 1), ("1", "new", 2), ("2", "bob", 3)], tmp_path / "c")
+    assert held(spark, table) == [("1", "new"), ("2", "bob")]
+    after = put(spark, table, [("2", "rob", 1), ("3", "cy", 2)], tmp_path / "c")
+    assert held(spark, table) == sorted(tuples(after)) == [("1", "new"), ("2", "rob"), ("3", "cy")]
+
+
+def test_a_put_of_one_key_rewrites_one_bucket(spark, database, tmp_path):
+    table = f"{database}.customers"
+    put(spark, table, many(), tmp_path / "c", buckets=16)
+    before = bucket_files(spark, table)
+    assert len(before) == 16 and all(len(files) == 1 for files in before.values())
+    put(spark, table, [("7", "seven", 1)], tmp_path / "c")
+    after = bucket_files(spark, table)
+    assert [bucket for bucket in before if before[bucket] != after[bucket]] == [
+        spark.range(1).select(keyed_tables.bucket_of(F.lit("7"), 16)).first()[0]
+    ]
+    assert held(spark, table) == sorted((key, "seven" if key == "7" else name) for key, name, _ in many())
+
+
+def test_a_bucket_that_had_no_rows(spark, database, tmp_path):
+    table = f"{database}.customers"
+    put(spark, table, [("1", "ann", 1)], tmp_path / "c", buckets=64)
+    put(spark, table, many(200), tmp_path / "c")
+    assert len(held(spark, table)) == 200
+    put(spark, table, [], tmp_path / "c")
+    assert len(held(spark, table)) == 200
+
+
+def test_files_stay_until_the_next_put_but_one(spark, database, tmp_path):
+    table, folder = f"{database}.customers", tmp_path / "c"
+    put(spark, table, many(100), folder, buckets=1)
+    reader = spark.table(table)
+    first = reader.inputFiles()
+    put(spark, table, [("7", "turn 1", 1)], folder)
+    assert spark.read.parquet(*first).count() == 100
+    for turn in range(2, 6):
+        put(spark, table, [("7", f"turn {turn}", 1)], folder)
+        assert len([path for path in folder.iterdir() if path.name.startswith("put-")]) == 2
+    assert ("7", "turn 5") in held(spark, table)
+    # Staged tables are gone.
+    assert [t.name for t in spark.catalog.listTables(database) if not t.isTemporary] == ["customers"]
+
+
+@pytest.mark.parametrize("name", ["a,b", "a b", "a=b, c"])
+def test_nothing_else_is_removed(spark, database, tmp_path, name):
+    """Folders whose names begin like the table's, and foreign files in the table's own folder."""
+    folder, table = tmp_path / "lake" / name, f"{database}.customers"
+    foreign = [tmp_path / "lake" / "a" / "keep.txt", folder / "notes" / "keep.txt", folder / "put-1" / "bucket=0" / "keep.txt"]
+    for file in foreign:
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text("keep")
+    for turn in range(4):
+        put(spark, table, [("1", f"turn {turn}", 1)], folder, buckets=1)
+    assert held(spark, table) == [("1", "turn 3")]
+    assert all(file.read_text() == "keep" for file in foreign)
+
+
+def test_only_put_folders_are_removed(spark, tmp_path):
+    home = str(tmp_path)
+    (tmp_path / "other" / "bucket=3").mkdir(parents=True)
+    for name in ("other", "../" + tmp_path.name + "/other", None):
+        keyed_tables.remove_superseded(spark, home, name, 3)
+    assert (tmp_path / "other" / "bucket=3").exists()
+
+
+def test_a_table_elsewhere_is_refused(spark, database, tmp_path):
+    table = f"{database}.customers"
+    put(spark, table, [("1", "ann", 1)], tmp_path / "c")
+    with pytest.raises(ValueError, match="does not lie at"):
+        put(spark, table, [("1", "bob", 1)], tmp_path / "d")
+    with pytest.raises(ValueError, match="partition column"):
+        keyed_tables.put_rows("x", spark.createDataFrame([(1, 2)], "k INT, bucket INT"), "k", [], str(tmp_path))
+
+
+def test_a_null_key_is_refused(spark, database, tmp_path):
+    table = f"{database}.customers"
+    put(spark, table, [("1", "ann", 1)], tmp_path / "c")
+    with pytest.raises(Exception, match="null customer_id"):
+        put(spark, table, [("2", "bob", 1), (None, "x", 2)], tmp_path / "c")
+    assert held(spark, table) == [("1", "ann")]
+    put(spark, table, [("2", "bob", 1)], tmp_path / "c")
+    assert held(spark, table) == [("1", "ann"), ("2", "bob")]
+
+
+def test_two_puts_at_one_time(spark, database, tmp_path, monkeypatch):
+    """Both have merged with the same state when the first moves its names; the other merges again."""
+    table, folder = f"{database}.customers", tmp_path / "c"
+    put(spark, table, many(40), folder, buckets=2)
+    both, merges, write = Barrier(2, timeout=120), [], keyed_tables.write_buckets
+
+    def meeting(rows, buckets, key, name, path):
+        write(rows, buckets, key, name, path)
+        merges.append(path)
+        if len(merges) in (3, 4):  # after the two puts of their own rows, the two first merges
+            both.wait()
+
+    monkeypatch.setattr(keyed_tables, "write_buckets", meeting)
+    with ThreadPoolExecutor(2) as threads:
+        puts = [threads.submit(put, spark, table, [(str(100 + n), f"put {n}", 1), ("1", f"put {n}", 1)], folder) for n in (0, 1)]
+        for one in puts:
+            one.result()
+    rows = dict(held(spark, table))
+    assert {rows["100"], rows["101"]} == {"put 0", "put 1"} and rows["1"] in ("put 0", "put 1")
+    assert len(rows) == 42
+    assert len(merges) == 5
+
+
+def test_a_put_gives_up(spark, database, tmp_path, monkeypatch):
+    table, folder = f"{database}.customers", tmp_path / "c"
+    put(spark, table, [("1", "ann", 1)], folder, buckets=1)
+    monkeypatch.setattr(keyed_tables, "WAIT_SECONDS", 0.2)
+    (folder / keyed_tables.SWITCHING).write_text("")
+    with pytest.raises(keyed_tables.Conflict, match="stays"):
+        put(spark, table, [("1", "bob", 1)], folder)
+    (folder / keyed_tables.SWITCHING).unlink()
+    monkeypatch.setattr(keyed_tables, "locations", lambda *a, count=iter(range(99)): {0: f"put {next(count)}"})
+    with pytest.raises(keyed_tables.Conflict, match="5 times"):
+        put(spark, table, [("1", "bob", 1)], folder)
+    assert held(spark, table) == [("1", "ann")]
+
+
+def test_a_put_shuffles_its_rows_once(spark, database, tmp_path):
+    table = f"{database}.customers"
+    rows = spark.createDataFrame([(str(i), f"u{i}") for i in range(500)], DDL)
+    keyed_tables.put_rows(table, rows, "customer_id", [], str(tmp_path / "c"), buckets=8)
+    keyed_tables.write_buckets(rows.repartition(8, "customer_id"), 8, "customer_id", f"{database}.more", str(tmp_path / "m"))
+    kept, latest = (keyed_tables.keyed_rows(spark, f"{database}.{name}") for name in ("customers", "more"))
+    with session_settings(spark, {"spark.sql.shuffle.partitions": "8"}):
+        shape = plan(keyed_tables.merged(kept, latest, "customer_id"))
+    assert "FullOuter" in shape and "Exchange" not in shape
+    assert shape.count("Bucketed: true") == 2
+
+
+def test_lookups_read_the_buckets_they_hit(spark, database, tmp_path):
+    table = f"{database}.customers"
+    put(spark, table, many(1000), tmp_path / "c", buckets=16)
+    found = keyed_tables.rows_of_key(spark, table, 77)
+    assert tuples(found) == [("77", "u77")]
+    assert len(found.inputFiles()) == 1 and "PartitionFilters: [isnotnull(bucket" in plan(found)
+    # Keys of another type, repeated, unknown and null.
+    keys = spark.createDataFrame([(5,), (5,), (123456,), (None,)], "customer_id BIGINT")
+    near = keyed_tables.rows_near(spark, table, keys)
+    assert len(near.inputFiles()) <= 3
+    assert tuples(people.batch_lookup(near, keys.withColumn("customer_id", F.col("customer_id").cast("string")))) == [("5", "u5")]
+    assert keyed_tables.rows_near(spark, table, keys.limit(0)).count() == 0
+
+
+def test_a_join_on_the_key_does_not_shuffle_the_table(spark, database, tmp_path):
+    table = f"{database}.customers"
+    put(spark, table, many(1000), tmp_path / "c", buckets=4)
+    lookup = keyed_tables.keyed_rows(spark, table).withColumn("name", F.lit("n"))
+    wanted = spark.range(500).select(
+        F.col("id").cast("string").alias("customer_id"),
+        F.lit("R").alias("review_id"),
+        F.lit("t").alias("product_title"),
+    )
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        enriched = people.enrich(wanted, lookup)
+        assert plan(enriched).count("Exchange hashpartitioning") == 1
+        assert enriched.count() == 500

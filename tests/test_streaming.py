@@ -1,18 +1,19 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from helpers import final_plan, tuples, values
 from pyspark.sql import functions as F
 
-from reviewflow import catalog
+from reviewflow import catalog, keyed_tables
 from reviewflow.operators import customers as people
 from reviewflow.operators import reviews, words
-from reviewflow.schemas import REVIEW, REVIEW_FIELDS, STORED_REVIEW
+from reviewflow.schemas import ENRICHED, REVIEW, REVIEW_FIELDS, STORED_REVIEW
 from reviewflow.session import session_settings
-from reviewflow.sources import topics
-from reviewflow.streaming import sinks
+from reviewflow.sources import files, topics
+from reviewflow.streaming import batches, progress, sinks
 
 
 def json_review(number):
@@ -226,7 +227,7 @@ def test_keyed_customers_are_not_shuffled_within_a_batch(spark, topic, tmp_path)
     topic.publish(values(spark, *(tsv_review(i, i % 60) for i in range(300))))
     spark.sql("DROP TABLE IF EXISTS batch_customers")
     rows = spark.range(50).selectExpr("string(id) AS customer_id", "'u' AS username", "'n' AS name")
-    lookup = catalog.put_rows("batch_customers", rows, "customer_id", [], str(tmp_path / "c"), buckets=4)
+    lookup = keyed_tables.put_rows("batch_customers", rows, "customer_id", [], str(tmp_path / "c"), buckets=4)
     plans = []
 
     def work(batch, batch_id):
@@ -247,3 +248,93 @@ def test_keyed_customers_are_not_shuffled_within_a_batch(spark, topic, tmp_path)
 
 def test_stored_schema_is_the_review_and_a_time():
     assert STORED_REVIEW.names == [*REVIEW.names, "current_tsp"]
+
+
+def words_stream(spark, folder, *batches):
+    """One file of lines a batch."""
+    folder.mkdir()
+    for number, lines in enumerate(batches):
+        (folder / f"{number}.txt").write_text("\n".join(lines) + "\n")
+        os.utime(folder / f"{number}.txt", (1_700_000_000 + number,) * 2)
+    return files.stream_text(spark, str(folder), 1)
+
+
+def test_a_running_count_puts_only_the_words_it_changed(spark, tmp_path):
+    table, location = "running_words", str(tmp_path / "counts")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    lines = words_stream(spark, tmp_path / "lines", ["a b c d e f g h", "a"], ["a"], ["b b z"])
+    put, seen = batches.put_batches(table, "word", location, 8), []
+
+    def work(batch, batch_id):
+        put(batch, batch_id)
+        put(batch, batch_id)  # a batch may come again
+        rows = spark.table(table).select("bucket", F.input_file_name().alias("file")).distinct()
+        seen.append(dict(tuples(rows)))
+
+    query = sinks.each_batch(words.count_words(lines), work, str(tmp_path / "checkpoint"), "update")
+    try:
+        sinks.wait(query)
+        assert len(seen) == 3
+        changed = [bucket for bucket in seen[0] if seen[0][bucket] != seen[1][bucket]]
+        assert changed == [spark.range(1).select(keyed_tables.bucket_of(F.lit("a"), 8)).first()[0]]
+        counts = dict(tuples(keyed_tables.keyed_rows(spark, table)))
+        assert counts == {"a": 3, "b": 3, **dict.fromkeys("cdefghz", 1)}
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_malformed_records_are_kept_beside_the_good_ones(spark, tmp_path):
+    records = ['{"review_id": "R1", "star_rating": 5}', '{"review_id": "R2"', "", None, "[1]", '{"star_rating": "x"}', "7"]
+    parsed = reviews.checked_json(values(spark, *records).repartition(2), REVIEW)
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    work = batches.split_batches(good, bad)
+    for _ in range(2):
+        work(parsed, 4)
+    assert [row.review_id for row in spark.read.parquet(good).collect()] == ["R1"]
+    kept = sorted(row.value for row in spark.read.parquet(bad).collect())
+    assert kept == sorted(["", "", "[1]", "7", '{"review_id": "R2"', '{"star_rating": "x"}'])
+
+
+def test_a_batch_with_malformed_records_is_read_once(spark, topic, tmp_path):
+    topic.publish(values(spark, *(json_review(i) for i in range(40)), "broken"))
+    parsed = reviews.checked_json(topics.values(topic.stream(spark)), REVIEW)
+    work = batches.split_batches(str(tmp_path / "good"), str(tmp_path / "bad"))
+    with progress.watched(spark) as told:
+        query = sinks.wait(sinks.each_batch(parsed, work, str(tmp_path / "checkpoint")))
+        assert tuples(told.table(spark, query)) == [(0, 41)]
+
+
+def test_progress_of_several_batches(spark, topic, tmp_path):
+    for size in (3, 5, 2):
+        topic.publish(values(spark, *(json_review(i) for i in range(size))).coalesce(1))
+    rows = topics.values(topic.stream(spark, 2)).observe("seen", F.count(F.lit(1)).alias("rows"))
+    with progress.watched(spark) as told:
+        query = sinks.wait(sinks.append_parquet(rows, str(tmp_path / "out"), str(tmp_path / "checkpoint")))
+        assert tuples(told.table(spark, query)) == [(0, 8), (1, 2)]
+        assert told.observed(query, "seen", "rows") == 10
+
+
+def test_each_batch_becomes_a_partition(spark, topic, tmp_path):
+    table, customers = "enriched_by_batch", "batch_people"
+    rows = spark.range(50).selectExpr("string(id) AS customer_id", "'u' AS username", "'n' AS name")
+    for name in (table, customers):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    try:
+        keyed_tables.put_rows(customers, rows, "customer_id", [], str(tmp_path / "c"), buckets=8)
+        path = str(tmp_path / "enriched")
+        catalog.create_batch_table(spark, table, path, ENRICHED)
+        for customer in (3, 4, 77):
+            topic.publish(values(spark, *(tsv_review(i, customer) for i in range(5))).coalesce(1))
+        parsed = reviews.parse_review_tsv(topics.values(topic.stream(spark, 1)))
+        work = batches.enrich_batches(customers, path, table)
+        sinks.wait(sinks.each_batch(parsed.select(*people.ENRICH_INPUT_FIELDS), work, str(tmp_path / "checkpoint")))
+        by_batch = spark.sql(f"SELECT batch_id, customer_id, count(*) FROM {table} GROUP BY ALL ORDER BY ALL")
+        assert tuples(by_batch) == [(0, "3", 5), (1, "4", 5)]
+        one = spark.table(table).where("batch_id = 1")
+        assert len({file.rsplit("/", 2)[1] for file in one.inputFiles()}) == 1
+        # The folders alone make the same table.
+        again = catalog.create_batch_table(spark, table, path, ENRICHED)
+        assert again.count() == 10
+    finally:
+        for name in (table, customers):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
