@@ -9,7 +9,8 @@ together: only those that can be equal meet.
    of the anchor and of the segment's whole text, with its place, and one row for all segments of the
    task that are alike, so a passage in a third of all documents is sent once a task.
 2. Per anchor: of segments with equal text all but the earliest repeat earlier strings as a whole. If an
-   anchor has segments of different texts, the earliest of each text is asked for its text.
+   anchor has segments of different texts, the earliest of each text is asked for its text. What tasks send is dealt
+   by ranges of the key; a task receives its share slot by slot and holds one slot.
 3. Deep-shallow sorting. The windows of the segments of an anchor are suffixes to sort. Multikey
    sorting, eight bytes a step and only among ties, goes to a shallow depth. Groups that are still tied
    have long common prefixes; pairs are compared to the end, larger groups are ordered by a blind trie,
@@ -31,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewflow.llm.common import documents, slices, stored, utf8
+from reviewflow.session import source_bytes
 
 # Fixed value of the query's contract.
 LENGTH = 100
@@ -47,6 +50,9 @@ LENGTH = 100
 GRAM = 32
 # Segments that a task sends at a time, texts and bytes whose anchors are found at a time.
 CHUNK_SEGMENTS = 200_000
+# Input whose keys are received together, and the most parts that a task's share is cut into for it.
+SLOT_BYTES = 1 << 20
+MOST_SLOTS = 4
 SLICE_TEXTS = 128
 SLICE_BYTES = 1 << 19
 # More different texts of one anchor than this are compared by hashes.
@@ -57,13 +63,13 @@ SORTED_WINDOWS = 400_000
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0x100000001B3 * 0x9E3779B1 | 1
-# An order key is a hash above the position.
-PLACE_BITS = 28
+# An order key is a hash above the position; a text of Spark's is shorter than 2 GiB.
+PLACE_BITS = 32
 NULL_ID = -(2**63)
 
 # A place: document id, hash of its text, start of the first window, number of windows.
 PLACE = "doc_id BIGINT, text_hash BIGINT, start INT, windows INT"
-SENT = "bucket INT, blob BINARY, doc_id BIGINT, text_hash BIGINT, start INT, windows INT"
+SENT = "slot INT, blob BINARY, doc_id BIGINT, text_hash BIGINT, start INT, windows INT"
 FOUND = PLACE + ", anchor BIGINT, texts INT"
 PLACE_KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
 
@@ -192,16 +198,34 @@ def joined_runs(rows: np.ndarray) -> np.ndarray:
     return runs
 
 
-def send(rows: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """The earliest row of each key by bucket; the other rows are known to repeat."""
+@dataclass(frozen=True)
+class Spread:
+    """Ranges of keys: a task receives the slots of a bucket one after another and holds one at a time."""
+
+    buckets: int
+    slots: int
+
+    def deal(self, rows: DataFrame) -> DataFrame:
+        return rows.repartitionById(self.buckets, F.floor(F.col("slot") / (self.slots // self.buckets)).cast("int")).sortWithinPartitions("slot")
+
+
+def spread(docs: DataFrame) -> Spread:
+    """Two buckets for each shuffle partition, with as many slots as bring a slot down to about `SLOT_BYTES` of input."""
+    buckets = max(8, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    per_bucket = source_bytes(docs) // (buckets * SLOT_BYTES)
+    return Spread(buckets, buckets * max(1, min(MOST_SLOTS, per_bucket)))
+
+
+def send(rows: np.ndarray, slots: int) -> Iterator[pa.RecordBatch]:
+    """The earliest row of each key by slot; the other rows are known to repeat."""
     rows, new, later = sort_keyed(rows)
     names = [field.split()[0] for field in SENT.split(", ")]
     repeated = joined_runs(rows[later])
     if len(repeated):
-        bucket = pa.array(np.arange(len(repeated)) % buckets, pa.int32())
-        yield pa.RecordBatch.from_arrays([bucket, pa.nulls(len(repeated), pa.binary()), *place_columns(repeated)], names)
+        slot = pa.array(np.arange(len(repeated)) % slots, pa.int32())
+        yield pa.RecordBatch.from_arrays([slot, pa.nulls(len(repeated), pa.binary()), *place_columns(repeated)], names)
     rows = rows[~later]
-    edges = (np.arange(1, buckets) * (2**64 // buckets)).astype(np.uint64)
+    edges = (np.arange(1, slots) * (2**64 // slots)).astype(np.uint64)
     cuts = [0, *np.searchsorted(rows["a"], edges), len(rows)]
     blobs = [(i, packed(rows[a:b])) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
     for i, blob in blobs:
@@ -213,18 +237,10 @@ def receive(different: bool):
     """Places that repeat (anchor null); if asked, the first place of each text of anchors that have
     several, with the number of them."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [field.split()[0] for field in FOUND.split(", ")]
-        blobs = []
-        for batch in batches:
-            passed = batch.filter(batch.column("doc_id").is_valid())
-            if passed.num_rows:
-                nothing = [pa.nulls(passed.num_rows, pa.int64()), pa.nulls(passed.num_rows, pa.int32())]
-                yield pa.RecordBatch.from_arrays([*(passed.column(n) for n in names[:4]), *nothing], names)
-            blobs += [unpacked(blob) for blob in batch.column("blob").to_pylist() if blob is not None]
-        if not blobs:
-            return
-        rows = np.concatenate(blobs)
+    names = [field.split()[0] for field in FOUND.split(", ")]
+
+    def of_slot(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        rows = np.concatenate([unpacked(blob) for blob in blobs])
         blobs.clear()
         rows, new, later = sort_keyed(rows)
         repeated = joined_runs(rows[later])
@@ -232,17 +248,35 @@ def receive(different: bool):
             nothing = [pa.nulls(len(repeated), pa.int64()), pa.nulls(len(repeated), pa.int32())]
             yield pa.RecordBatch.from_arrays([*place_columns(repeated), *nothing], names)
         if different:
-            rows = rows[new]
             begins = np.ones(len(rows), bool)
             begins[1:] = rows["a"][1:] != rows["a"][:-1]
             of = np.cumsum(begins) - 1
-            texts = np.bincount(of)[of]
-            rows, texts = rows[texts > 1], texts[texts > 1]
+            texts = np.bincount(of[new], minlength=int(begins.sum()))[of]
+            # All rows at a text's first place: several if rows share a doc_id.
+            first = ~later & (texts > 1)
+            rows, texts = rows[first], texts[first]
             if len(rows):
                 yield pa.RecordBatch.from_arrays(
                     [*place_columns(rows), pa.array(rows["a"].view(np.int64)), pa.array(texts, pa.int32())], names
                 )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs: list[bytes] = []
+        of = None
+        for batch in batches:
+            passed = batch.filter(batch.column("doc_id").is_valid())
+            if passed.num_rows:
+                nothing = [pa.nulls(passed.num_rows, pa.int64()), pa.nulls(passed.num_rows, pa.int32())]
+                yield pa.RecordBatch.from_arrays([*(passed.column(n) for n in names[:4]), *nothing], names)
+            for part in slices(iter([batch.filter(batch.column("blob").is_valid())]), SLICE_TEXTS):
+                for slot, blob in zip(part.column("slot").to_pylist(), part.column("blob").to_pylist(), strict=True):
+                    if slot != of and blobs:
+                        yield from of_slot(blobs)
+                    of = slot
+                    blobs.append(blob)
+        if blobs:
+            yield from of_slot(blobs)
+
     return run
 
 
@@ -253,7 +287,7 @@ def keyed(ids: np.ndarray, hashes: np.ndarray, number, start, windows, a, b) ->
     return rows
 
 
-def send_segments(buckets: int):
+def send_segments(slots: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for ids, texts in batches_of(batches):
@@ -263,10 +297,10 @@ def send_segments(buckets: int):
             whole = np.fromiter((digest(texts[n][s:e]) for n, s, e in spans), np.uint64, len(number))
             held.append(keyed(ids, text_hashes(texts), number, start, windows, anchor, whole))
             if sum(map(len, held)) >= CHUNK_SEGMENTS:
-                yield from send(np.concatenate(held), buckets)
+                yield from send(np.concatenate(held), slots)
                 held.clear()
         if held:
-            yield from send(np.concatenate(held), buckets)
+            yield from send(np.concatenate(held), slots)
 
     return run
 
@@ -293,7 +327,7 @@ def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, names)
 
 
-def send_windows(buckets: int):
+def send_windows(slots: int):
     """The windows of segments, keyed by their 128-bit hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,10 +344,10 @@ def send_windows(buckets: int):
             ids, hashes = part.column("doc_id").to_numpy(), part.column("text_hash").to_numpy()
             held.append(keyed(ids, hashes, number, part.column("start").to_numpy()[number] + offset, 1, a, b))
             if sum(map(len, held)) >= CHUNK_SEGMENTS:
-                yield from send(np.concatenate(held), buckets)
+                yield from send(np.concatenate(held), slots)
                 held.clear()
         if held:
-            yield from send(np.concatenate(held), buckets)
+            yield from send(np.concatenate(held), slots)
 
     return run
 
@@ -466,15 +500,15 @@ def hash_of_text():
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, start, windows): runs of windows that also start earlier."""
     slim = documents(docs, "doc_id", "text")
-    buckets = max(8, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sent = slim.mapInArrow(send_segments(buckets), SENT).repartition(buckets, "bucket")
+    dealt = spread(slim)
+    sent = dealt.deal(slim.mapInArrow(send_segments(dealt.slots), SENT))
     found = stored(sent.mapInArrow(receive(True), FOUND), "segments")
     place = ["doc_id", "text_hash", "start", "windows"]
     whole = found.where("anchor IS NULL").select(*place)
 
     # A document's group holds its own segments only.
     asked = found.where("anchor IS NOT NULL").groupBy(F.col("doc_id").alias("of"), F.col("text_hash").alias("hash"))
-    asked = asked.agg(F.collect_list(F.struct("start", "windows", "anchor", "texts")).alias("asked"))
+    asked = asked.agg(F.collect_set(F.struct("start", "windows", "anchor", "texts")).alias("asked"))
     texts = slim.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), hash_of_text()(F.col("text")).alias("text_hash"), "text")
     same = (F.col("doc_id") == F.col("of")) & (F.col("text_hash") == F.col("hash"))
     both = texts.join(asked.hint("shuffle_hash"), same).select("doc_id", "text_hash", "text", "asked")
@@ -483,7 +517,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     few = asked_texts.where(F.col("texts") <= MOST_SEGMENTS).repartition("anchor").sortWithinPartitions("anchor")
     ordered = few.mapInArrow(sort_segments, PLACE)
     many = asked_texts.where(F.col("texts") > MOST_SEGMENTS)
-    many = many.mapInArrow(send_windows(buckets), SENT).repartition(buckets, "bucket")
+    many = dealt.deal(many.mapInArrow(send_windows(dealt.slots), SENT))
     by_hash = many.mapInArrow(receive(False), FOUND).select(*place)
     return whole.unionAll(ordered).unionAll(by_hash)
 

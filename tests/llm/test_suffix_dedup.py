@@ -69,6 +69,24 @@ def test_hashed_windows_equal_brute_force(spark, rows, monkeypatch, most):
     assert got(spark, rows) == brute_force(rows)
 
 
+@pytest.mark.parametrize("most", [0, 192])
+def test_rows_that_share_an_id(spark, monkeypatch, most):
+    """Two texts of one document begin alike, and a smaller document holds a part of that."""
+    monkeypatch.setattr(op, "MOST_SEGMENTS", most)
+    start = prose(21, 60)
+    cases = [(5, start + prose(22, 40)), (5, start + prose(23, 40)), (2, prose(24, 9) + start[35:]), (5, start), (5, start), (None, start[60:]), (None, start[60:])]
+    for rows in (cases[:3], cases):
+        assert got(spark, rows) == brute_force(rows)
+
+
+@pytest.mark.parametrize("slots", [1, 3])
+def test_slots_do_not_change_the_result(spark, rows, monkeypatch, slots):
+    monkeypatch.setattr(op, "SLOT_BYTES", 1)
+    monkeypatch.setattr(op, "MOST_SLOTS", slots)
+    monkeypatch.setattr(op, "CHUNK_SEGMENTS", 50)
+    assert got(spark, rows) == brute_force(rows)
+
+
 def test_documents_of_the_tables_equal_brute_force(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     rows = [(row.doc_id, row.text) for row in docs.collect()]
