@@ -1,8 +1,8 @@
 """Benchmark decontamination: BM25 with block-max pruning, then a check of question and answer.
 
 The benchmark is the index, the corpus the queries. Every text is cut into passages of two cells of
-words, each cell as long as the longest item of the whole benchmark, passages overlapping by one cell, so that any item lies
-whole in one passage. For each passage all items with a BM25 score of at least their threshold are
+words, each cell `CELL` times as long as the longest item of the whole benchmark, passages overlapping by one cell, so that
+any item lies whole in one passage, also with as many words inserted as it has. For each passage all items with a BM25 score of at least their threshold are
 retrieved:
 
 1. WAND bound: the sum of the passage's largest impacts, over all items, has to reach the threshold.
@@ -21,7 +21,8 @@ tasks in parts of bounded size (`PART_ITEMS` items, about `PART_BYTES` of text);
 over the documents. Cells and word statistics are those of the whole benchmark, so the parts change no result.
 
 Defined cases: null and empty texts have no passages and no leaks; items that are null or shorter than
-`LEAST_WORDS` words are left out, as they cannot be told from ordinary text; repeated rows are judged
+`LEAST_WORDS` words are left out, as they cannot be told from ordinary text; of items shorter than `LOOSE_WORDS` all
+words must stand one after another; repeated rows are judged
 one by one, repeated items are all reported; an empty benchmark finds nothing; only doc_id, item_id and text are read.
 """
 
@@ -42,7 +43,12 @@ from reviewflow.llm.common import documents, per_batch, stored, utf8
 
 SHINGLE = 5
 LEAST_OVERLAP = 0.8
-LEAST_WORDS = 8
+# Items with fewer words say nothing; those with fewer than `LOOSE_WORDS` must stand in a passage word for word.
+LEAST_WORDS = 5
+LOOSE_WORDS = 8
+# Words of a cell for each word of the longest item: a copy with so many words inserted that it is as long as
+# a cell still lies within two cells, wherever they begin.
+CELL = 2
 
 K1, B = 1.2, 0.75
 BLOCK_ITEMS = 8
@@ -99,10 +105,11 @@ class Index:
         self.questions = [shingles(q) for _, q, _ in kept]
         self.question_words = [q for _, q, _ in kept]
         self.answers = [Counter(a) for _, _, a in kept]
+        self.verbatim = [tuple(q + a) if len(q) + len(a) < LOOSE_WORDS else None for _, q, a in kept]
         bags = [Counter(q + a) for _, q, a in kept]
         lengths = [sum(bag.values()) for bag in bags]
         whole = whole or Statistics(len(bags), sum(lengths), max(lengths, default=1), Counter(term for bag in bags for term in bag))
-        self.cell, frequency = max(1, whole.longest), whole.frequency
+        self.cell, frequency = CELL * max(1, whole.longest), whole.frequency
         average = whole.words / max(1, whole.items)
         self.terms = {term: number for number, term in enumerate(sorted({term for bag in bags for term in bag}))}
         self.impacts: list[dict[int, float]] = []
@@ -114,7 +121,9 @@ class Index:
                 term: math.log(1 + (whole.items - frequency[term] + 0.5) / (frequency[term] + 0.5)) * tf * (K1 + 1) / (tf + norm)
                 for term, tf in bag.items()
             }
-            threshold = sum(weight.values()) - missing_weight(weight, question, answer)
+            threshold = sum(weight.values())
+            if self.verbatim[number] is None:
+                threshold -= missing_weight(weight, question, answer)
             scale = 1 / max(threshold, 1e-9)
             self.impacts.append({self.terms[term]: w * scale for term, w in weight.items()})
             for term, impact in self.impacts[-1].items():
@@ -185,7 +194,12 @@ class Index:
             yield (text, self.ids[item], *measures)
 
     def overlaps(self, passage: list[bytes], item: int) -> tuple[float, float]:
-        """Shares of the question's shingles and of the answer's words that the passage holds."""
+        """Shares of the question's shingles and of the answer's words that the passage holds; of a short item all
+        or nothing."""
+        whole = self.verbatim[item]
+        if whole is not None:
+            stands = whole in zip(*(passage[i:] for i in range(len(whole))), strict=False)
+            return float(stands), float(stands)
         question, answer = self.questions[item], self.answers[item]
         length = min(SHINGLE, len(self.question_words[item]))
         there = set(zip(*(passage[i:] for i in range(length)), strict=False))

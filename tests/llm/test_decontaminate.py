@@ -10,7 +10,7 @@ def brute_force(docs, items):
     """Every passage against every item, by verification alone."""
     kept = [(i, *op.question_and_answer((t or "").encode())) for i, t in items]
     kept = [k for k in kept if len(k[1]) + len(k[2]) >= op.LEAST_WORDS]
-    cell = max((len(q) + len(a) for _, q, a in kept), default=1)
+    cell = op.CELL * max((len(q) + len(a) for _, q, a in kept), default=1)
     found = set()
     for doc_id, text in docs:
         words = op.words_of((text or "").encode())
@@ -21,6 +21,10 @@ def brute_force(docs, items):
                 there = {tuple(passage[i : i + length]) for i in range(len(passage) - length + 1)}
                 wanted = op.shingles(question)
                 held = sum(min(answer.count(w), passage.count(w)) for w in set(answer))
+                if len(question) + len(answer) < op.LOOSE_WORDS:
+                    if f" {' '.join(w.decode() for w in question + answer)} " in f" {' '.join(w.decode() for w in passage)} ":
+                        found.add((doc_id, item))
+                    continue
                 if len(wanted & there) >= op.LEAST_OVERLAP * len(wanted) and held >= op.LEAST_OVERLAP * len(answer):
                     found.add((doc_id, item))
     return found
@@ -58,12 +62,8 @@ def test_equals_brute_force(spark, corpus, monkeypatch, part):
         spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), spark.createDataFrame(items, "item_id BIGINT, text STRING")
     ).collect()
     got = {(row.doc_id, row.item_id) for row in found}
-    if part == 1024:
-        wanted = brute_force(docs, items)
-        assert got == wanted and len(wanted) > 100
-    else:
-        # Parts have cells of their own, so passages differ; whole copies are found in any.
-        assert {(4, 0), (5, 1), (6, 7), (7, 60)} <= got
+    wanted = brute_force(docs, items)
+    assert got == wanted and len(wanted) > 100
     assert all(row.score >= 1 - op.SLACK for row in found)
 
 
@@ -86,6 +86,34 @@ def test_parts_change_no_result(spark, corpus, monkeypatch):
         assert {(row.doc_id, row.item_id) for row in found} == brute_force(docs, items)
 
 
+@pytest.mark.parametrize("inserted", [4, 12, 40])
+def test_inserted_words_at_all_offsets(spark, inserted):
+    """A copy with words inserted is found wherever the borders of the cells fall."""
+    source = random.Random(8)
+    words = [f"q{source.randrange(10_000)}" for _ in range(50)]
+    item = " ".join(words[:40]) + "? " + " ".join(words[40:])
+    copy = [*words[:20], *(f"more{i}" for i in range(inserted)), *words[20:]]
+    docs = [(at, " ".join([*(f"x{at}y{i}" for i in range(at)), *copy, *(f"z{i}" for i in range(60))])) for at in range(220)]
+    found = op.find_leaks(
+        spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), spark.createDataFrame([(1, item)], "item_id BIGINT, text STRING")
+    )
+    assert sorted(row.doc_id for row in found.collect()) == list(range(220))
+
+
+def test_short_items_must_stand_word_for_word(spark):
+    items = [(1, "Capital of Elbonia? Mudville city."), (2, "two words"), (3, "Who sang the blue song?")]
+    docs = [
+        (1, "It asked: capital of ELBONIA - mudville, city! And more."),
+        (2, "The city of Mudville, capital of Elbonia, is old."),
+        (3, "two words and who sang the red blue song"),
+        (4, "who sang the blue song " + "x " * 300 + "capital of elbonia mudville city"),
+    ]
+    found = op.find_leaks(
+        spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    )
+    assert sorted((row.doc_id, row.item_id) for row in found.collect()) == [(1, 1), (4, 1), (4, 3)] == sorted(brute_force(docs, items))
+
+
 def test_retrieval_scores_are_bm25(corpus):
     _, items = corpus
     index = op.Index(items)
