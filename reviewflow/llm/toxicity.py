@@ -28,7 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from reviewflow.llm.common import documents, held_out, per_batch, stored, utf8
@@ -46,7 +46,7 @@ ALIKE_BYTES = 16_384
 TOXIC_BYTES = 8192
 LARGE = 3
 # Windows whose difference a worker remembers; most windows of a text are words seen before.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 # Contexts are counted for words and for beginnings of this many bytes.
 STEM = 4
@@ -138,7 +138,8 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
         weight = F.when(F.col("toxic") == mark, RATE_STEPS / of_class).otherwise(weight)
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(RATE_STEPS))
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
-    chosen = marks.where(drawn < steps).withColumn("weight", weight).withColumn("fold", fold)
+    # Written first, so that Spark knows how few they are and need not move all texts to them.
+    chosen = stored(marks.where(drawn < steps).withColumn("weight", weight).withColumn("fold", fold), "toxic-labels")
     return documents(docs, "doc_id", "text").join(chosen, "doc_id").select("text", "toxic", "weight", "fold")
 
 
@@ -169,18 +170,19 @@ def dictionaries(sample: DataFrame) -> tuple[bytes, bytes] | None:
 
     The driver gets the most frequent words only, no more than fill a dictionary.
     """
-    seen = stored(contexts(sample), "toxic-contexts")
-    totals = {row.toxic: row.n for row in seen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if not totals.get(0) or not totals.get(1):
+    sums = F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0")
+    counted = stored(contexts(sample).groupBy("stem", "word").agg(*sums), "toxic-words")
+    totals = counted.agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).first()
+    if not totals.n0 or not totals.n1:
         return None
-    counted = seen.groupBy("toxic", "stem", "word").agg(F.count("*").alias("n"))
-    common = counted.where("toxic = 0").orderBy(F.desc("n"), "word").limit(BASE_BYTES // 3).select("word")
+    ordinary = counted.where("n0 > 0").select("word", F.col("n0").alias("n"))
+    common = ordinary.orderBy(F.desc("n"), "word").limit(BASE_BYTES // 3).select("word")
     base = spaced([bytes(row.word) for row in common.collect()][::-1])[-BASE_BYTES:]
-    marked = telling(seen, "word", totals).union(telling(seen, "stem", totals)).select("word", "n").distinct()
+    marked = telling(counted, "word", totals).union(telling(counted, "stem", totals)).distinct()
     marked = marked.orderBy(F.desc("n"), "word").limit(TOXIC_BYTES // 4)
     apart = spaced([bytes(row.word) for row in marked.select("word").collect()][::-1])[-TOXIC_BYTES:]
     filler = np.random.default_rng(0).integers(1, 32, len(apart), dtype=np.uint8).tobytes()
-    alike = spaced(look_alikes(counted.where("toxic = 0"), base + filler, base + apart)[::-1])[-ALIKE_BYTES:]
+    alike = spaced(look_alikes(ordinary, base + filler, base + apart)[::-1])[-ALIKE_BYTES:]
     return alike + base + filler, alike + base + apart
 
 
@@ -193,25 +195,24 @@ def look_alikes(ordinary: DataFrame, plain: bytes, other: bytes) -> list[bytes]:
         keep = [i for i, word in enumerate(words) if scale.difference(word) >= LARGE]
         return part.take(pa.array(keep, pa.int64()))
 
-    found = ordinary.select("word", "n").mapInArrow(per_batch(gained), "word BINARY, n BIGINT")
+    found = ordinary.mapInArrow(per_batch(gained), "word BINARY, n BIGINT")
     return [bytes(row.word) for row in found.orderBy(F.desc("n"), "word").limit(ALIKE_BYTES // 3).collect()]
 
 
-def telling(seen: DataFrame, by: str, totals: dict[int, int]) -> DataFrame:
+def telling(counted: DataFrame, by: str, totals: Row) -> DataFrame:
     """Words of toxic contexts, with the number of them, that are set apart by word or beginning.
 
     With a share p of all contexts toxic, E = p n of n are expected to be; the Poisson log-likelihood
     ratio of what is seen must exceed the logarithm of the number of words tried, and some. The rate of
     a word in toxic text must also be `LEAST_RATIO` times that in ordinary text.
     """
-    n1, n0 = F.sum("toxic"), F.sum(1 - F.col("toxic"))
-    groups = seen.groupBy(by).agg(n1.alias("n1"), n0.alias("n0")).where(F.length(by) >= 3)
+    groups = counted.groupBy(by).agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where(F.length(by) >= 3)
     tried = groups.count()
-    expected = (F.col("n1") + F.col("n0")) * (totals[1] / (totals[0] + totals[1]))
+    expected = (F.col("n1") + F.col("n0")) * (totals.n1 / (totals.n0 + totals.n1))
     likelihood = F.col("n1") * F.log(F.col("n1") / expected) - (F.col("n1") - expected)
-    often = F.col("n1") * totals[0] >= LEAST_RATIO * totals[1] * (F.col("n0") + 0.5)
+    often = F.col("n1") * totals.n0 >= LEAST_RATIO * totals.n1 * (F.col("n0") + 0.5)
     apart = groups.where(often & (F.col("n1") > expected) & (likelihood >= math.log(max(2, tried)) + MARGIN))
-    words = seen.where("toxic = 1").groupBy("stem", "word").agg(F.count("*").alias("n"))
+    words = counted.where("n1 > 0").select("stem", "word", F.col("n1").alias("n"))
     return words.join(apart.select(by), by).select("word", "n")
 
 
