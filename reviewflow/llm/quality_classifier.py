@@ -154,7 +154,7 @@ def labelled(measured: DataFrame, labels: DataFrame) -> DataFrame:
     marks = marks.where(~held_out()).where("doc_id IS NOT NULL")
     rate = min(1.0, SAMPLE_ROWS / max(1, marks.count()))
     unit = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 20)) / float(1 << 20)
-    chosen = marks.where(unit < rate).withColumn("fold", F.crc32(F.col("doc_id").cast("string")) % 5)
+    chosen = stored(marks.where(unit < rate).withColumn("fold", F.crc32(F.col("doc_id").cast("string")) % 5), "quality-labels")
     return measured.join(chosen, "doc_id").select("x", "y", "fold")
 
 
