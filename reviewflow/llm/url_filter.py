@@ -72,17 +72,19 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 
 @lru_cache(maxsize=8)
-def automaton(terms: frozenset[str]) -> ahocorasick.Automaton:
+def automaton(weights: frozenset[tuple[str, float]]) -> ahocorasick.Automaton:
+    """Of terms and their weights; asked for once a batch of URLs, and made once a worker."""
     machine = ahocorasick.Automaton()
-    for term in sorted(terms):
-        machine.add_word(term, term)
-    machine.make_automaton()
+    for term, weight in weights:
+        machine.add_word(term, (term, weight))
+    if weights:
+        machine.make_automaton()
     return machine
 
 
-def term_weight(url: str | None, vocabulary: dict[str, float]) -> float:
+def term_weight(url: str | None, machine: ahocorasick.Automaton) -> float:
     """Sum of the weights of the distinct terms that stand in a URL on their own."""
-    if not url or not vocabulary:
+    if not url or not len(machine):
         return 0.0
     text = url.encode().lower().decode()
 
@@ -90,11 +92,11 @@ def term_weight(url: str | None, vocabulary: dict[str, float]) -> float:
         return 0 <= at < len(text) and text[at].isascii() and text[at].isalnum()
 
     found = {
-        term
-        for end, term in automaton(frozenset(vocabulary)).iter(text)
+        (term, weight)
+        for end, (term, weight) in machine.iter(text)
         if not joins(end + 1) and not joins(end - len(term))
     }
-    return sum(vocabulary[term] for term in found)
+    return sum(weight for _, weight in found)
 
 
 def judge_urls(
@@ -109,9 +111,13 @@ def judge_urls(
     rule the vocabulary does. Rows stay in the tasks that read them; nothing is shuffled.
     """
 
+    # As large as the vocabulary the caller holds, and sent to each worker once.
+    shared = pages.sparkSession.sparkContext.broadcast(frozenset(vocabulary.items()))
+
     @F.pandas_udf("double")
     def weight(urls: pd.Series) -> pd.Series:
-        return pd.Series([term_weight(url, vocabulary) for url in urls], dtype="float64")
+        machine = automaton(shared.value)
+        return pd.Series([term_weight(url, machine) for url in urls], dtype="float64")
 
     host, path = url_parts(F.col("url"))
     parts = documents(pages, "page_id", "url").select(

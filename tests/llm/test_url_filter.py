@@ -46,7 +46,7 @@ def test_empty_and_repeated(spark):
     [("free-bets", 1.0), ("free", 0.5), ("freefree", 0.0), ("xxx.adult", 2.0), ("", 0.0), (None, 0.0), ("1xxx", 0.0), ("_xxx_", 1.0)],
 )
 def test_weights(url, weight):
-    assert op.term_weight(url, op.VOCABULARY) == weight
+    assert op.term_weight(url, op.automaton(frozenset(op.VOCABULARY.items()))) == weight
 
 
 def test_own_rules_and_words(spark):
@@ -55,3 +55,16 @@ def test_own_rules_and_words(spark):
     assert op.judge_urls(pages, rules).first().rule == "a.b/c"
     assert op.judge_urls(pages, (), {"c": 1.0}).first().verdict == "block"
     assert op.judge_urls(pages, (), {}).first().verdict == "allow"
+
+
+def test_a_large_vocabulary_is_read_once_a_batch(spark):
+    """As many terms as a real list has; the automaton is made once, whatever the number of URLs."""
+    vocabulary = {f"term{i}x": 0.5 for i in range(50_000)}
+    machine = op.automaton(frozenset(vocabulary.items()))
+    assert op.automaton(frozenset(vocabulary.items())) is machine
+    assert op.term_weight("http://a/term7x-term49999x/term7x", machine) == 1.0
+    assert op.term_weight("http://a/term7xx", machine) == 0.0
+    pages = spark.range(3000).selectExpr("id AS page_id", "concat('http://h.org/term', id, 'x/term', id + 1, 'x') AS url")
+    judged = op.judge_urls(pages, vocabulary=vocabulary).groupBy("verdict").count().collect()
+    assert [tuple(row) for row in judged] == [("block", 3000)]
+    assert op.judge_urls(pages, vocabulary={}).where("verdict = 'allow'").count() == 3000
