@@ -140,6 +140,7 @@ ORACLE = {
         GROUP BY product_id""",
     "key_lookup": f"SELECT {LOOKUP_FIELDS} FROM ({CUSTOMERS}) AS c WHERE c_custkey = 23",
     "word_count_updates": WORD_COUNTS,
+    "top_words_stream": f"{WORD_COUNTS} ORDER BY ct DESC, word LIMIT 20",
     "enriched_table": f"""
         SELECT customer_id, username, CAST(count(*) AS BIGINT) AS reviews, max(review_id) AS last_review
         FROM ({ENRICHED}) AS enriched

@@ -93,9 +93,9 @@ def top_words(spark: SparkSession, folder: str) -> DataFrame:
     return words.top_words(words.count_words(feeds.document_lines(spark, folder)))
 
 
-def streamed_lines(spark: SparkSession, folder: str) -> DataFrame:
+def streamed_lines(spark: SparkSession, folder: str, source: str | None = None) -> DataFrame:
     """The lines of all documents as a stream over text files, in several batches."""
-    source = shared_folder(spark, "lines")
+    source = source or shared_folder(spark, "lines")
     feeds.document_lines(spark, folder).write.text(source)
     return files.stream_text(spark, source, max(1, file_count(spark, source) // COUNT_BATCHES))
 
@@ -133,6 +133,15 @@ def word_count_updates(spark: SparkSession, folder: str) -> DataFrame:
     return keyed_tables.keyed_rows(spark, table)
 
 
+@query
+def top_words_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The top words of a stream that keeps a sketch a batch and no vocabulary."""
+    source, path = shared_folder(spark, "lines"), shared_folder(spark, "word-sketches")
+    lines = streamed_lines(spark, folder, source)
+    sinks.wait(sinks.each_batch(lines, batches.sketch_batches(path), checkpoint=shared_folder(spark, "checkpoint")))
+    return words.top_words_of_sketches(spark.read.parquet(path), files.read_text(spark, source))
+
+
 # Files
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from reviewflow import catalog, keyed_tables
 from reviewflow.operators import customers as people
-from reviewflow.operators import reviews
+from reviewflow.operators import reviews, words
 
 Work = Callable[[DataFrame, int], None]
 
@@ -37,6 +37,15 @@ def put_batches(table: str, key: str, location: str, buckets: int) -> Work:
     return work
 
 
+def sketch_batches(path: str, tracked: int = words.TRACKED) -> Work:
+    """Write the sketch of a batch of lines, one small row, to its own folder; a batch that runs again replaces it."""
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        words.sketch_words(batch, tracked).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return work
+
+
 def enrich_batches(customer_table: str, path: str, table: str | None = None) -> Work:
     """Enrich a batch of reviews from a customer table and write it to its own folder, replacing what a failed try
     left there. Of a keyed table only the buckets of the batch's customers are read. `table` gets the folder as a

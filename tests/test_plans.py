@@ -20,7 +20,7 @@ NOT_SCALABLE = re.compile(
 
 # Queries that do their work before they return what it left behind.
 STREAMING = {
-    "word_count_stream", "word_count_updates", "enrich_stream", "enriched_table", "batch_progress",
+    "word_count_stream", "word_count_updates", "enrich_stream", "enriched_table", "batch_progress", "top_words_stream",
     "good_records", "malformed_records", "publish_and_drain", "ingest_parquet_stream", "ingest_restart",
     "external_table", "query_to_location", "table_stats",
 }

@@ -138,3 +138,22 @@ def test_console_shows_the_top_of_each_batch(spark, split_documents, tmp_path, c
     )
     for word, count in tuples(words.top_words(batch, 3)):
         assert re.search(rf"\|{word} *\|{count} *\|", printed)
+
+
+@pytest.mark.parametrize("tracked", [2, 64, 10_000])
+def test_top_words_of_sketches_are_exact(spark, tracked):
+    """Also where the sketches are too small for the vocabulary and have to be made anew."""
+    rows = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + (i * j) % 26)}" for i in range(60)) for j in range(80)] + ["top top top"] * 50
+    lines = values(spark, *rows).repartition(4)
+    parts = [lines.where(F.pmod(F.xxhash64("value"), F.lit(3)) == i) for i in range(3)]
+    sketches = words.sketch_words(parts[0], tracked)
+    for part in parts[1:]:
+        sketches = sketches.unionAll(words.sketch_words(part, tracked))
+    for k in (1, 7, 2000):
+        found = words.top_words_of_sketches(sketches, lines, k, tracked)
+        assert tuples(found) == tuples(words.top_words(words.count_words(lines), k))
+
+
+def test_top_words_of_no_lines(spark):
+    lines = values(spark).limit(0)
+    assert tuples(words.top_words_of_sketches(words.sketch_words(lines), lines)) == []
