@@ -214,7 +214,7 @@ def hash_facts(docs: DataFrame) -> DataFrame:
     """One table of documents (class not null), shared hashes of classes (tail), frequent hashes."""
     buckets = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sent = documents(docs, "doc_id", "text").mapInArrow(send_hashes(buckets), SENT)
-    return stored(sent.repartition(buckets, "bucket").mapInArrow(receive_hashes, FACTS), "shingle-facts")
+    return stored(sent.repartitionById(buckets, F.col("bucket")).mapInArrow(receive_hashes, FACTS), "shingle-facts")
 
 
 def frequent_hashes(facts: DataFrame) -> np.ndarray:
