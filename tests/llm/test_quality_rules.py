@@ -57,6 +57,28 @@ def test_order_changes_no_verdict(spark):
     assert op.ordered(op.RULES, {}) == op.RULES
 
 
+def test_measured_on_documents_that_pass_the_base_test(spark):
+    """Rejections are shares of the documents that a rule is asked about, and those of the whole table are drawn from."""
+    long = " ".join(f"w{i}" for i in range(60))
+    numbers = " ".join(str(i) for i in range(60))
+    docs = spark.createDataFrame([(i, (long, numbers, "short", None)[i % 4]) for i in range(400)], "doc_id BIGINT, text STRING")
+    measured = op.measure(docs.orderBy("text"), op.RULES, 1000)
+    assert set(measured) == {rule.__name__ for rule in op.RULES}
+    assert all(seconds > 0 for seconds, _ in measured.values())
+    assert measured["few_letters"][1] == 0.5 and measured["bullet_list"][1] == 0
+    # A sample of a sorted table holds both kinds.
+    assert 0.2 < op.measure(docs.orderBy("text"), op.RULES, 200)["few_letters"][1] < 0.8
+
+
+def test_two_orders_give_the_same_verdicts(spark, tables, monkeypatch):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    verdicts = []
+    for rules in (op.RULES, op.RULES[::-1]):
+        monkeypatch.setattr(op, "ordered", lambda _, __, rules=rules: rules)
+        verdicts.append(sorted(map(tuple, op.judge_documents(docs).drop("rejected_by").collect())))
+    assert verdicts[0] == verdicts[1]
+
+
 def test_empty_table_and_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "a"), (1, "a"), (None, None)], "doc_id BIGINT, text STRING")
     assert op.judge_documents(docs.limit(0)).count() == 0
