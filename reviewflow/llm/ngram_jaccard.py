@@ -22,7 +22,8 @@ Hash order and hubs decide only what is compared when; every pair of classes tha
 compared or already connected, so components are exact (as far as 64-bit hashes are).
 
 Defined cases: a null or empty text, or one without words, has no shingles and is its own component;
-rows that share a doc_id are documents of one id, all in the result, each with its component; a null
+rows that share a doc_id are documents of one id, all in the result, each with its component (`keep_one` keeps one row
+of a component); a null
 doc_id counts for no minimum, and its component is null if it stands alone; an empty table gives an
 empty result; only doc_id and text are read. Texts are read whole.
 """
@@ -489,7 +490,7 @@ def per_batch_of(work, rows: int):
 
 
 def join_near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, class (a digest of its set)."""
+    """Per document: doc_id, n_shingles, component_id, class (a digest of its set), label (a class of its component)."""
     facts = hash_facts(docs)
     solved, open_links = links(ordered_sets(docs, facts))
     labels = solved.select(F.col("left").alias("of"), F.col("right").alias("label"))
@@ -505,13 +506,40 @@ def join_near_duplicates(docs: DataFrame) -> DataFrame:
     lowest = stored_narrow(lowest.select(F.col("label").alias("name"), "component"), "component-ids")
     rows = named.join(lowest, F.col("label") == F.col("name"), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"), "class")
+    return rows.select("doc_id", "n_shingles", component.alias("component_id"), "class", "label")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents, all columns, of which one of each component stays: that with the smallest id.
+    """The documents, all columns, of which one row of each component stays: that with the smallest id (a null one
+    last), of these the one whose set has the smallest digest, and of rows of one id and set any one.
 
-    A document without shingles is alone in its component. Rows that repeat the id that stays all stay."""
-    stay = join_near_duplicates(docs).where("component_id = doc_id OR doc_id IS NULL").select(F.col("doc_id").alias("of"))
-    stay = stored(stay.distinct(), "kept-ids")
-    return docs.join(stay.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(stay["of"]), "left_semi")
+    A document without shingles is alone in its component and stays.
+    """
+    rows = stored(join_near_duplicates(docs).select("doc_id", "n_shingles", "class", "label"), "near-duplicates")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "class")).alias("best")
+    best = rows.where("n_shingles > 0").groupBy("label").agg(best).select("best.doc_id", "best.class")
+    best = stored(best, "kept-classes")
+    # An id is clear if it has one row; which of several rows stays is told by their texts.
+    ids = rows.groupBy("doc_id").agg(((F.count("*") == 1) & F.col("doc_id").isNotNull()).alias("clear"), (F.max("n_shingles") == 0).alias("bare"))
+    stay = ids.join(best.select(F.col("doc_id").alias("of")).distinct(), F.col("doc_id").eqNullSafe(F.col("of")), "left")
+    stay = stay.where("of IS NOT NULL OR bare OR NOT clear").select(F.col("doc_id").alias("of"), F.col("clear").alias("is_clear"))
+    stay = stored(stay, "kept-ids")
+    # Whole rows in one column, so that no name of theirs clashes.
+    whole = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
+    kept = whole.join(stay.hint("shuffle_hash"), F.col("row.doc_id").eqNullSafe(F.col("of")))
+
+    def opened(rows: DataFrame) -> DataFrame:
+        return rows.select(*(F.col("row")[name].alias(name) for name in docs.columns))
+
+    if stay.where("NOT is_clear").isEmpty():
+        return opened(kept)
+
+    @F.arrow_udf("binary")
+    def class_of_text(texts: pa.Array) -> pa.Array:
+        sets = [shingle_set(text) for text in utf8(texts)]
+        return pa.array([class_of(hashes) if len(hashes) else None for hashes in sets], pa.binary())
+
+    told = kept.where("NOT is_clear").select("row", F.col("row.doc_id").alias("id"), class_of_text(F.col("row.text")).alias("set"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("set") == F.col("class"))
+    one = told.where("set IS NOT NULL").join(best, same, "left_semi").dropDuplicates(["id", "set"])
+    return opened(kept.where("is_clear")).unionAll(opened(one)).unionAll(opened(told.where("set IS NULL")))

@@ -91,8 +91,23 @@ def test_one_of_each_group_stays(spark, rows):
     odd = spark.createDataFrame([(d, t, "c", i) for i, (d, t) in enumerate(rows)], "doc_id BIGINT, text STRING, class STRING, of INT")
     stay = op.keep_one(odd)
     assert stay.columns == odd.columns
-    components_of = {r[2] for r in brute_force(rows) if r[2] is not None}
-    assert {row.doc_id for row in stay.collect()} == components_of | {None}
+    found = brute_force(rows)
+    bare = sorted(str(r[0]) for r in found if r[1] == 0)
+    kept = [row for row in stay.collect()]
+    assert sorted(str(row.doc_id) for row in kept if not op.shingle_set((row.text or "").encode()).size) == bare
+    ids = {r[2] for r in found if r[1] and r[2] is not None}
+    assert {row.doc_id for row in kept if op.shingle_set((row.text or "").encode()).size} - {None} == ids
+
+
+def test_one_row_of_copies_under_one_id_or_none(spark):
+    text, other = "one two three four five six seven eight", "nine ten eleven twelve thirteen fourteen fifteen"
+    rows = [(1, text), (1, text), (None, text), (None, text), (2, text)]
+    assert sorted(map(tuple, op.keep_one(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect())) == [(1, text)]
+    rows = [(None, other), (None, other), (3, text), (3, other + " more"), (4, None), (4, None), (None, "")]
+    kept = op.keep_one(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(
+        map(str, [(None, other), (3, text), (3, other + " more"), (4, None), (4, None), (None, "")])
+    )
 
 
 def test_empty_table(spark):
