@@ -1,13 +1,15 @@
 """License scans: a positional index of rare licence words, with DataFrame functions only.
 
 Templates are the telling sentences of well-known licences. Words that occur in few templates are
-rare; the index lists at which positions of which templates each rare word stands. Of a file, all
-rare words are found with their positions and looked up. Each occurrence votes for the places where a
-template would have to begin for the word to be in position; votes of one template for one place are
-summed by IDF. A place with enough of the template's weight is verified: the template's mandatory
-phrases must stand there, word by word. Postings, weights and phrases are literals of a few dozen
-entries. Everything happens within the row of a file, in time that grows with its rare words (times a
-logarithm, for the sort), and nothing is shuffled.
+rare; a word's weight is its IDF among the templates. A place of a file is a template's if the words that stand there as the
+template has them carry `LEAST_SHARE` of its weight, and its mandatory phrases stand there, word by word.
+
+Such a place misses less than the rest of the weight, so it has at least one of the template's
+highest-IDF words, as many as carry more than that rest, in its position. The index lists at which positions of which
+templates these words stand; a file's occurrences of them are looked up, and each tells places where a template would have
+to begin. Only these places are weighed and verified, and no place of a licence is lost. Postings, weights and phrases are
+literals, one for each word of a template. Everything happens within the row of a file, in time that grows with its words in
+the index, and nothing is shuffled.
 
 The base labels of the contract are phrases whose words follow one another.
 
@@ -19,8 +21,9 @@ only doc_id and text are read. Texts are scanned whole.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,27 +75,39 @@ COMMON = frozenset(
     "v version with without writing you 0 2 3 4".split()
 )
 
-# Of a file's rare words, how many are looked up: all, as the index has a few dozen words only.
-LOOKED_UP = None
 LEAST_SHARE = 0.6
 
 
-def rare_index() -> tuple[dict[str, float], dict[str, list[tuple[int, int]]], list[float]]:
-    """IDF of the rare words, their postings (template, position), and the weight of each template."""
+class Index(NamedTuple):
+    """Per template its rare words as (position, word, weight); postings (template, position) of the words looked up."""
+
+    rare: list[list[tuple[int, str, float]]]
+    postings: dict[str, list[tuple[int, int]]]
+
+    def weight(self, template: int) -> float:
+        return sum(weight for _, _, weight in self.rare[template])
+
+
+def rare_index(templates: tuple = TEMPLATES) -> Index:
+    sentences = [sentence.split() for _, sentence, _ in templates]
+    held = Counter(word for words in sentences for word in set(words) - COMMON)
+    idf = {word: math.log(1 + len(sentences) / n) for word, n in held.items()}
+    rare = [[(i, word, idf[word]) for i, word in enumerate(words) if word in idf] for words in sentences]
     postings: dict[str, list[tuple[int, int]]] = defaultdict(list)
-    for number, (_, sentence, _) in enumerate(TEMPLATES):
-        for position, word in enumerate(sentence.split()):
-            if word not in COMMON:
-                postings[word].append((number, position))
-    idf = {word: math.log(1 + len(TEMPLATES) / len({t for t, _ in places})) for word, places in postings.items()}
-    weights = [sum(idf[word] for word in sentence.split() if word in idf) for _, sentence, _ in TEMPLATES]
-    return idf, dict(postings), weights
+    for number, places in enumerate(rare):
+        rest = (1 - LEAST_SHARE) * sum(weight for _, _, weight in places) + 1e-9
+        for position, word, weight in sorted(places, key=lambda place: (-place[2], place[0])):
+            if rest < 0:
+                break
+            postings[word].append((number, position))
+            rest -= weight
+    return Index(rare, dict(postings))
 
 
-def mandatory() -> list[list[tuple[int, str]]]:
+def mandatory(templates: tuple = TEMPLATES) -> list[list[tuple[int, str]]]:
     """Per template the words that must be there, each with its position in the template."""
     found = []
-    for _, sentence, phrases in TEMPLATES:
+    for _, sentence, phrases in templates:
         words, places = sentence.split(), []
         for phrase in phrases:
             wanted = phrase.split()
@@ -129,11 +144,12 @@ def literal_array(values: list, make) -> Column:
     return F.array(*(make(value) for value in values))
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    idf, postings, weights = rare_index()
+def scan(docs: DataFrame, templates: tuple = TEMPLATES) -> DataFrame:
+    """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score (the largest share of a
+    template's weight that a place in question has)."""
+    index = rare_index(templates)
     first_words = {phrase.split()[0] for phrase in BASE_PHRASES}
-    interesting = sorted(set(idf) | first_words)
+    interesting = sorted(set(index.postings) | first_words)
 
     rows = documents(docs, "doc_id", "text").select("doc_id", words_of(F.col("text")).alias("words"))
     at = F.transform("words", lambda word, i: F.when(word.isin(*interesting), i))
@@ -156,32 +172,32 @@ def scan(docs: DataFrame) -> DataFrame:
         F.filter(base, lambda label: label.isNotNull()).alias("base_found"),
     )
 
-    weight_of = F.create_map(*(F.lit(x) for word, weight in idf.items() for x in (word, weight)))
     places_of = F.create_map(
         *(
             x
-            for word, found in postings.items()
+            for word, found in index.postings.items()
             for x in (F.lit(word), literal_array(found, lambda p: F.struct(F.lit(p[0]).alias("t"), F.lit(p[1]).alias("p"))))
         )
     )
 
-    def votes_at(i: Column) -> Column:
-        word = F.get(words, i)
+    def begins(i: Column) -> Column:
+        """Where templates would have to begin for the word at a position."""
         return F.transform(
-            F.element_at(places_of, word),
-            lambda place: F.struct(
-                place["t"].alias("t"), (i - place["p"]).alias("start"), F.element_at(weight_of, word).alias("weight")
-            ),
+            F.element_at(places_of, F.get(words, i)), lambda place: F.struct(place["t"].alias("t"), (i - place["p"]).alias("start"))
         )
 
-    looked_up = F.filter("at", lambda i: F.get(words, i).isin(*idf))
-    votes = F.flatten(F.transform(looked_up, votes_at))
-    end = F.array(F.struct(F.lit(-1).alias("t"), F.lit(0).alias("start"), F.lit(0.0).alias("weight")))
-    rows = rows.withColumn("votes", F.concat(F.array_sort(votes), end))
+    looked_up = F.filter("at", lambda i: F.get(words, i).isin(*index.postings))
+    rows = rows.withColumn("places", F.array_distinct(F.flatten(F.transform(looked_up, begins))))
 
-    total = literal_array(weights, F.lit)
+    rare = literal_array(
+        index.rare,
+        lambda places: literal_array(
+            places, lambda p: F.struct(F.lit(p[0]).alias("p"), F.lit(p[1]).alias("word"), F.lit(p[2]).alias("weight"))
+        ),
+    )
+    total = literal_array([index.weight(number) for number in range(len(templates))], F.lit)
     needed = literal_array(
-        mandatory(),
+        mandatory(templates),
         lambda places: literal_array(places, lambda p: F.struct(F.lit(p[0]).alias("p"), F.lit(p[1]).alias("word"))),
     )
 
@@ -192,28 +208,21 @@ def scan(docs: DataFrame) -> DataFrame:
         )
         return F.coalesce(there, F.lit(False))
 
-    def tally(state: Column, vote: Column) -> Column:
-        """Sum the votes of one place; when the next begins, keep the largest share and the labels."""
-        same = (state["t"] == vote["t"]) & (state["start"] == vote["start"])
-        share = F.when(state["t"] >= 0, state["sum"] / F.get(total, state["t"])).otherwise(0.0)
-        known = F.array_contains(state["found"], state["t"])
-        passes = ~same & (share >= LEAST_SHARE) & ~known
-        new = F.when(passes, verified(state["t"], state["start"])).otherwise(False)
-        return F.struct(
-            vote["t"].alias("t"),
-            vote["start"].alias("start"),
-            (F.when(same, state["sum"]).otherwise(0.0) + vote["weight"]).alias("sum"),
-            F.when(same, state["best"]).otherwise(F.greatest(state["best"], share)).alias("best"),
-            F.when(new, F.concat(state["found"], F.array(state["t"]))).otherwise(state["found"]).alias("found"),
+    def weighed(place: Column) -> Column:
+        """The share of its template's weight that stands at a place."""
+        there = F.aggregate(
+            F.get(rare, place["t"]),
+            F.lit(0.0),
+            lambda sum, n: sum + F.when(F.get(words, place["start"] + n["p"]) == n["word"], n["weight"]).otherwise(0.0),
         )
+        return there / F.get(total, place["t"])
 
-    nothing = F.struct(
-        F.lit(-1).alias("t"), F.lit(0).alias("start"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"),
-        F.array().cast("array<int>").alias("found"),
-    )
-    rows = rows.withColumn("tally", F.aggregate("votes", nothing, tally))
-    label_of = literal_array([label for label, _, _ in TEMPLATES], F.lit)
-    own = F.transform(F.col("tally.found"), lambda t: F.get(label_of, t))
+    shares = F.transform("places", lambda place: F.struct(place["t"].alias("t"), place["start"].alias("start"), weighed(place).alias("share")))
+    rows = rows.withColumn("shares", shares)
+    stands = F.filter("shares", lambda p: (p["share"] >= LEAST_SHARE - 1e-12) & verified(p["t"], p["start"]))
+    label_of = literal_array([label for label, _, _ in templates], F.lit)
+    own = F.transform(stands, lambda p: F.get(label_of, p["t"]))
+    best = F.coalesce(F.array_max(F.transform("shares", lambda p: p["share"])), F.lit(0.0))
 
     def joined(labels: Column) -> Column:
         return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
@@ -226,5 +235,5 @@ def scan(docs: DataFrame) -> DataFrame:
         "last_word",
         joined(F.col("base_found")).alias("base_labels"),
         joined(F.concat("base_found", own)).alias("labels"),
-        F.least(F.lit(1.0), F.col("tally.best")).alias("score"),
+        F.least(F.lit(1.0), best).alias("score"),
     )

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 from reviewflow.llm import license_scan as op
@@ -7,7 +8,7 @@ from reviewflow.llm import license_scan as op
 WORD = re.compile(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
 
-def brute_force(text):
+def brute_force(text, templates=op.TEMPLATES):
     """The contract and the method, position by position."""
     words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     starts, base = [], set()
@@ -17,17 +18,17 @@ def brute_force(text):
             if words[i : i + len(wanted)] == wanted:
                 starts.append(i)
                 base.add(label)
-    idf, _, weights = op.rare_index()
-    top = set(sorted(set(words) & set(idf), key=lambda w: (-idf[w], w))[: op.LOOKED_UP])
+    index = op.rare_index(templates)
     best, own = 0.0, set()
-    for (label, sentence, _), weight, needed in zip(op.TEMPLATES, weights, op.mandatory(), strict=True):
-        template = sentence.split()
-        for start in range(-len(template), len(words)):
-            share = sum(
-                idf[w] for p, w in enumerate(template) if w in top and 0 <= start + p < len(words) and words[start + p] == w
-            )
-            share = min(1.0, share / weight)
-            best = max(best, share)
+    for number, ((label, sentence, _), needed) in enumerate(zip(templates, op.mandatory(templates), strict=True)):
+        asked = {p for places in index.postings.values() for t, p in places if t == number}
+        for start in range(-len(sentence.split()), len(words)):
+            stands = {p: w for p, word, w in index.rare[number] if 0 <= start + p < len(words) and words[start + p] == word}
+            share = min(1.0, sum(stands.values()) / index.weight(number))
+            # A place with enough weight always has one of the words that are looked up.
+            assert share < op.LEAST_SHARE or asked & set(stands)
+            if asked & set(stands):
+                best = max(best, share)
             there = all(0 <= start + p < len(words) and words[start + p] == w for p, w in needed)
             if share >= op.LEAST_SHARE - 1e-12 and there:
                 own.add(label)
@@ -72,7 +73,7 @@ def test_several_licences_in_one_text(spark):
         op.TEMPLATES, op.TEMPLATES[::-1], [t for t in op.TEMPLATES if t[0] in ("mit-grant", "bsd", "apache-2.0", "gpl-grant")],
     ])}
     # The ordinary words of the index before a short licence of common words.
-    idf = op.rare_index()[0]
+    idf = {word: weight for places in op.rare_index().rare for _, word, weight in places}
     full[3] = " ".join(sorted(idf, key=lambda word: -idf[word])) + ". Licensed under the GNU General Public License, version 3."
     labels = {row.doc_id: (set(row.labels.split(",")), row.score) for row in op.scan(
         spark.createDataFrame(list(full.items()), "doc_id BIGINT, text STRING")
@@ -84,6 +85,20 @@ def test_several_licences_in_one_text(spark):
     assert all(round(score, 9) == 1 for _, score in labels.values())
 
 
+def test_templates_are_a_parameter(spark):
+    """Whole licence texts as templates, as many as a list of them has."""
+    source = random.Random(4)
+    vocabulary = [f"term{i}" for i in range(400)] + sorted(op.COMMON)
+    sentences = [" ".join(source.choices(vocabulary, k=source.randint(6, 60))) for _ in range(120)]
+    templates = tuple((f"own-{i}", s, (" ".join(s.split()[1:3]),)) for i, s in enumerate(sentences) if set(s.split()) - op.COMMON)
+    assert all(len(op.rare_index(templates).rare[t]) for t in range(len(templates)))
+    texts = [f"before {templates[i][1]} after {templates[i + 1][1]}" for i in range(0, 100, 9)]
+    texts += [" ".join(w if source.random() < 0.8 else "other" for w in templates[i][1].split()) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    for row in op.scan(docs, templates).collect():
+        assert (*tuple(row)[1:7], round(row.score, 9)) == brute_force(texts[row.doc_id], templates)
+
+
 def test_odd_tables(spark):
     schema = "doc_id BIGINT, text STRING, words STRING, labels INT"
     odd = spark.createDataFrame([(None, "mit license", "w", 1), (1, None, None, None), (1, "a", "b", 2), (1, "a", "b", 2)], schema)
