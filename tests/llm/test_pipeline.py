@@ -52,7 +52,7 @@ def test_stages_keep_the_columns(spark, tables):
 @pytest.mark.parametrize("rows", [[], [(None, None, None, None, None), (1, "", "en", "a", 0), (1, "", "en", "a", 0)]])
 def test_odd_documents(spark, tables, rows):
     docs = spark.createDataFrame(rows, SCHEMA)
-    for _, stage in corpus_pipeline.STAGES[1:]:
+    for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, tables)
         assert out.count() >= 0
         if "copy" not in out.columns:
@@ -60,10 +60,20 @@ def test_odd_documents(spark, tables, rows):
             docs = out
 
 
+@pytest.mark.parametrize("empty", [("documents",), ("labels", "benchmark"), ("documents", "labels", "benchmark")])
+def test_empty_tables_run_through_all_stages(spark, tables, tmp_path, empty):
+    for name in ("documents", "labels", "benchmark"):
+        table = read(spark, tables, name)
+        (table.limit(0) if name in empty else table).write.parquet(f"{tmp_path}/{name}.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path))
+    assert rows.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert (rows.count() == 0) == ("documents" in empty)
+
+
 def test_order_of_rows_does_not_matter(spark, tables):
     docs = read(spark, tables, "documents").collect()
     random.Random(3).shuffle(docs)
-    for _, stage in corpus_pipeline.STAGES[1:4]:
+    for _, stage in corpus_pipeline.STAGES[:4]:
         one = stage(spark, read(spark, tables, "documents"), tables)
         other = stage(spark, spark.createDataFrame(docs, SCHEMA).repartition(3), tables)
         assert sorted(one.collect()) == sorted(other.collect())
