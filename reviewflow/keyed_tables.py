@@ -37,8 +37,7 @@ UNKNOWN_BYTES = 1 << 60
 # The partition column.
 BUCKET = "bucket"
 
-# Table properties: where the table's folders lie, and per bucket the folder that its last put replaced.
-HOME = "reviewflow.home"
+# Table property, per bucket: the folder that its last put replaced.
 PREVIOUS = "reviewflow.previous."
 
 # The folders of puts; nothing of another name is ever removed.
@@ -102,7 +101,13 @@ def keyed_rows(spark: SparkSession, table: str) -> DataFrame:
 
 
 def is_keyed(spark: SparkSession, table: str) -> bool:
-    return HOME in properties(spark, table)
+    told = described(spark, table)
+    return told.get(BUCKET) == "int" and "Bucket Columns" in told
+
+
+def home_of(spark: SparkSession, table: str) -> str:
+    """Where the folders of a table's puts lie: beside that of its first, which is the table's own location."""
+    return described(spark, table)["Location"].rstrip("/").rpartition("/")[0]
 
 
 def rows_near(spark: SparkSession, table: str, keys: DataFrame) -> DataFrame:
@@ -196,13 +201,12 @@ def put_rows(
     exists = spark.catalog.tableExists(table)
     number = layout(spark, table)[1] if exists else buckets or bucket_count(rows)
     home = qualified(spark, location)
-    if exists and properties(spark, table).get(HOME) != home:
+    if exists and home_of(spark, table) != home:
         raise ValueError(f"{table} does not lie at {location}")
     with session_settings(spark, {"spark.sql.shuffle.partitions": str(number)}):
         latest = latest_per_key(with_keys(rows, key), key, order_by, columns)
         if not exists:
             write_buckets(latest, number, key, table, f"{home}/{new_folder()}")
-            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{HOME}' = '{home}')")
             return keyed_rows(spark, table)
         with staged(spark, table) as put:
             own = f"{home}/{new_folder()}"
