@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.session import shared_folder
+from reviewflow.session import shared_folder, source_bytes
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -16,6 +16,13 @@ LOWER = UPPER.lower()
 # Rows of an Arrow batch that are looked at together; batches themselves are cut by Spark.
 SLICE_ROWS = 512
 
+# Rows that Spark hands to Python at a time, and how many these are if nobody says.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+SPARKS_BATCH_ROWS = "10000"
+
+# Tables up to this size are dealt over all cores where the work on a row is long.
+SMALL_BYTES = 16 << 20
+
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -26,11 +33,29 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark hand few texts at a time to Python, unless the session says how many.
+
+    At Spark's own ten thousand rows a batch of texts takes tens of megabytes in the JVM, in Arrow and in Python, for
+    each task. The setting is the session's, since a plan is made when its caller runs it.
+    """
+    if spark.conf.get(BATCH_ROWS) == SPARKS_BATCH_ROWS:
+        spark.conf.set(BATCH_ROWS, str(SLICE_ROWS))
+
+
 def documents(docs: DataFrame, *columns: str) -> DataFrame:
     """The named columns only, so that further columns of any name cannot clash with results."""
+    small_batches(docs.sparkSession)
     return docs.select(*(F.col(f"`{name}`") for name in columns))
 
 
+def over_all_cores(rows: DataFrame) -> DataFrame:
+    """A table of a few megabytes, often one row group and so one task, dealt over all cores; larger ones as they are."""
+    if source_bytes(rows) > SMALL_BYTES:
+        return rows
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def held_out() -> Column:
     """True for the fold that no label is learned from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))

@@ -2,7 +2,7 @@
 
 The benchmark is the index, the corpus the queries. Every text is cut into passages of two cells of
 words, each cell `CELL` times as long as the longest item of the whole benchmark, passages overlapping by one cell, so that
-any item lies whole in one passage, also with as many words inserted as it has. For each passage all items with a BM25 score of at least their threshold are
+any item lies whole in one passage, also with a quarter of the longest item's words inserted. For each passage all items with a BM25 score of at least their threshold are
 retrieved:
 
 1. WAND bound: the sum of the passage's largest impacts, over all items, has to reach the threshold.
@@ -46,9 +46,9 @@ LEAST_OVERLAP = 0.8
 # Items with fewer words say nothing; those with fewer than `LOOSE_WORDS` must stand in a passage word for word.
 LEAST_WORDS = 5
 LOOSE_WORDS = 8
-# Words of a cell for each word of the longest item: a copy with so many words inserted that it is as long as
-# a cell still lies within two cells, wherever they begin.
-CELL = 2
+# Words of a cell for each word of the longest item: a copy with words inserted that is no longer than
+# a cell lies within two cells, wherever they begin.
+CELL = 1.25
 
 K1, B = 1.2, 0.75
 BLOCK_ITEMS = 8
@@ -109,7 +109,7 @@ class Index:
         bags = [Counter(q + a) for _, q, a in kept]
         lengths = [sum(bag.values()) for bag in bags]
         whole = whole or Statistics(len(bags), sum(lengths), max(lengths, default=1), Counter(term for bag in bags for term in bag))
-        self.cell, frequency = CELL * max(1, whole.longest), whole.frequency
+        self.cell, frequency = math.ceil(CELL * max(1, whole.longest)), whole.frequency
         average = whole.words / max(1, whole.items)
         self.terms = {term: number for number, term in enumerate(sorted({term for bag in bags for term in bag}))}
         self.impacts: list[dict[int, float]] = []

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewflow.llm.common import documents, slices, stored
+from reviewflow.llm.common import documents, over_all_cores, slices, stored
 from reviewflow.llm.url_filter import url_parts
 
 # Pages on either side, pages that must agree on a line inside an article, pages of a block.
@@ -338,7 +338,7 @@ def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def keyed(pages: DataFrame) -> DataFrame:
     """page_id, url, html and two hashes of all three."""
-    slim = documents(pages, "page_id", "url", "html")
+    slim = over_all_cores(documents(pages, "page_id", "url", "html"))
     return slim.withColumns({"k1": F.xxhash64("page_id", "url", "html"), "k2": F.xxhash64(F.lit("2"), "html", "url", "page_id")})
 
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewflow.llm.common import documents, slices, stored, utf8
+from reviewflow.llm.common import documents, over_all_cores, slices, stored, utf8
 
 # Fixed values of the query's contract.
 BEST = 10
@@ -91,7 +91,7 @@ def vectors(docs: DataFrame, numbers: dict[bytes, int]) -> DataFrame:
                 columns = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return documents(docs, "doc_id", "text").mapInArrow(run, VECTOR)
+    return over_all_cores(documents(docs, "doc_id", "text")).mapInArrow(run, VECTOR)
 
 
 @dataclass

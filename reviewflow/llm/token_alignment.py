@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewflow.llm.common import documents, slices, stored
+from reviewflow.llm.common import documents, over_all_cores, slices, stored
 
 FOLDER = "/opt/tokenizers"
 BYTE_LEVEL = "byte_bpe_50k.json"
@@ -439,7 +439,7 @@ def aligned_digests(
     docs: DataFrame, folder: str = FOLDER, byte_level: str = BYTE_LEVEL, pieces: str = PIECES
 ) -> DataFrame:
     """Per document the columns of `DIGESTS`."""
-    slim = documents(docs, "doc_id", "text")
+    slim = over_all_cores(documents(docs, "doc_id", "text"))
     chunks = stored(slim.mapInArrow(chunked(folder, byte_level, pieces), CHUNK), "token-chunks")
     held = chunks.select("chunk", F.posexplode(F.arrays_zip("pairs", "held")).alias("at", "one"))
     held = held.select("chunk", "at", F.col("one.pairs").alias("pair"), F.col("one.held").alias("held"))
