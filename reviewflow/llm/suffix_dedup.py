@@ -10,7 +10,8 @@ together: only those that can be equal meet.
    task that are alike, so a passage in a third of all documents is sent once a task.
 2. Per anchor: of segments with equal text all but the earliest repeat earlier strings as a whole. If an
    anchor has segments of different texts, the earliest of each text is asked for its text. What tasks send is dealt
-   by ranges of the key; a task receives its share slot by slot and holds one slot.
+   by ranges of the key, over which anchors are spread evenly; a task receives its share slot by slot and
+   holds one slot.
 3. Deep-shallow sorting. The windows of the segments of an anchor are suffixes to sort. Multikey
    sorting, eight bytes a step and only among ties, goes to a shallow depth. Groups that are still tied
    have long common prefixes; pairs are compared to the end, larger groups are ordered by a blind trie,
@@ -102,7 +103,7 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Text number, start, windows and anchor hash of the segments of some texts."""
+    """Text number, start, windows and anchor key of the segments of some texts."""
     lengths = np.array([len(text) for text in texts], np.int64)
     if int(lengths.sum()) < LENGTH:
         return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
@@ -122,7 +123,10 @@ def segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     run = np.cumsum(new) - 1
     windows = np.bincount(run, inside, run[-1] + 1).astype(np.int64)[run[first]]
     number = owner[first]
-    return number, first - (ends - lengths)[number], windows, hashes[anchor[first]]
+    # Least hashes lie near zero; multiplied by an odd number, they spread over the ranges that keys are dealt by.
+    with np.errstate(over="ignore"):
+        key = hashes[anchor[first]] * MULTIPLIER
+    return number, first - (ends - lengths)[number], windows, key
 
 
 def text_hashes(texts: list[bytes]) -> np.ndarray:

@@ -120,3 +120,14 @@ def test_sorted_suffixes():
     strings = [data[s : s + op.LENGTH] for s in start[order]]
     assert strings == sorted(strings)
     assert [a == b for a, b in zip(value, value[1:])] == [a == b for a, b in zip(strings, strings[1:])]
+
+
+def test_anchors_are_spread_over_the_slots():
+    """No slot gets much more than its share of what a task sends: least hashes alone crowd at the low end."""
+    texts = [prose(seed, 2000).encode() for seed in range(8)]
+    number, start, windows, anchor = op.segments(texts)
+    rows = op.keyed(np.arange(8), op.text_hashes(texts), number, start, windows, anchor, np.arange(len(number), dtype=np.uint64))
+    sent = [batch for batch in op.send(rows, 20) if batch.column("blob")[0].is_valid]
+    sizes = [len(op.unpacked(batch.column("blob")[0].as_py())) for batch in sent]
+    assert len(sizes) == 20
+    assert max(sizes) < 3 * sum(sizes) / 20
