@@ -98,3 +98,8 @@ def test_running_count_takes_several_batches(spark, tables, monkeypatch):
     (query,) = seen
     assert query.lastProgress["batchId"] >= 2
     assert "Sort" in query._jsq.explainInternal(False)
+
+
+def test_literal_rows_are_joined_without_sorting_the_reviews(spark, tables):
+    shape = plan(QUERIES["rows_to_table"](spark, tables))
+    assert "BroadcastHashJoin" in shape and "SortMergeJoin" not in shape
