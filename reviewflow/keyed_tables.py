@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from reviewflow.operators.customers import latest_per_key
 from reviewflow.session import (
+    MOST_SHUFFLE_PARTITIONS,
     claim_file,
     folder_is_empty,
     qualified,
@@ -28,9 +29,12 @@ from reviewflow.session import (
 )
 
 # Size of a bucket that a table is laid out for, and Spark's own bound on their number.
-BUCKET_BYTES = 1024 * 1024 * 1024
+BUCKET_BYTES = 16 * 1024 * 1024
 MOST_BUCKETS = 100_000
 
+# Input of a put that one task sorts by key, before the shuffle and after it.
+TASK_BYTES = 16 * 1024 * 1024
+
 # Spark gives rows that do not come from files a size beyond this.
 UNKNOWN_BYTES = 1 << 60
 
@@ -63,6 +67,20 @@ def bucket_count(rows: DataFrame) -> int:
     return max(1, min(MOST_BUCKETS, -(-size // BUCKET_BYTES)))
 
 
+def put_parts(rows: DataFrame, buckets: int) -> int:
+    """Parts that each bucket's share of a put is sorted in, by the size of the put; one, if that is not known."""
+    size = source_bytes(rows)
+    wanted = 1 if size > UNKNOWN_BYTES else -(-size // (buckets * TASK_BYTES))
+    return max(1, min(MOST_SHUFFLE_PARTITIONS // buckets, wanted))
+
+
+def put_settings(spark: SparkSession, partitions: int) -> dict[str, str]:
+    """Shuffle partitions and file splits of a put, so that no task sorts more when the put is larger."""
+    splits = "spark.sql.files.maxPartitionBytes"
+    now = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return {"spark.sql.shuffle.partitions": str(partitions), splits: str(min(now, TASK_BYTES))}
+
+
 def described(spark: SparkSession, table: str) -> dict[str, str]:
     rows = spark.sql(f"DESCRIBE EXTENDED {table}").collect()
     return {row.col_name: row.data_type for row in rows}
@@ -150,7 +168,7 @@ def merged(kept: DataFrame, latest: DataFrame, key: str) -> DataFrame:
 
 
 def write_buckets(rows: DataFrame, buckets: int, key: str, table: str, path: str) -> None:
-    """Rows that are partitioned by key already, each bucket into one file of one partition."""
+    """Rows that are partitioned by key already, each task's part of a bucket into one file of one partition."""
     placed = rows.withColumn(BUCKET, bucket_of(F.col(key), buckets))
     writer = placed.write.partitionBy(BUCKET).bucketBy(buckets, key).sortBy(key)
     writer.option("path", path).saveAsTable(table)
@@ -186,8 +204,8 @@ def put_rows(
     null key fails the put. The number of buckets is set when the table is made, `buckets` or by the size of the first
     rows, and stays. `bucket` cannot be a column of the rows.
 
-    A put computes `rows` once, shuffles them once, merges the buckets they fall into with the table's, and writes
-    these to a folder of its own. Then it points the names of these buckets there, one by one. Readers of the files
+    A put computes `rows` once, shuffles them once, in tasks of about `TASK_BYTES` of input however large a bucket's
+    share is, merges the buckets they fall into with the table's, and writes these to a folder of its own. Then it points the names of these buckets there, one by one. Readers of the files
     before may finish: a bucket's files stay until its next put but one.
 
     Several puts may run at a time. Before it moves names, a put asks whether its buckets still lie where it
@@ -203,16 +221,17 @@ def put_rows(
     home = qualified(spark, location)
     if exists and home_of(spark, table) != home:
         raise ValueError(f"{table} does not lie at {location}")
-    with session_settings(spark, {"spark.sql.shuffle.partitions": str(number)}):
-        latest = latest_per_key(with_keys(rows, key), key, order_by, columns)
+    own = f"{home}/{new_folder()}"
+    with staged(spark, table) as put:
+        # A multiple of the buckets: a task's keys still fall into one bucket.
+        with session_settings(spark, put_settings(spark, number * put_parts(rows, number))):
+            latest = latest_per_key(with_keys(rows, key), key, order_by, columns)
+            write_buckets(latest, number, key, put if exists else table, own)
         if not exists:
-            write_buckets(latest, number, key, table, f"{home}/{new_folder()}")
             return keyed_rows(spark, table)
-        with staged(spark, table) as put:
-            own = f"{home}/{new_folder()}"
-            write_buckets(latest, number, key, put, own)
+        with session_settings(spark, {"spark.sql.shuffle.partitions": str(number)}):
             replace_buckets(spark, table, put, key, number, home)
-        remove_folder(spark, own)
+    remove_folder(spark, own)
     spark.catalog.refreshTable(table)
     return keyed_rows(spark, table)
 

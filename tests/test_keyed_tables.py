@@ -208,3 +208,32 @@ def test_a_join_on_the_key_does_not_shuffle_the_table(spark, database, tmp_path)
         enriched = people.enrich(wanted, lookup)
         assert plan(enriched).count("Exchange hashpartitioning") == 1
         assert enriched.count() == 500
+
+
+def test_a_large_put_is_sorted_in_parts(spark, database, tmp_path, monkeypatch):
+    """Tasks of a put are as small as its size asks for, also where the table has one bucket; keys of a part are of one bucket."""
+    written, write = [], keyed_tables.write_buckets
+
+    def counted(rows, *more):
+        written.append((rows.rdd.getNumPartitions(), rows.sparkSession.conf.get("spark.sql.files.maxPartitionBytes")))
+        return write(rows, *more)
+
+    monkeypatch.setattr(keyed_tables, "write_buckets", counted)
+    rows = spark.range(4000).select((F.col("id") % 1500).cast("string").alias("customer_id"), F.col("id").cast("string").alias("username"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    size = keyed_tables.source_bytes(rows)
+    for buckets in (1, 3):
+        table, place, before = f"{database}.c{buckets}", str(tmp_path / f"c{buckets}"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+        expected = {str(i): str(max(j for j in range(i, 4000, 1500))) for i in range(1500)}
+        written.clear()
+        with session_settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+            keyed_tables.put_rows(table, rows.where("username < '1'"), "customer_id", [], place, buckets=buckets)
+            monkeypatch.setattr(keyed_tables, "TASK_BYTES", size // 6 + 1)
+            keyed_tables.put_rows(table, rows, "customer_id", [F.col("username").cast("int")], place)
+        assert dict(held(spark, table)) == expected
+        assert [n for n, _ in written] == [buckets, 6, buckets]
+        assert written[1][1] == str(size // 6 + 1)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+        assert all(len(files) == 1 for files in bucket_files(spark, table).values())
+        monkeypatch.setattr(keyed_tables, "TASK_BYTES", 1 << 24)
