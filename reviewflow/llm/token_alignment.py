@@ -56,14 +56,16 @@ CHUNK_BYTES = 3 << 20
 SLICE_TEXTS = 64
 REMEMBERED = 130_000
 LONGEST_REMEMBERED = 64
-# Pieces encoded together; groups with more links than this are counted by distinct ids.
+# Pieces encoded together, and those of them that make up one text; groups with more links than this are counted by
+# distinct ids.
 ALIGNED_PIECES = 8192
+JOINED_PIECES = 64
 LONG_GROUP = 4096
 # Documents of a chunk whose pairs are laid out at a time.
 COUNTED_TEXTS = 128
 
 META = "▁"
-BLANK_AFTER_TEXT = r"(?= )(?<=\S)"
+BLANK_AFTER_BLANK = r"(?<=\s) "
 APART = "\n"
 # Marks that pieces may begin with; an apostrophe is none, since A's splitting pattern takes letters behind it along.
 MARKS = ",.;:!?%*#$&\n"
@@ -152,12 +154,25 @@ class Aligner:
             return None
         joined = {second for first, second in beside if first == APART or re.match(LETTER, first)}
         marks = [mark for mark in MARKS if mark not in joined and self.b.encode(APART + mark)[:2] == self.apart]
-        found = BLANK_AFTER_TEXT + ("|" + f"(?=[{re.escape(''.join(marks))}])(?<={LETTER})" if marks else "")
-        return re.compile(found)
+        # A piece goes on over blanks behind white space and over marks behind other characters than letters.
+        mark = re.escape("".join(marks))
+        over = BLANK_AFTER_BLANK + (f"|(?<!{LETTER})[{mark}]" if marks else "")
+        return re.compile(rf"[\s\S][^ {mark}]*(?:(?:{over})[^ {mark}]*)*")
 
     def split(self, text: str) -> list[str]:
         """Pieces of a blank and the text; the first begins with the blank."""
-        return self.cut.split(" " + text) if self.cut else [" " + text]
+        return self.cut.findall(" " + text) if self.cut else [" " + text]
+
+    def runs(self, pieces: list[str]) -> list[int]:
+        """Where runs of pieces begin that may be encoded as one text, since it is cut between all of them."""
+        begins, size, visible = [], 0, False
+        for i, piece in enumerate(pieces):
+            if not visible or size >= JOINED_PIECES or piece[0] != " ":
+                begins.append(i)
+                size = 0
+            size += 1
+            visible = self.cut is not None and not piece[-1].isspace()
+        return begins
 
     def aligned(self, pieces: list[str]) -> list[Piece]:
         """Pieces, each named once; those met in one of the last two rounds of memory at once."""
@@ -180,62 +195,90 @@ class Aligner:
                 self.remembered, self.older = {}, self.remembered
         return [found[piece] for piece in pieces]
 
-    def encoded(self, pieces: list[str], data: bytes) -> list[tuple[np.ndarray, ...]]:
-        """Per tokenizer: ids, piece numbers and span begins and ends in the bytes of all pieces together."""
-        lead = np.frombuffer(data, np.uint8) & 0xC0 != 0x80
-        at_byte = np.append(np.flatnonzero(lead), len(data))
-        characters = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        first_character = np.cumsum(characters) - characters
-        first_byte = at_byte[first_character]
+    def encoded(self, pieces: list[str], edges: np.ndarray, at_byte: np.ndarray, begins: list[int]) -> list[tuple[np.ndarray, ...]]:
+        """Per tokenizer: ids, piece numbers and span begins and ends in the bytes of all pieces together. Runs of
+        pieces, which begin at `begins`, are encoded as one text."""
+        first_byte = edges[begins]
+        first_character = np.searchsorted(at_byte, first_byte)
+        texts = ["".join(pieces[i:j]) for i, j in zip(begins, [*begins[1:], len(pieces)], strict=True)]
 
         def flat(ids: list[list[int]], spans: list[list[tuple[int, int]]]) -> tuple[np.ndarray, ...]:
-            owner = np.repeat(np.arange(len(ids)), list(map(len, ids)))
-            numbers = np.fromiter(chain.from_iterable(ids), np.int64, len(owner))
-            edges = np.fromiter(chain.from_iterable(chain.from_iterable(spans)), np.int64, 2 * len(owner))
-            return numbers, owner, edges[::2], edges[1::2]
+            of = np.repeat(np.arange(len(ids)), list(map(len, ids)))
+            numbers = np.fromiter(chain.from_iterable(ids), np.int64, len(of))
+            both = np.fromiter(chain.from_iterable(chain.from_iterable(spans)), np.int64, 2 * len(of))
+            return numbers, of, both[::2], both[1::2]
+
+        first_piece, last_piece = np.array(begins, np.int64), np.append(begins[1:], len(pieces)).astype(np.int64) - 1
+
+        def owners(begin: np.ndarray, of: np.ndarray) -> np.ndarray:
+            """The piece that a token begins in, one of its own text's."""
+            within = np.clip(np.searchsorted(edges, begin, "right") - 1, first_piece[of], last_piece[of])
+            return np.maximum.accumulate(within)
 
         # A's offsets are in characters.
-        a = self.a.encode_batch(pieces, add_special_tokens=False)
-        ids, owner, begin, end = flat([one.ids for one in a], [one.offsets for one in a])
-        a_side = (ids, owner, at_byte[begin + first_character[owner]], at_byte[end + first_character[owner]])
+        a = self.a.encode_batch(texts, add_special_tokens=False)
+        ids, of, begin, end = flat([one.ids for one in a], [one.offsets for one in a])
+        begin = at_byte[begin + first_character[of]]
+        a_side = (ids, owners(begin, of), begin, at_byte[end + first_character[of]])
         # B's are in bytes of what it was given: a text without the blank that B adds, or one behind `APART`.
-        spaced = [piece[0] == " " for piece in pieces]
-        given = [piece[1:] if blank else APART + piece for piece, blank in zip(pieces, spaced, strict=True)]
+        spaced = [text[0] == " " for text in texts]
+        given = [text[1:] if blank else APART + text for text, blank in zip(texts, spaced, strict=True)]
         b = self.b.encode(given, num_threads=1, return_type="offset_mapping", return_bytes=True)
         skip = len(self.apart)
         b = [(one["ids"], one["offsets"]) if blank else (one["ids"][skip:], one["offsets"][skip:]) for one, blank in zip(b, spaced, strict=True)]
         # B adds no blank to an empty text.
-        ids, owner, begin, end = flat([i or [self.blank] for i, _ in b], [o or [(0, 0)] for _, o in b])
-        first = np.append(True, owner[1:] != owner[:-1]) if len(owner) else owner.astype(bool)
-        shift = first_byte[owner] + np.where(np.array(spaced)[owner], 1, -len(APART))
-        begin = np.where(first, first_byte[owner], begin + shift)
-        return [a_side, (ids, owner, begin, end + shift)]
+        ids, of, begin, end = flat([i or [self.blank] for i, _ in b], [o or [(0, 0)] for _, o in b])
+        first = np.append(True, of[1:] != of[:-1]) if len(of) else of.astype(bool)
+        shift = first_byte[of] + np.where(np.array(spaced)[of], 1, -len(APART))
+        begin = np.where(first, first_byte[of], begin + shift)
+        return [a_side, (ids, owners(begin, of), begin, end + shift)]
 
-    def given_back(self, pieces: list[str], data: bytes, both: list[tuple[np.ndarray, ...]]) -> np.ndarray:
+    def given_back(self, data: bytes, edges: np.ndarray, both: list[tuple[np.ndarray, ...]]) -> np.ndarray:
         """Which pieces the decoded bytes of either side's tokens make up."""
-        lengths = np.array([len(piece.encode()) for piece in pieces], np.int64)
-        good = np.ones(len(pieces), bool)
+        lengths, count = np.diff(edges), len(edges) - 1
+        good = np.ones(count, bool)
         for (ids, owner, *_), parts, sizes in zip(both, (self.a_bytes, self.b_bytes), self.sizes, strict=True):
             decoded = list(map(parts.__getitem__, ids.tolist()))
-            if b"".join(decoded) == data and (np.bincount(owner, sizes[ids], len(pieces)) == lengths).all():
+            if b"".join(decoded) == data and (np.bincount(owner, sizes[ids], count) == lengths).all():
                 continue
-            cuts = np.searchsorted(owner, np.arange(len(pieces) + 1)).tolist()
-            good &= [b"".join(decoded[i:j]) == piece.encode() for piece, i, j in zip(pieces, cuts, cuts[1:], strict=False)]
+            cuts, at = np.searchsorted(owner, np.arange(count + 1)).tolist(), edges.tolist()
+            good &= [b"".join(decoded[i:j]) == data[x:y] for i, j, x, y in zip(cuts, cuts[1:], at, at[1:], strict=False)]
         return good
 
     def align(self, pieces: list[str]) -> list[Piece]:
-        """Tokens, groups and links of pieces, all at once: their bytes lie one after another."""
+        """Tokens, groups and links of pieces, all at once: their bytes lie one after another. A run of pieces of
+        which one is not given back is encoded again piece by piece, so that none is told by its neighbours."""
+        begins = self.runs(pieces)
+        found = self.align_runs(pieces, begins)
+        again: list[int] = []
+        for i, j in zip(begins, [*begins[1:], len(pieces)], strict=True):
+            if j - i > 1 and any(piece.groups is None for piece in found[i:j]):
+                again += range(i, j)
+        if again:
+            for k, piece in zip(again, self.align_runs([pieces[k] for k in again], list(range(len(again)))), strict=True):
+                found[k] = piece
+        return found
+
+    def align_runs(self, pieces: list[str], begins: list[int]) -> list[Piece]:
         data = "".join(pieces).encode()
-        both = self.encoded(pieces, data)
-        good = self.given_back(pieces, data, both)
+        lead = np.frombuffer(data, np.uint8) & 0xC0 != 0x80
+        at_byte = np.append(np.flatnonzero(lead), len(data))
+        characters = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        edges = at_byte[np.append(0, np.cumsum(characters))]
+        both = self.encoded(pieces, edges, at_byte, begins)
+        good = self.given_back(data, edges, both)
         both = [tuple(column[good[side[1]]] for column in side) for side in both]
-        lengths = np.array([len(piece.encode()) for piece in pieces], np.int64)
-        first_byte = np.cumsum(lengths) - lengths
-        ends = [byte_ends(begin, end, sizes[ids], owner, first_byte) for (ids, owner, begin, end), sizes in zip(both, self.sizes, strict=True)]
-        cuts = np.intersect1d(*ends)
+        ends = [byte_ends(begin, end, sizes[ids], owner, edges) for (ids, owner, begin, end), sizes in zip(both, self.sizes, strict=True)]
+        # Where tokens of both end; the group of a token is the number of such places before its end.
+        marked = np.zeros((2, len(data) + 1), bool)
+        for side, end in zip(marked, ends, strict=True):
+            side[end] = True
+        cut = marked[0] & marked[1]
+        before = np.cumsum(cut) - cut
+        n_groups = int(cut.sum())
         (a_ids, a_owner), (b_ids, b_owner) = (side[:2] for side in both)
-        a_group, b_group = (np.searchsorted(cuts, end) for end in ends)
-        n_a, n_b = np.bincount(a_group, minlength=len(cuts)), np.bincount(b_group, minlength=len(cuts))
+        a_group, b_group = (before[end] for end in ends)
+        n_a, n_b = np.bincount(a_group, minlength=n_groups), np.bincount(b_group, minlength=n_groups)
         a_first, b_first = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
 
         # Written form: A's ids, then B's, group by group.
@@ -261,7 +304,9 @@ class Aligner:
             keys = np.concatenate([keys, (x[:, None] << 32 | y[None, :]).ravel()])
             times = np.concatenate([times, (m[:, None] * n[None, :]).ravel()])
             owner = np.concatenate([owner, np.full(len(x) * len(y), group_owner[g])])
-        order = np.lexsort((keys, owner))
+        # Piece, A id and B id fit into one number.
+        widths = list(map(len, self.sizes))
+        order = np.argsort((owner * widths[0] + (keys >> 32)) * widths[1] + (keys & (2**32 - 1)))
         keys, owner, times = keys[order], owner[order], times[order]
         if len(keys):
             new = np.append(True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1]))
@@ -344,16 +389,19 @@ class Chunk:
         keys = np.frombuffer(b"".join(piece.pairs for piece in pieces), "<i8")
         links = np.frombuffer(b"".join(piece.links for piece in pieces), "<i8")
         pairs, at = np.unique(keys, return_inverse=True)
-        held = np.zeros(len(pairs), np.int64)
+        held, seen = np.zeros((2, len(pairs)), np.int64)
         begins, ends = np.cumsum(sizes) - sizes, np.append(0, np.cumsum(lengths))
         for first in range(0, len(lengths), COUNTED_TEXTS):
             some = lengths[first : first + COUNTED_TEXTS]
             piece = numbers[ends[first] : ends[first] + some.sum()]
             n = sizes[piece]
             pair = at[np.repeat(begins[piece], n) + ranges(n)]
-            both = np.unique(np.repeat(np.repeat(np.arange(len(some)), some), n) * len(pairs) + pair)
-            if len(both):
-                held += np.bincount(both % len(pairs), minlength=len(pairs))
+            of = np.append(0, np.cumsum(n))[np.append(0, np.cumsum(some))].tolist()
+            for i, j in zip(of, of[1:], strict=False):
+                # Each pair of a document once: where its last place is.
+                one, places = pair[i:j], np.arange(i, j)
+                seen[one] = places
+                held[one[seen[one] == places]] += 1
         per_piece = {"at": lists(at, sizes, pa.int32()), "links": lists(links, sizes, pa.int64())}
         per_piece |= {name: pa.array([piece[i] for piece in pieces], pa.int32()) for i, name in enumerate(COUNTS)}
         per_text = {

@@ -154,3 +154,18 @@ def test_empty_table_and_no_ids(spark):
     assert sorted(str(row.doc_id) for row in found) == ["5", "None", "None"]
     assert len({tuple(row)[1:] for row in found}) == 1
     assert found[0].count_sum == 3 * found[0].n_links
+
+
+def test_runs_of_pieces_have_the_tokens_of_each_piece():
+    """Pieces encoded together, also beside ones that are not given back, are as if encoded alone; a run is one text."""
+    work = alignment.Aligner(str(Path(alignment.FOLDER, alignment.BYTE_LEVEL)), str(Path(alignment.FOLDER, alignment.PIECES)))
+    rng = random.Random(7)
+    alphabet = ["a", "b", "The", "é", "日", "ﬁ", "１", "​", "'s", ",", "\n", " ", "  ", "\t", "\x00", "▁", "👩‍👩‍👧"]
+    texts = ["one two, three" * 9, *TEXTS, *("".join(rng.choices(alphabet, k=9)) for _ in range(900))]
+    pieces = list(dict.fromkeys(piece for text in texts if text for piece in work.split(text)))
+    alone = [work.align([piece])[0] for piece in pieces]
+    assert any(piece.groups is None for piece in alone)
+    assert work.align(pieces) == alone
+    begins = work.runs(pieces)
+    assert begins[0] == 0 and len(begins) < len(pieces) / 2
+    assert max(j - i for i, j in zip(begins, [*begins[1:], len(pieces)], strict=True)) <= alignment.JOINED_PIECES
