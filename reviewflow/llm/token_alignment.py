@@ -176,24 +176,22 @@ class Aligner:
 
     def aligned(self, pieces: list[str]) -> list[Piece]:
         """Pieces, each named once; those met in one of the last two rounds of memory at once."""
-        found: dict[str, Piece] = {}
+        found = list(map(self.remembered.get, pieces))
         wanted = []
-        for piece in pieces:
-            known = self.remembered.get(piece)
-            if known is None and (known := self.older.get(piece)) is not None:
-                self.remembered[piece] = known
-            if known is None:
-                wanted.append(piece)
+        for i in [i for i, known in enumerate(found) if known is None]:
+            if (known := self.older.get(pieces[i])) is not None:
+                found[i] = self.remembered[pieces[i]] = known
             else:
-                found[piece] = known
+                wanted.append(i)
         for first in range(0, len(wanted), ALIGNED_PIECES):
-            for piece, result in zip(some := wanted[first : first + ALIGNED_PIECES], self.align(some), strict=True):
-                found[piece] = result
-                if len(piece) <= LONGEST_REMEMBERED:
-                    self.remembered[piece] = result
+            some = wanted[first : first + ALIGNED_PIECES]
+            for i, result in zip(some, self.align([pieces[i] for i in some]), strict=True):
+                found[i] = result
+                if len(pieces[i]) <= LONGEST_REMEMBERED:
+                    self.remembered[pieces[i]] = result
             if len(self.remembered) > REMEMBERED:
                 self.remembered, self.older = {}, self.remembered
-        return [found[piece] for piece in pieces]
+        return found
 
     def encoded(self, pieces: list[str], edges: np.ndarray, at_byte: np.ndarray, begins: list[int]) -> list[tuple[np.ndarray, ...]]:
         """Per tokenizer: ids, piece numbers and span begins and ends in the bytes of all pieces together. Runs of
