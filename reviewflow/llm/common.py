@@ -20,6 +20,10 @@ SLICE_ROWS = 512
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SPARKS_BATCH_ROWS = "10000"
 
+# Rows that Spark reads from Parquet at a time, and how many these are if nobody says.
+READER_ROWS = "spark.sql.parquet.columnarReaderBatchSize"
+SPARKS_READER_ROWS = "4096"
+
 # Tables up to this size are dealt over all cores where the work on a row is long.
 SMALL_BYTES = 16 << 20
 
@@ -43,6 +47,16 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_ROWS, str(SLICE_ROWS))
 
 
+def small_reads(spark: SparkSession) -> None:
+    """Let Spark read few texts at a time, unless the session says how many.
+
+    At Spark's own four thousand rows the vectors of a column of texts are arrays of many megabytes in each task, for
+    which the JVM grows its heap. As with `small_batches`, the setting is the session's.
+    """
+    if spark.conf.get(READER_ROWS) == SPARKS_READER_ROWS:
+        spark.conf.set(READER_ROWS, str(SLICE_ROWS))
+
+
 def documents(docs: DataFrame, *columns: str) -> DataFrame:
     """The named columns only, so that further columns of any name cannot clash with results."""
     small_batches(docs.sparkSession)

@@ -39,10 +39,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewflow.llm.common import documents, slices, stored, utf8
+from reviewflow.llm.common import documents, slices, small_reads, stored, utf8
 from reviewflow.session import source_bytes
 
 # Fixed value of the query's contract.
@@ -53,7 +53,7 @@ GRAM = 32
 CHUNK_SEGMENTS = 200_000
 # Input whose keys are received together, and the most parts that a task's share is cut into for it.
 SLOT_BYTES = 1 << 20
-MOST_SLOTS = 4
+MOST_SLOTS = 8
 SLICE_TEXTS = 128
 SLICE_BYTES = 1 << 19
 # More different texts of one anchor than this are compared by hashes.
@@ -67,6 +67,8 @@ BASE = 0x100000001B3 * 0x9E3779B1 | 1
 # An order key is a hash above the position; a text of Spark's is shorter than 2 GiB.
 PLACE_BITS = 32
 NULL_ID = -(2**63)
+# The seed of Spark's xxhash64.
+HASH_SEED = 42
 
 # A place: document id, hash of its text, start of the first window, number of windows.
 PLACE = "doc_id BIGINT, text_hash BIGINT, start INT, windows INT"
@@ -130,7 +132,7 @@ def segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
 
 
 def text_hashes(texts: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts)).view(np.int64)
+    return np.fromiter((xxhash.xxh64_intdigest(text, HASH_SEED) for text in texts), np.uint64, len(texts)).view(np.int64)
 
 
 def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
@@ -214,8 +216,8 @@ class Spread:
 
 
 def spread(docs: DataFrame) -> Spread:
-    """Two buckets for each shuffle partition, with as many slots as bring a slot down to about `SLOT_BYTES` of input."""
-    buckets = max(8, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """A bucket for each shuffle partition, with as many slots as bring a slot down to about `SLOT_BYTES` of input."""
+    buckets = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     per_bucket = source_bytes(docs) // (buckets * SLOT_BYTES)
     return Spread(buckets, buckets * max(1, min(MOST_SLOTS, per_bucket)))
 
@@ -491,18 +493,14 @@ def sort_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 # The whole.
 
 
-def hash_of_text():
-    """`text_hashes` as a column function."""
-
-    @F.arrow_udf("bigint")
-    def text_hash(texts: pa.Array) -> pa.Array:
-        return pa.array(text_hashes(utf8(texts)))
-
-    return text_hash
+def hash_of_text() -> Column:
+    """`text_hashes` as a column, without a round of all texts through Python."""
+    return F.when(F.col("text").isNull(), int(text_hashes([b""])[0])).otherwise(F.xxhash64("text")).alias("text_hash")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, start, windows): runs of windows that also start earlier."""
+    small_reads(docs.sparkSession)
     slim = documents(docs, "doc_id", "text")
     dealt = spread(slim)
     sent = dealt.deal(slim.mapInArrow(send_segments(dealt.slots), SENT))
@@ -513,7 +511,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     # A document's group holds its own segments only.
     asked = found.where("anchor IS NOT NULL").groupBy(F.col("doc_id").alias("of"), F.col("text_hash").alias("hash"))
     asked = asked.agg(F.collect_set(F.struct("start", "windows", "anchor", "texts")).alias("asked"))
-    texts = slim.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), hash_of_text()(F.col("text")).alias("text_hash"), "text")
+    texts = slim.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), hash_of_text(), "text")
     same = (F.col("doc_id") == F.col("of")) & (F.col("text_hash") == F.col("hash"))
     both = texts.join(asked.hint("shuffle_hash"), same).select("doc_id", "text_hash", "text", "asked")
     asked_texts = stored(both.mapInArrow(contexts, ASKED), "segment-texts")
@@ -550,7 +548,7 @@ def marked(docs: DataFrame) -> DataFrame:
     grouped = grouped.agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
     rest = [F.col(f"`{name}`") for name in docs.columns if name not in ("doc_id", "text")]
     rows = docs.select("doc_id", "text", F.struct(*rest, F.lit(0).alias("-")).alias("rest"))
-    rows = rows.select("doc_id", hash_of_text()(F.col("text")).alias("text_hash"), "text", "rest")
+    rows = rows.select("doc_id", hash_of_text(), "text", "rest")
     same = (F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("of")) & (F.col("text_hash") == F.col("hash"))
     return rows.join(grouped.hint("shuffle_hash"), same, "left").drop("of", "hash")
 

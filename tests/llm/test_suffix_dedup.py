@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from reviewflow.llm import suffix_dedup as op
+from reviewflow.session import session_settings
 
 
 def brute_force(rows):
@@ -131,3 +132,30 @@ def test_anchors_are_spread_over_the_slots():
     sizes = [len(op.unpacked(batch.column("blob")[0].as_py())) for batch in sent]
     assert len(sizes) == 20
     assert max(sizes) < 3 * sum(sizes) / 20
+
+
+def test_texts_are_hashed_in_spark_as_in_python(spark):
+    """No round of all texts through Python before a join, and the hashes still meet."""
+    texts = [None, "", "é", *(prose(seed, 3)[:seed] for seed in range(70)), prose(1, 400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    hashes = [row.text_hash for row in docs.orderBy("doc_id").select(op.hash_of_text()).collect()]
+    assert hashes == op.text_hashes([(text or "").encode() for text in texts]).tolist()
+    plan = op.marked(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan
+    assert "EvalPython" not in plan
+
+
+@pytest.mark.parametrize(("said", "used"), [(None, "512"), ("1000", "1000")])
+def test_few_texts_are_read_at_a_time(spark, said, used):
+    docs = spark.createDataFrame([(1, prose(1, 60)), (2, prose(1, 60))], "doc_id BIGINT, text STRING")
+    rows = "spark.sql.parquet.columnarReaderBatchSize"
+    with session_settings(spark, {rows: said or "4096"}):
+        assert [row.n_removed > 0 for row in op.dedup_spans(docs).orderBy("doc_id").collect()] == [False, True]
+        assert spark.conf.get(rows) == used
+
+
+def test_a_shuffle_partition_is_one_bucket(spark, tables):
+    """Each bucket is a task with a sort of its own and a file; slots, not buckets, bound what a task holds."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    with session_settings(spark, {"spark.sql.shuffle.partitions": "20"}):
+        assert op.spread(docs) == op.Spread(20, 20)
