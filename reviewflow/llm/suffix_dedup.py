@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewflow.llm.common import documents, slices, small_reads, stored, utf8
-from reviewflow.session import source_bytes
+from reviewflow.session import session_settings, source_bytes
 
 # Fixed value of the query's contract.
 LENGTH = 100
@@ -70,6 +70,9 @@ NULL_ID = -(2**63)
 # The seed of Spark's xxhash64.
 HASH_SEED = 42
 
+# What a written table was shuffled for goes with the end of the write, not with the driver's garbage.
+RELEASED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 # A place: document id, hash of its text, start of the first window, number of windows.
 PLACE = "doc_id BIGINT, text_hash BIGINT, start INT, windows INT"
 SENT = "slot INT, blob BINARY, doc_id BIGINT, text_hash BIGINT, start INT, windows INT"
@@ -504,7 +507,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     slim = documents(docs, "doc_id", "text")
     dealt = spread(slim)
     sent = dealt.deal(slim.mapInArrow(send_segments(dealt.slots), SENT))
-    found = stored(sent.mapInArrow(receive(True), FOUND), "segments")
+    with session_settings(docs.sparkSession, RELEASED):
+        found = stored(sent.mapInArrow(receive(True), FOUND), "segments")
     place = ["doc_id", "text_hash", "start", "windows"]
     whole = found.where("anchor IS NULL").select(*place)
 
@@ -514,7 +518,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     texts = slim.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), hash_of_text(), "text")
     same = (F.col("doc_id") == F.col("of")) & (F.col("text_hash") == F.col("hash"))
     both = texts.join(asked.hint("shuffle_hash"), same).select("doc_id", "text_hash", "text", "asked")
-    asked_texts = stored(both.mapInArrow(contexts, ASKED), "segment-texts")
+    with session_settings(docs.sparkSession, RELEASED):
+        asked_texts = stored(both.mapInArrow(contexts, ASKED), "segment-texts")
 
     few = asked_texts.where(F.col("texts") <= MOST_SEGMENTS).repartition("anchor").sortWithinPartitions("anchor")
     ordered = few.mapInArrow(sort_segments, PLACE)

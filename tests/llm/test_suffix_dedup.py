@@ -159,3 +159,13 @@ def test_a_shuffle_partition_is_one_bucket(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     with session_settings(spark, {"spark.sql.shuffle.partitions": "20"}):
         assert op.spread(docs) == op.Spread(20, 20)
+
+
+def test_shuffles_of_written_tables_are_released(spark, monkeypatch):
+    """Disk holds what one written table was shuffled for, whenever the driver collects its garbage."""
+    setting, seen, stored = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], op.stored
+    before = spark.conf.get(setting)
+    monkeypatch.setattr(op, "stored", lambda *of: seen.append(spark.conf.get(setting)) or stored(*of))
+    assert len(got(spark, [(1, prose(1, 60)), (2, prose(1, 60))])) == 2
+    assert seen == ["true", "true"]
+    assert spark.conf.get(setting) == before
