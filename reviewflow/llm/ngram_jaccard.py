@@ -40,9 +40,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewflow.llm.common import documents, per_batch, slices, stored, utf8
+from reviewflow.llm.common import BATCH_ROWS, READER_ROWS, documents, per_batch, slices, small_reads, stored, utf8
 from reviewflow.llm.components import components
 from reviewflow.llm.components import stored as stored_narrow
+from reviewflow.session import session_settings
 
 # Fixed values of the query's contract.
 SHINGLE = 5
@@ -50,7 +51,7 @@ PERCENT = 80
 
 FILTER_SHARE = 0.3
 # Hashes that a task sends at a time.
-CHUNK_HASHES = 500_000
+CHUNK_HASHES = 250_000
 # A hash of so many classes is frequent; the bound doubles until so few are.
 FREQUENT = 64
 MOST_FREQUENT = 1 << 18
@@ -59,12 +60,18 @@ MOST_FREQUENT = 1 << 18
 SMALL_GROUP = 128
 BLOCK_ROWS = 512
 BLOCK_BYTES = 8 << 20
-COLUMNS = 4096
+COLUMNS = 1024
 # Words whose hash a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
+
+# What a written table was shuffled for goes with the end of the write, not with the driver's garbage.
+RELEASED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+# A row of two blocks has megabytes; Spark's number of rows at a time has no regard to bytes.
+FEW_BLOCKS = {BATCH_ROWS: "1", READER_ROWS: "4"}
 
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 STEP = np.uint64(0x9E3779B97F4A7C15)
+BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 _word_hashes: dict[bytes, int] = {}
 
@@ -105,6 +112,19 @@ def linked(overlap: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 # Step 2: what each task sends, and what is made of it.
 
+# The hashes sent are the low ones of their sets. They travel under keys that fill the range that is dealt to buckets.
+
+
+def keys_of(hashes: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return hashes * STEP
+
+
+def hashes_of(keys: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return keys * BACK
+
+
 SENT = "bucket INT, doc_id BIGINT, class BINARY, n BIGINT, shared BIGINT, single BINARY, several BINARY"
 FACTS = "doc_id BIGINT, class BINARY, n BIGINT, shared BIGINT, hash BIGINT, classes BIGINT, tail BIGINT"
 
@@ -117,7 +137,7 @@ def send_hashes(buckets: int):
     def flush(ids: list, classes: list, sizes: list, prefixes: list) -> pa.RecordBatch:
         tails = np.array([int.from_bytes(c[:8], "little") for c in classes], np.uint64)
         lengths = np.array([len(p) for p in prefixes], np.int64)
-        hashes = np.concatenate([*prefixes, np.empty(0, np.uint64)])
+        hashes = keys_of(np.concatenate([*prefixes, np.empty(0, np.uint64)]))
         tail = np.repeat(tails, lengths)
         order = np.lexsort((tail, hashes))
         h, t = hashes[order], tail[order]
@@ -157,8 +177,8 @@ def send_hashes(buckets: int):
             for doc_id, text in zip(part.column("doc_id").to_pylist(), utf8(part.column("text")), strict=True):
                 hashes = shingle_set(text)
                 n = len(hashes)
-                # Below four shingles only equal sets link.
-                prefix = hashes[: math.ceil(FILTER_SHARE * n)] if n > 3 else hashes[:0]
+                # Below four shingles only equal sets link. A copy, or else the whole set waits with its part.
+                prefix = hashes[: math.ceil(FILTER_SHARE * n) if n > 3 else 0].copy()
                 for column, value in zip(held, (doc_id, class_of(hashes), n, prefix), strict=True):
                     column.append(value)
                 waiting += len(prefix)
@@ -192,6 +212,7 @@ def receive_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 if blob:
                     held.append(np.frombuffer(blob, np.uint64).reshape(2, -1))
     hashes, tails = np.hstack(single)
+    single.clear()
     order = np.lexsort((tails, hashes))
     hashes, tails = hashes[order], tails[order]
     del order
@@ -199,6 +220,7 @@ def receive_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     keep[1:] = (hashes[1:] != hashes[:-1]) | (tails[1:] != tails[:-1])
     hashes, tails = hashes[keep], tails[keep]
     many, counts = np.hstack(several)
+    several.clear()
     distinct, of = np.unique(np.concatenate([hashes, many]), return_inverse=True)
     classes = np.bincount(of, np.concatenate([np.ones(len(hashes)), counts.astype(float)]), len(distinct))
     tail, held = np.unique(tails[classes[of[: len(hashes)]] > 1], return_counts=True)
@@ -207,7 +229,7 @@ def receive_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     frequent = classes >= FREQUENT
     if frequent.any():
         yield rows(
-            int(frequent.sum()), hash=pa.array(distinct[frequent].view(np.int64)), classes=pa.array(classes[frequent].astype(np.int64))
+            int(frequent.sum()), hash=pa.array(hashes_of(distinct[frequent]).view(np.int64)), classes=pa.array(classes[frequent].astype(np.int64))
         )
 
 
@@ -417,6 +439,11 @@ def within(part: pa.RecordBatch) -> pa.RecordBatch:
     return as_links(found)
 
 
+def links_within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks are multiplied where they are made, one at a time."""
+    return per_batch_of(within, 1)(make_blocks(batches))
+
+
 def links(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """(left, right): links between classes whose components are those of all links.
 
@@ -428,8 +455,7 @@ def links(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     order = ["label", "distance", "n", "class"]
     columns = ["label", "class", "n", "hashes", "distance"]
     small = rows.join(large, "label", "left_anti").withColumn("distance", F.lit(0.0)).select(columns)
-    small_blocks = small.repartition("label").sortWithinPartitions(*order).mapInArrow(make_blocks, BLOCK)
-    near_links = small_blocks.mapInArrow(per_batch_of(within, 4), LINK)
+    near_links = small.repartition("label").sortWithinPartitions(*order).mapInArrow(links_within, LINK)
     return near_links, None if large.isEmpty() else large_links(rows.join(large, "label", "left_semi"), order, columns)
 
 
@@ -473,7 +499,10 @@ def large_links(big: DataFrame, order: list[str], columns: list[str]) -> DataFra
     blobs = blocks.select("block", "classes", "sizes", "hashes")
     second = blobs.select(*(F.col(c).alias(f"{c}2") for c in blobs.columns))
     filled = pairs.join(blobs, "block").join(second, "block2").select(*PRODUCT)
-    return filled.mapInArrow(per_batch_of(multiply, 4), LINK).union(hub_links)
+    # In tasks of Spark's own size: the few that write edges would each get many blocks.
+    with session_settings(big.sparkSession, FEW_BLOCKS):
+        products = stored(filled.mapInArrow(per_batch_of(multiply, 1), LINK), "links")
+    return products.union(hub_links)
 
 
 PRODUCT = ["classes", "sizes", "hashes", "classes2", "sizes2", "hashes2"]
@@ -491,13 +520,15 @@ def per_batch_of(work, rows: int):
 
 def join_near_duplicates(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, class (a digest of its set), label (a class of its component)."""
-    facts = hash_facts(docs)
-    solved, open_links = links(ordered_sets(docs, facts))
-    labels = solved.select(F.col("left").alias("of"), F.col("right").alias("label"))
-    if open_links is not None:
-        found = components(open_links, "left", "right")
-        labels = labels.union(found.select(F.col("node").alias("of"), "label"))
-    labels = stored(labels, "class-labels")
+    small_reads(docs.sparkSession)
+    with session_settings(docs.sparkSession, RELEASED):
+        facts = hash_facts(docs)
+        solved, open_links = links(ordered_sets(docs, facts))
+        labels = solved.select(F.col("left").alias("of"), F.col("right").alias("label"))
+        if open_links is not None:
+            found = components(open_links, "left", "right")
+            labels = labels.union(found.select(F.col("node").alias("of"), "label"))
+        labels = stored(labels, "class-labels")
     every = facts.where("class IS NOT NULL").select("doc_id", "class", F.col("n").alias("n_shingles"))
     # The smallest id of each component, summed up in each task first. Labels have one row per class.
     named = every.join(labels, F.col("class") == F.col("of"), "left")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from reviewflow.llm import ngram_jaccard as op
 from reviewflow.llm.components import components
@@ -146,3 +147,63 @@ def test_components(spark, shape):
     frame = spark.createDataFrame(edges, "a BIGINT, b BIGINT").selectExpr("a AS left", "b AS right")
     got = {row.node: row.label for row in components(frame, "left", "right").collect()}
     assert got == {x: root(x) for x in parent}
+
+
+def test_hashes_are_dealt_evenly():
+    source = random.Random(4)
+    texts = [" ".join(f"w{source.randrange(10**6)}" for _ in range(60)) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    held = dict.fromkeys(range(20), 0)
+    found = set()
+    for sent in op.send_hashes(20)(iter([batch])):
+        for bucket, blob in zip(sent.column("bucket").to_pylist(), sent.column("single").to_pylist(), strict=True):
+            keys = np.frombuffer(blob or b"", np.uint64).reshape(2, -1)[0]
+            held[bucket] += len(keys)
+            found.update(op.hashes_of(keys).tolist())
+    sets = [op.shingle_set(text.encode()) for text in texts]
+    assert found == {h for hashes in sets for h in hashes[: -(-len(hashes) * 3 // 10)].tolist()}
+    assert max(held.values()) < 1.5 * sum(held.values()) / len(held)
+
+
+def test_frequent_hashes_are_those_of_shingles(spark):
+    rows = [(i, f"one two three four five six seven eight w{i} x{i}") for i in range(op.FREQUENT + 6)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    sets = [op.shingle_set(text.encode()) for _, text in rows]
+    hashes, counts = np.unique(np.concatenate([s[: -(-len(s) * 3 // 10)] for s in sets]), return_counts=True)
+    assert op.frequent_hashes(op.hash_facts(docs)).tolist() == hashes[counts >= op.FREQUENT].tolist()
+
+
+def test_blocks_are_multiplied_one_pair_at_a_time(spark, rows, monkeypatch):
+    def single(work, _):
+        def run(batches):
+            for batch in batches:
+                if batch.num_rows > 1:
+                    raise ValueError(f"{batch.num_rows} pairs of blocks at a time")
+                yield work(batch)
+
+        return run
+
+    monkeypatch.setattr(op, "SMALL_GROUP", 2)
+    monkeypatch.setattr(op, "per_batch_of", single)
+    names = op.BATCH_ROWS, op.READER_ROWS, *op.RELEASED
+    assert got(spark, rows) == brute_force(rows)
+    before = [spark.conf.get(name, None) for name in names]
+    assert got(spark, rows) == brute_force(rows)
+    assert [spark.conf.get(name, None) for name in names] == before
+
+
+def test_shuffles_go_with_the_table_written(spark, rows):
+    def kept():
+        store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return sum(block.name().startswith("shuffle_") for block in _each(store.getAllBlocks()))
+
+    def _each(blocks):
+        return (blocks.apply(i) for i in range(blocks.size()))
+
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    before = kept()
+    op.hash_facts(docs)
+    assert kept() > before
+    after = kept()
+    op.join_near_duplicates(docs)
+    assert kept() <= after
