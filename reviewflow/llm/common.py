@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.session import shared_folder, source_bytes
+from reviewflow.session import remove_folder, shared_folder, source_bytes
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -82,6 +83,17 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def stored_for(rows: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """Rows `stored` for a block of code; their folder goes with the block, so whatever outlives it must be written too."""
+    path = shared_folder(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    try:
+        yield rows.sparkSession.read.schema(rows.schema).parquet(path)
+    finally:
+        remove_folder(rows.sparkSession, path)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Arrow batches in small cuts, so that Python objects of few texts live at a time."""
     for batch in batches:

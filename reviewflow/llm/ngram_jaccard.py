@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewflow.llm.common import BATCH_ROWS, READER_ROWS, documents, per_batch, slices, small_reads, stored, utf8
+from reviewflow.llm.common import BATCH_ROWS, READER_ROWS, documents, per_batch, slices, small_reads, stored, stored_for, utf8
 from reviewflow.llm.components import components
 from reviewflow.llm.components import stored as stored_narrow
 from reviewflow.session import session_settings
@@ -296,7 +296,7 @@ def ordered_sets(docs: DataFrame, facts: DataFrame) -> DataFrame:
     slim = documents(docs, "doc_id", "text")
     # Catalyst knows the size of what was stored: a few ids are broadcast, many are joined by shuffle.
     texts = slim.join(chosen, F.col("doc_id").eqNullSafe(F.col("of")), "left_semi").select("text")
-    return stored(texts.mapInArrow(per_batch(made), "class BINARY, tail BIGINT, n BIGINT, hashes BINARY"), "shingle-sets")
+    return texts.mapInArrow(per_batch(made), "class BINARY, tail BIGINT, n BIGINT, hashes BINARY")
 
 
 def groups(sets: DataFrame) -> DataFrame:
@@ -314,11 +314,11 @@ def groups(sets: DataFrame) -> DataFrame:
         tails = part.column("tail").take(pa.array(np.concatenate(owner)))
         return pa.RecordBatch.from_arrays([tails, pa.array(np.concatenate(found))], ["tail", "hash"])
 
-    rows = stored(sets.mapInArrow(per_batch(prefixes), "tail BIGINT, hash BIGINT"), "prefixes")
-    stars = rows.groupBy("hash").agg(F.min("tail").alias("hub"), F.max("tail").alias("last")).where("hub <> last")
-    stars = stored_narrow(stars.select("hash", "hub"), "stars")
-    edges = rows.join(stars, "hash").where("tail <> hub").select("tail", "hub").distinct()
-    return components(edges, "tail", "hub").select(F.col("node").alias("tail"), "label")
+    with stored_for(sets.mapInArrow(per_batch(prefixes), "tail BIGINT, hash BIGINT"), "prefixes") as rows:
+        stars = rows.groupBy("hash").agg(F.min("tail").alias("hub"), F.max("tail").alias("last")).where("hub <> last")
+        stars = stored_narrow(stars.select("hash", "hub"), "stars")
+        edges = rows.join(stars, "hash").where("tail <> hub").select("tail", "hub").distinct()
+        return components(edges, "tail", "hub").select(F.col("node").alias("tail"), "label")
 
 
 # Step 4: products.
@@ -449,7 +449,9 @@ def links(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
 
     The first are from small groups and lead to the smallest class of each component; the second, if
     there is a large group, are any."""
-    rows = stored(sets.join(stored_narrow(groups(sets), "groups"), "tail").select("label", "class", "n", "hashes"), "grouped-sets")
+    with stored_for(sets, "shingle-sets") as kept:
+        grouped = kept.join(stored_narrow(groups(kept), "groups"), "tail")
+        rows = stored(grouped.select("label", "class", "n", "hashes"), "grouped-sets")
     sizes = rows.groupBy("label").agg(F.count("*").alias("members"), F.sum(8 * F.col("n")).alias("bytes"))
     large = stored_narrow(sizes.where((F.col("members") > SMALL_GROUP) | (F.col("bytes") > BLOCK_BYTES)).select("label"), "large-groups")
     order = ["label", "distance", "n", "class"]
@@ -482,12 +484,11 @@ def large_links(big: DataFrame, order: list[str], columns: list[str]) -> DataFra
     near = big.join(hub_sets, F.col("label") == F.col("of")).withColumn("overlap", overlap("hashes", "hub_hashes"))
     linked_with_hub = (100 * F.col("overlap") >= PERCENT * union).alias("linked")
     near = near.select("label", "class", "n", "hashes", "hub", linked_with_hub, (1 - F.col("overlap") / union).alias("distance"))
-    near = stored(near, "hub-distances")
-    hub_links = near.where("linked").select(F.col("class").alias("left"), F.col("hub").alias("right"))
-
     spread = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = near.select(columns).repartitionByRange(spread, *order).sortWithinPartitions(*order)
-    blocks = stored(ranged.mapInArrow(make_blocks, BLOCK), "blocks")
+    with stored_for(near, "hub-distances") as kept:
+        hub_links = stored(kept.where("linked").select(F.col("class").alias("left"), F.col("hub").alias("right")), "hub-links")
+        ranged = kept.select(columns).repartitionByRange(spread, *order).sortWithinPartitions(*order)
+        blocks = stored(ranged.mapInArrow(make_blocks, BLOCK), "blocks")
     outline = blocks.select("label", "block", "low", "high", "near", "far")
     other = outline.select("label", *(F.col(c).alias(f"{c}2") for c in ("block", "low", "high", "near", "far")))
     gap = 1 - PERCENT / 100 + 1e-9

@@ -5,8 +5,10 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from reviewflow.llm import common
 from reviewflow.llm import ngram_jaccard as op
 from reviewflow.llm.components import components
+from reviewflow.session import path_exists
 
 
 def shingles(text):
@@ -207,3 +209,18 @@ def test_shuffles_go_with_the_table_written(spark, rows):
     after = kept()
     op.join_near_duplicates(docs)
     assert kept() <= after
+
+
+def test_tables_that_nothing_reads_any_more_go(spark, rows, monkeypatch):
+    made, folder = {}, common.shared_folder
+
+    def noted(spark, purpose):
+        path = folder(spark, purpose)
+        made[path] = purpose
+        return path
+
+    monkeypatch.setattr(common, "shared_folder", noted)
+    monkeypatch.setattr(op, "SMALL_GROUP", 2)
+    assert got(spark, rows) == brute_force(rows)
+    gone = {purpose for path, purpose in made.items() if not path_exists(spark, path)}
+    assert gone == {"shingle-sets", "prefixes", "hub-distances"}
