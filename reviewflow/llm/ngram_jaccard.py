@@ -7,10 +7,12 @@
    by hash, is compared with everything: tasks send every hash once, however many of their documents
    hold it, so a shingle in a third of all documents is sent once a task. Classes with too few shared
    hashes are done. This also counts the most frequent hashes.
-3. Prefixes. Of the survivors, sets are ordered by (frequent, hash). Two linked sets share one of their
-   first n - ceil(0.8 n) + 1 hashes in any common order. Classes that share such a hash are put into
-   one group, a connected component of stars around the smallest class of each hash; pairs are not
-   enumerated. Frequent hashes come last, so they hardly ever hold a group together.
+3. Prefixes. The hashes of the survivors are counted, and sets are ordered by (frequent, count, hash).
+   Two linked sets share one of their first n - ceil(0.8 n) + 1 hashes in any common order. Hashes that
+   no other set has come first and fill the prefix of most sets, which are done. Classes that share a
+   hash of their prefixes are put into one group, a connected component of stars around the smallest
+   class of each hash; pairs are not enumerated. Common hashes come last, so a passage in many
+   documents hardly ever holds a group together, and groups do not flow into one another as the table grows.
 4. Products. A group of up to `SMALL_GROUP` classes is one block. A larger one is split: its classes are
    compared with one hub first, then put into blocks by their distance from the hub. A pair of blocks is
    multiplied only if the sizes allow for a link, the distances do (the Jaccard distance is a metric),
@@ -32,6 +34,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import ExitStack, contextmanager
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +56,8 @@ PERCENT = 80
 FILTER_SHARE = 0.3
 # Hashes that a task sends at a time.
 CHUNK_HASHES = 250_000
+# Hashes of survivors that a task counts.
+BUCKET_HASHES = 1 << 20
 # A hash of so many classes is frequent; the bound doubles until so few are.
 FREQUENT = 64
 MOST_FREQUENT = 1 << 18
@@ -68,6 +74,7 @@ REMEMBERED = 100_000
 RELEASED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 # A row of two blocks has megabytes; Spark's number of rows at a time has no regard to bytes.
 FEW_BLOCKS = {BATCH_ROWS: "1", READER_ROWS: "4"}
+FEW_CHUNKS = {BATCH_ROWS: "8", READER_ROWS: "4"}
 
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -106,6 +113,11 @@ def least_overlap(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
+def prefix_length(n: int) -> int:
+    """Of so many first hashes, in any common order, a set shares one with any that it links with."""
+    return n - least_overlap(n) + 1
+
+
 def linked(overlap: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return 100 * overlap >= PERCENT * (n + m - overlap)
 
@@ -275,28 +287,138 @@ def survivors(facts: DataFrame) -> DataFrame:
 # Step 3: sets of the survivors and their groups.
 
 
-def ordered_sets(docs: DataFrame, facts: DataFrame) -> DataFrame:
-    """(class, tail, n, hashes): the survivors' sets, frequent hashes last."""
-    frequent = frequent_hashes(facts)
+CHUNK = "chunk BIGINT, length BIGINT, classes BINARY, sizes BINARY, hashes BINARY"
+COUNTED = "chunk BIGINT, bucket INT, counts BINARY"
+ORDERED = "class BINARY, tail BIGINT, n BIGINT, rare BIGINT, hashes BINARY"
+
+
+def make_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets of texts, some `CHUNK_HASHES` hashes as one row."""
+    names = [field.split()[0] for field in CHUNK.split(", ")]
+    kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 3]
+    first = TaskContext.get().partitionId() << 32
+    held: list[np.ndarray] = []
+    length = number = 0
 
-    def made(part: pa.RecordBatch) -> pa.RecordBatch:
-        classes, sizes, blobs = [], [], []
+    def flush() -> pa.RecordBatch:
+        sizes = np.array([len(hashes) for hashes in held], np.int64)
+        row = (first + number, length, b"".join(map(class_of, held)), sizes.tobytes(), np.concatenate(held).tobytes())
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
+
+    for part in slices(batches):
         for text in utf8(part.column("text")):
             hashes = shingle_set(text)
-            late = np.isin(hashes, frequent)
-            classes.append(class_of(hashes))
-            sizes.append(len(hashes))
-            blobs.append(np.concatenate([hashes[~late], hashes[late]]).tobytes())
-        tails = [int.from_bytes(c[:8], "little", signed=True) for c in classes]
-        kinds = {"class": pa.binary(), "tail": pa.int64(), "n": pa.int64(), "hashes": pa.binary()}
-        arrays = [pa.array(c, k) for c, k in zip((classes, tails, sizes, blobs), kinds.values(), strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, list(kinds))
+            # A row of one of several texts of an id may be empty.
+            if len(hashes):
+                held.append(hashes)
+                length += len(hashes)
+            if length >= CHUNK_HASHES:
+                yield flush()
+                held, length, number = [], 0, number + 1
+    if held:
+        yield flush()
+
 
+def uncounted(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Which hashes are frequent: sent once already, so nobody asks for their counts again."""
+    if not len(frequent):
+        return np.zeros(len(hashes), bool)
+    return frequent[np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)] == hashes
+
+
+def send_chunks(buckets: int, frequent: np.ndarray):
+    """By bucket, the hashes of a chunk and how many of its sets have them.
+
+    Of a hash only half travels with its bucket. Hashes that are taken for one are counted together, which is
+    right: what orders the sets must be the same for all of them, and 1 only for a hash of one set.
+    """
+    names = [field.split()[0] for field in COUNTED.split(", ")]
+    edges = (np.arange(1, buckets) * (2**64 // buckets)).astype(np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 1):
+            hashes, counts = np.unique(np.frombuffer(part.column("hashes")[0].as_py(), np.uint64), return_counts=True)
+            asked = ~uncounted(hashes, frequent)
+            hashes, counts = hashes[asked], counts[asked]
+            cuts = [0, *np.searchsorted(hashes, edges), len(hashes)]
+            sent = [(i, hashes[x:y].astype(np.uint32), counts[x:y].astype(np.uint32)) for i, (x, y) in enumerate(pairwise(cuts)) if x < y]
+            if sent:
+                columns = [
+                    pa.array([part.column("chunk")[0].as_py()] * len(sent), pa.int64()),
+                    pa.array([i for i, _, _ in sent], pa.int32()),
+                    pa.array([np.concatenate(both).tobytes() for _, *both in sent], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return run
+
+
+def receive_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In place of the hashes that a chunk sent: how many sets of all chunks have them."""
+    batches = list(batches)
+    sent = [np.frombuffer(blob, np.uint32).reshape(2, -1) for b in batches for blob in b.column("counts").to_pylist()]
+    if not sent:
+        return
+    buckets = np.concatenate([np.asarray(b.column("bucket")) for b in batches]).astype(np.uint64)
+    lengths = [both.shape[1] for both in sent]
+    halves, counts = np.hstack(sent)
+    # Two buckets may be in one task.
+    _, of = np.unique(halves.astype(np.uint64) | (np.repeat(buckets, lengths) << np.uint64(32)), return_inverse=True)
+    total = np.minimum(np.bincount(of, counts), 2**32 - 1).astype(np.uint32)[of]
+    replies = iter(np.split(total, np.cumsum(lengths)[:-1]))
+    for batch in batches:
+        blobs = pa.array([next(replies).tobytes() for _ in range(batch.num_rows)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("bucket"), blobs], batch.schema.names)
+
+
+def order_sets(frequent: np.ndarray):
+    """The sets of a chunk in the order of counts, those whose prefix has a hash of another set too."""
+    names = [field.split()[0] for field in ORDERED.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 1):
+            row = part.to_pylist()[0]
+            n, flat = np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["hashes"], np.uint64)
+            distinct, of = np.unique(flat, return_inverse=True)
+            late = uncounted(distinct, frequent)
+            counts = np.full(len(distinct), 2**32, np.int64)
+            replies = sorted(row["replies"] or (), key=lambda reply: reply["bucket"])
+            counts[~late] = np.frombuffer(b"".join(reply["counts"] for reply in replies), np.uint32)
+            owner = np.repeat(np.arange(len(n)), n)
+            ranks = counts[of]
+            order = np.lexsort((flat, ranks, owner))
+            rare = np.bincount(owner, ranks == 1, len(n)).astype(np.int64)
+            sets = np.split(flat[order], np.cumsum(n)[:-1])
+            stay = np.flatnonzero(rare < [prefix_length(x) for x in n.tolist()])
+            classes = [row["classes"][16 * i : 16 * i + 16] for i in stay]
+            tails = [int.from_bytes(c[:8], "little", signed=True) for c in classes]
+            columns = (classes, tails, n[stay], rare[stay], [sets[i].tobytes() for i in stay])
+            kinds = [pa.binary(), *[pa.int64()] * 3, pa.binary()]
+            if len(stay):
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    return run
+
+
+@contextmanager
+def ordered_sets(docs: DataFrame, facts: DataFrame) -> Iterator[DataFrame]:
+    """For a block of code, (class, tail, n, rare, hashes): the survivors' sets that another may link with, their
+    `rare` hashes that no other survivor has first, frequent hashes last."""
+    frequent = frequent_hashes(facts)
     chosen = stored_narrow(survivors(facts).select(F.col("doc_id").alias("of")), "survivors")
     slim = documents(docs, "doc_id", "text")
     # Catalyst knows the size of what was stored: a few ids are broadcast, many are joined by shuffle.
     texts = slim.join(chosen, F.col("doc_id").eqNullSafe(F.col("of")), "left_semi").select("text")
-    return texts.mapInArrow(per_batch(made), "class BINARY, tail BIGINT, n BIGINT, hashes BINARY")
+    with ExitStack() as later:
+        with stored_for(texts.mapInArrow(make_chunks, CHUNK), "shingle-sets") as chunks:
+            with session_settings(docs.sparkSession, FEW_CHUNKS):
+                buckets = max(8, (chunks.agg(F.sum("length")).first()[0] or 0) // BUCKET_HASHES)
+                asked = chunks.select("chunk", "hashes").mapInArrow(send_chunks(buckets, frequent), COUNTED)
+                counted = stored(asked.repartitionById(buckets, F.col("bucket")).mapInArrow(receive_chunks, COUNTED), "hash-counts")
+                replies = counted.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "counts")).alias("replies"))
+                answered = chunks.join(replies, "chunk", "left").select("classes", "sizes", "hashes", "replies")
+                ordered = later.enter_context(stored_for(answered.mapInArrow(order_sets(frequent), ORDERED), "shingle-sets"))
+        yield ordered
 
 
 def groups(sets: DataFrame) -> DataFrame:
@@ -307,8 +429,8 @@ def groups(sets: DataFrame) -> DataFrame:
 
     def prefixes(part: pa.RecordBatch) -> pa.RecordBatch:
         owner, found = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for i, (n, blob) in enumerate(zip(part.column("n").to_pylist(), part.column("hashes").to_pylist(), strict=True)):
-            prefix = np.frombuffer(blob, np.int64)[: n - least_overlap(n) + 1]
+        for i, (n, rare, blob) in enumerate(zip(*(part.column(c).to_pylist() for c in ("n", "rare", "hashes")), strict=True)):
+            prefix = np.frombuffer(blob, np.int64)[rare : prefix_length(n)]
             owner.append(np.full(len(prefix), i))
             found.append(prefix)
         tails = part.column("tail").take(pa.array(np.concatenate(owner)))
@@ -444,12 +566,12 @@ def links_within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return per_batch_of(within, 1)(make_blocks(batches))
 
 
-def links(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+def links(docs: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """(left, right): links between classes whose components are those of all links.
 
     The first are from small groups and lead to the smallest class of each component; the second, if
     there is a large group, are any."""
-    with stored_for(sets, "shingle-sets") as kept:
+    with ordered_sets(docs, facts) as kept:
         grouped = kept.join(stored_narrow(groups(kept), "groups"), "tail")
         rows = stored(grouped.select("label", "class", "n", "hashes"), "grouped-sets")
     sizes = rows.groupBy("label").agg(F.count("*").alias("members"), F.sum(8 * F.col("n")).alias("bytes"))
@@ -524,7 +646,7 @@ def join_near_duplicates(docs: DataFrame) -> DataFrame:
     small_reads(docs.sparkSession)
     with session_settings(docs.sparkSession, RELEASED):
         facts = hash_facts(docs)
-        solved, open_links = links(ordered_sets(docs, facts))
+        solved, open_links = links(docs, facts)
         labels = solved.select(F.col("left").alias("of"), F.col("right").alias("label"))
         if open_links is not None:
             found = components(open_links, "left", "right")

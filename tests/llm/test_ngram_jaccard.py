@@ -217,3 +217,49 @@ def test_tables_that_nothing_reads_any_more_go(spark, rows, monkeypatch):
     assert got(spark, rows) == brute_force(rows)
     gone = {purpose for path, purpose in made.items() if not path_exists(spark, path)}
     assert gone == {"shingle-sets", "prefixes", "hub-distances"}
+
+
+def test_passages_of_two_documents_each_make_no_group(spark, monkeypatch):
+    """A chain of documents, each with a passage of the one before and of the one after: groups must not grow with the table."""
+    source = random.Random(6)
+    passages = [[f"p{i}x{source.randrange(10**6)}" for _ in range(30)] for i in range(121)]
+    rows = [(i, " ".join(passages[i] + [f"d{i}x{j}" for j in range(50)] + passages[i + 1])) for i in range(120)]
+    rows.append((500, rows[7][1] + " more"))
+
+    def large(big, *_):
+        raise AssertionError(f"{big.count()} classes in a group")
+
+    monkeypatch.setattr(op, "SMALL_GROUP", 2)
+    monkeypatch.setattr(op, "large_links", large)
+    assert got(spark, rows) == brute_force(rows)
+
+
+def test_sets_are_ordered_by_how_many_have_a_hash():
+    source = np.random.default_rng(7)
+    sets = [np.unique(source.integers(0, 2**64, 40, np.uint64)) for _ in range(30)]
+    common, late = source.integers(0, 2**64, 60, np.uint64), np.sort(source.integers(0, 2**64, 2, np.uint64))
+    sets = [np.unique(np.concatenate([s[: i % 9], source.choice(common, 30, False), late])) for i, s in enumerate(sets)]
+    values, counts = np.unique(np.concatenate(sets), return_counts=True)
+    counts = dict(zip(values.tolist(), counts.tolist(), strict=True))
+    chunks = [
+        {"chunk": k, "classes": b"".join(map(op.class_of, part)), "sizes": np.array([len(s) for s in part]).tobytes(), "hashes": np.concatenate(part).tobytes()}
+        for k, part in enumerate((sets[:11], sets[11:12], sets[12:]))
+    ]
+    sent = list(op.send_chunks(8, late)(iter([pa.RecordBatch.from_pylist(chunks).select(["chunk", "hashes"])])))
+    replies = [reply for odd in (0, 1) for reply in pa.Table.from_batches(
+        op.receive_chunks(b.filter(pa.array([x % 2 == odd for x in b.column("bucket").to_pylist()])) for b in sent)
+    ).to_pylist()]
+    for chunk in chunks:
+        number = chunk.pop("chunk")
+        chunk["replies"] = [{"bucket": r["bucket"], "counts": r["counts"]} for r in replies if r["chunk"] == number]
+    found = {}
+    for batch in op.order_sets(late)(iter([pa.RecordBatch.from_pylist(chunks)])):
+        found.update((row["class"], row) for row in batch.to_pylist())
+    for hashes in sets:
+        rare = sum(counts[h] == 1 for h in hashes.tolist())
+        row = found.pop(op.class_of(hashes), None)
+        assert (row is not None) == (rare < len(hashes) - op.least_overlap(len(hashes)) + 1)
+        if row:
+            assert (row["n"], row["rare"]) == (len(hashes), rare)
+            assert np.frombuffer(row["hashes"], np.uint64).tolist() == sorted(hashes.tolist(), key=lambda h: (h in late.tolist(), counts[h], h))
+    assert not found
